@@ -158,30 +158,25 @@ def _words(text: Column) -> Column:
     return F.split(text, r"[^\p{L}\p{N}]+")
 
 
-def _word_runs(words: Column) -> Column:
-    """Hashes of each run of three neighbouring words."""
-    starts = F.when(
-        F.size(words) >= _WORD_RUN, F.sequence(F.lit(1), F.size(words) - (_WORD_RUN - 1))
-    ).otherwise(F.array().cast("array<int>"))
-    return F.transform(
-        starts,
-        lambda i: F.xxhash64(
-            *[F.element_at(words, i + step) for step in range(_WORD_RUN)]
-        ),
-    )
+def _runs(items: Column, width: Column) -> Column:
+    """Hashes of each run of ``width`` neighbouring items."""
 
+    def hashed(held: Column) -> Column:
+        starts = F.when(
+            F.size(held) >= width, F.sequence(F.lit(1), F.size(held) - width + 1)
+        ).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.xxhash64(F.slice(held, i, width)))
 
-def _grams(text: Column, size: Column) -> Column:
-    """Hashes of every substring of the given length."""
-    starts = F.when(
-        F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1)
-    ).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(size, F.substr(text, i, size)))
+    # Wrapped so that the items are built once, not once per run.
+    return F.flatten(F.transform(F.array(items), hashed))
 
 
 def _signatures(text: Column, words: Column, cut: Column) -> Column:
-    runs = F.when(cut == _BY_WORDS, _word_runs(words)).otherwise(_grams(text, cut))
-    return F.explode(F.array_distinct(runs))
+    """One row per distinct run of words, or of ``cut`` characters."""
+    by_words = cut == _BY_WORDS
+    items = F.when(by_words, words).otherwise(F.split(text, ""))
+    width = F.when(by_words, _WORD_RUN).otherwise(cut)
+    return F.explode(F.array_distinct(_runs(items, width)))
 
 
 def contains_join(

@@ -11,6 +11,7 @@ def local_session(cores: int | str = 8, memory: str = "8g", partitions: int = 8)
         SparkSession.builder.master(f"local[{cores}]")
         .appName("coursegrain")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
