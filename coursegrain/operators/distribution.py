@@ -1,9 +1,10 @@
 """Percentiles, histograms, box plots and percentile-based partitions.
 
 The built-in exact percentile merges every distinct value of a group in one
-task. Here a percentile is found in two passes whose memory does not grow with
-the group: a mergeable sketch brackets it, then values outside the bracket are
-only counted and values inside are ranked. The result is exact.
+task. Here a percentile is found in two passes that keep every task small: a
+mergeable sketch brackets it, then values outside the bracket are only counted,
+values inside are counted by slice, and the slice that holds the percentile is
+ranked. The result is exact.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from ..functions.names import as_column, col
 # times that on either side.
 ACCURACY = 20_000
 _MARGIN = 8 / ACCURACY
+_SLICES = 1024
 
 _BELOW, _INSIDE, _ABOVE = 0, 1, 2
 
@@ -53,27 +55,30 @@ def percentiles(
         located = values.join(brackets, list(by))
     else:
         located = values.withColumn("brackets", brackets.scalar())
+    rows = located.select(*map(col, by), "v", F.explode("brackets").alias("b"))
     zone = (
         F.when(F.col("v") < F.col("b.low"), _BELOW)
         .when(F.col("v") <= F.col("b.high"), _INSIDE)
         .otherwise(_ABOVE)
     )
     runs = (
-        located.select(*map(col, by), "v", F.explode("brackets").alias("b"))
-        .select(
-            *map(col, by),
-            F.col("b.i").alias("i"),
-            F.col("b.rank").alias("rank"),
-            zone.alias("zone"),
-            "v",
-            F.when(zone == _INSIDE, F.col("v")).alias("at"),
-        )
-        .groupBy(*map(col, by), "i", "rank", "zone", "at")
+        rows.select(*map(col, by), "b.i", "b.rank", "v", zone.alias("zone"), _slice().alias("slice"))
+        .withColumn("at", F.when(F.col("zone") == _INSIDE, F.col("v")))
+        .groupBy(*map(col, by), "i", "rank", "zone", "slice", "at")
         .agg(row_count().alias("n"), F.min("v").alias("first"), F.max("v").alias("last"))
     )
     return _interpolate(_ranked(runs, by), len(probs), by)
 
 
+def _slice() -> Column:
+    """Which of the equal slices of its bracket a value is in. Slices rise with
+    the values, so they can be counted first and ranked one at a time."""
+    low, high = F.col("b.low"), F.col("b.high")
+    usable = F.col("v").between(low, high) & (high > low) & (high - low < float("inf"))
+    place = F.floor((F.col("v") - low) / (high - low) * _SLICES)
+    return F.when(usable, F.least(place, F.lit(_SLICES - 1))).otherwise(0)
+
+
 def _brackets(values: DataFrame, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
     """Per group, an array of ``(i, rank, low, high)``: the zero-based fractional
     rank of percentile i, between two values that surround it."""
@@ -105,12 +110,28 @@ def _brackets(values: DataFrame, probs: Sequence[float], by: Sequence[str]) -> D
 
 
 def _ranked(runs: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Add the zero-based ranks that each run of equal values covers. The window
-    holds the bracket's values only."""
-    order = Window.partitionBy(*map(col, by), "i").orderBy("zone", F.asc_nulls_first("at"))
-    last_rank = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - 1
-    return runs.withColumn("last_rank", last_rank).withColumn(
-        "first_rank", F.col("last_rank") - F.col("n") + 1
+    """The runs of equal values around each wanted rank, with the zero-based
+    ranks they cover.
+
+    Slices are counted and put in order first; only the one or two slices that
+    hold the wanted rank are then ranked value by value.
+    """
+    key = [*by, "i"]
+    counted = runs.groupBy(*map(col, key), "rank", "zone", "slice").agg(F.sum("n").alias("n"))
+    in_order = Window.partitionBy(*map(col, key)).orderBy("zone", "slice")
+    start = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    low, high = F.floor("rank"), F.ceil("rank")
+    wanted = (
+        counted.withColumn("start", start)
+        .where((F.col("start") <= high) & (low < F.col("start") + F.col("n")))
+        .select(*map(col, key), "zone", "slice", "start")
+    )
+    inside = Window.partitionBy(*map(col, key), "zone", "slice").orderBy("at")
+    upto = F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    return (
+        runs.join(wanted, [*key, "zone", "slice"])
+        .withColumn("last_rank", F.col("start") + upto - 1)
+        .withColumn("first_rank", F.col("last_rank") - F.col("n") + 1)
     )
 
 

@@ -197,8 +197,12 @@ def contains_join(
     for the lengths that occur. Every needle uses the one signature that is
     rarest in the texts; what remains is verified on the full strings.
     """
-    t = texts.select(col(text_id).alias("tid"), col(text).alias("t")).dropna()
-    n = needles.select(col(needle_id).alias("nid"), col(needle).alias("s")).dropna()
+    t = texts.select(col(text_id).alias("tid"), col(text).alias("t")).where(
+        "tid is not null and t is not null"
+    )
+    n = needles.select(col(needle_id).alias("nid"), col(needle).alias("s")).where(
+        "nid is not null and s is not null"
+    )
 
     # First and last words may be cut, so they are not part of a signature.
     words = _words(F.col("s"))
@@ -212,8 +216,10 @@ def contains_join(
     present = t.select("tid", "t", F.explode(cuts).alias("cut")).select(
         "tid", _signatures(F.col("t"), _words(F.col("t")), F.col("cut")).alias("sig")
     )
-    # Only signatures that some needle has can matter.
-    hits = present.join(wanted.select("sig").distinct(), "sig", "left_semi")
+    # Only signatures that some needle has can matter. These few are shuffled by
+    # text, evenly, so that both uses below read one shuffle of one text scan.
+    sought = wanted.select("sig").distinct()
+    hits = present.join(sought, "sig", "left_semi").repartition("tid")
     frequency = hits.groupBy("sig").agg(row_count().alias("df"))
     rarest = (
         wanted.join(frequency, "sig")
