@@ -7,6 +7,9 @@ is then laid out as one row per column. Only the value counts need a shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,22 +73,25 @@ def profile_missingness(
     )
 
 
-def cells(df: DataFrame, names: list[str], *, keep_missing: bool) -> DataFrame:
-    """Long form ``(column, value)``: one row per present cell, value as text.
+def _cells_by_type(
+    df: DataFrame, names: list[str], shown: Callable[[str], Column]
+) -> list[DataFrame]:
+    """Long frames ``(place, value)``, one per data type: a row per cell that
+    ``shown`` leaves non-NULL, with the column's place as text.
 
-    Missing cells (NULL only, if ``keep_missing``) are left out.
+    Cells of one type stay in that type, so they are grouped as numbers or
+    booleans rather than as text, and each frame scans its own columns only.
     """
     types = column_types(df)
-
-    def shown(name: str) -> Column:
-        value = col(name).cast("string")
-        if keep_missing:
-            return value
-        return F.when(~is_missing(col(name), types[name]), value)
-
-    wide = df.select(*[shown(c).alias(c) for c in names])
-    long = wide.unpivot([], [col(c) for c in names], "column", "value")
-    return long.where(F.col("value").isNotNull())
+    members: dict[T.DataType, list[tuple[str, str]]] = {}
+    for place, name in enumerate(names):
+        members.setdefault(types[name], []).append((str(place), name))
+    frames = []
+    for chosen in members.values():
+        wide = df.select(*[shown(name).alias(place) for place, name in chosen])
+        long = wide.unpivot([], [place for place, _ in chosen], "place", "value")
+        frames.append(long.where(F.col("value").isNotNull()))
+    return frames
 
 
 def profile_cardinality(
@@ -103,50 +109,28 @@ def profile_cardinality(
         row_count().alias("n_rows"),
         *[F.approx_count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(names)],
     )
-    return one_row_per_column(
-        summary,
-        {
-            c: [
-                F.col(f"d{i}").alias("n_distinct"),
-                share(F.col(f"d{i}"), F.col("n_rows")).alias("pct_distinct"),
-            ]
-            for i, c in enumerate(names)
-        },
-    )
+    return one_row_per_column(summary, _cardinality_values(names))
 
 
 def _exact_cardinality(df: DataFrame, names: list[str]) -> DataFrame:
-    # Zero and minus zero are one value but two texts.
-    signless = {
-        c: col(c) + 0.0 for c in columns_of(df, T.DoubleType, T.FloatType) if c in names
-    }
-    flat = df.select(*[signless.get(c, col(c)).alias(c) for c in names])
-    found = (
-        cells(flat, names, keep_missing=True)
-        .distinct()
-        .groupBy("column")
-        .agg(row_count().alias("n"))
-    )
-    n_rows = df.agg(row_count()).scalar()
-    order = df.sparkSession.createDataFrame(
-        list(enumerate(names)), "position int, column string"
-    )
-    # An all-NULL column has no cell; the list of names brings it back with 0.
-    counted = order.join(found, "column", "left").select(
-        "position",
-        "column",
-        F.coalesce("n", F.lit(0)).cast("long").alias("n_distinct"),
-        n_rows.alias("n_rows"),
-    )
-    return (
-        counted.where("n_rows > 0")
-        .orderBy("position")
-        .select(
-            "column",
-            "n_distinct",
-            share(F.col("n_distinct"), F.col("n_rows")).alias("pct_distinct"),
-        )
+    distinct = [
+        cells.distinct().select("place") for cells in _cells_by_type(df, names, col)
+    ]
+    summary = reduce(DataFrame.union, distinct).agg(
+        df.agg(row_count()).scalar().alias("n_rows"),
+        *[F.count_if(F.col("place") == str(i)).alias(f"d{i}") for i in range(len(names))],
     )
+    return one_row_per_column(summary, _cardinality_values(names))
+
+
+def _cardinality_values(names: list[str]) -> dict[str, list[Column]]:
+    return {
+        c: [
+            F.col(f"d{i}").alias("n_distinct"),
+            share(F.col(f"d{i}"), F.col("n_rows")).alias("pct_distinct"),
+        ]
+        for i, c in enumerate(names)
+    }
 
 
 def profile_top_values(
@@ -159,15 +143,25 @@ def profile_top_values(
     names = _first(df.columns, max_columns)
     if not names:
         return _no_rows(df, "column string, value string, count long, pct double")
-    counts = (
-        cells(df, names, keep_missing=False)
-        .groupBy("column", "value")
-        .agg(row_count().alias("count"))
+    types = column_types(df)
+
+    def present(name: str) -> Column:
+        return F.when(~is_missing(col(name), types[name]), col(name))
+
+    counts = reduce(
+        DataFrame.union,
+        [
+            cells.groupBy("place", "value")
+            .agg(row_count().alias("count"))
+            .select("place", F.col("value").cast("string").alias("value"), "count")
+            for cells in _cells_by_type(df, names, present)
+        ],
     )
-    top = top_per_group(counts, ["column"], [F.desc("count"), F.asc("value")], k)
+    top = top_per_group(counts, ["place"], [F.desc("count"), F.asc("value")], k)
     n_rows = df.agg(row_count()).scalar()
+    column = F.element_at(F.array(*map(F.lit, names)), F.col("place").cast("int") + 1)
     return top.select(
-        "column", "value", "count", share(F.col("count"), n_rows).alias("pct")
+        column.alias("column"), "value", "count", share(F.col("count"), n_rows).alias("pct")
     )
 
 
