@@ -158,14 +158,14 @@ def _words(text: Column) -> Column:
     return F.split(text, r"[^\p{L}\p{N}]+")
 
 
-def _runs(items: Column, width: Column) -> Column:
-    """Hashes of each run of ``width`` neighbouring items."""
+def _runs(items: Column, width: Column, kind: Column) -> Column:
+    """Hashes of each run of ``width`` neighbouring items, apart by ``kind``."""
 
     def hashed(held: Column) -> Column:
         starts = F.when(
             F.size(held) >= width, F.sequence(F.lit(1), F.size(held) - width + 1)
         ).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.xxhash64(F.slice(held, i, width)))
+        return F.transform(starts, lambda i: F.xxhash64(kind, F.slice(held, i, width)))
 
     # Wrapped so that the items are built once, not once per run.
     return F.flatten(F.transform(F.array(items), hashed))
@@ -176,7 +176,7 @@ def _signatures(text: Column, words: Column, cut: Column) -> Column:
     by_words = cut == _BY_WORDS
     items = F.when(by_words, words).otherwise(F.split(text, ""))
     width = F.when(by_words, _WORD_RUN).otherwise(cut)
-    return F.explode(F.array_distinct(_runs(items, width)))
+    return F.explode(F.array_distinct(_runs(items, width, cut)))
 
 
 def contains_join(
