@@ -39,32 +39,40 @@ def percentiles(
 
     ``approximate`` takes the sketch's own answer, one pass.
     """
-    number = as_column(value).cast("double")
-    values = df.select(*map(col, by), number.alias("v")).where(
-        F.col("v").isNotNull() & ~F.isnan("v")
-    )
+    # Groups get short names inside, so that no column name can clash.
+    keys = [f"g{i}" for i in range(len(by))]
+    values = df.select(
+        *[col(name).alias(key) for name, key in zip(by, keys)],
+        as_column(value).cast("double").alias("v"),
+    ).where(F.col("v").isNotNull() & ~F.isnan("v"))
     if approximate:
-        return values.groupBy(*map(col, by)).agg(
+        found = values.groupBy(*keys).agg(
             *[
                 F.percentile_approx("v", p, ACCURACY).alias(f"p{i}")
                 for i, p in enumerate(probs)
             ]
         )
+    else:
+        found = _exact(values, probs, keys)
+    return found.toDF(*by, *[f"p{i}" for i in range(len(probs))])
+
+
+def _exact(values: DataFrame, probs: Sequence[float], by: list[str]) -> DataFrame:
     brackets = _brackets(values, probs, by)
     if by:
-        located = values.join(brackets, list(by))
+        located = values.join(brackets, by)
     else:
         located = values.withColumn("brackets", brackets.scalar())
-    rows = located.select(*map(col, by), "v", F.explode("brackets").alias("b"))
+    rows = located.select(*by, "v", F.explode("brackets").alias("b"))
     zone = (
         F.when(F.col("v") < F.col("b.low"), _BELOW)
         .when(F.col("v") <= F.col("b.high"), _INSIDE)
         .otherwise(_ABOVE)
     )
     runs = (
-        rows.select(*map(col, by), "b.i", "b.rank", "v", zone.alias("zone"), _slice().alias("slice"))
+        rows.select(*by, "b.i", "b.rank", "v", zone.alias("zone"), _slice().alias("slice"))
         .withColumn("at", F.when(F.col("zone") == _INSIDE, F.col("v")))
-        .groupBy(*map(col, by), "i", "rank", "zone", "slice", "at")
+        .groupBy(*by, "i", "rank", "zone", "slice", "at")
         .agg(row_count().alias("n"), F.min("v").alias("first"), F.max("v").alias("last"))
     )
     return _interpolate(_ranked(runs, by), len(probs), by)
@@ -79,11 +87,11 @@ def _slice() -> Column:
     return F.when(usable, F.least(place, F.lit(_SLICES - 1))).otherwise(0)
 
 
-def _brackets(values: DataFrame, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+def _brackets(values: DataFrame, probs: Sequence[float], by: list[str]) -> DataFrame:
     """Per group, an array of ``(i, rank, low, high)``: the zero-based fractional
     rank of percentile i, between two values that surround it."""
     cuts = sorted({c for p in probs for c in (p - _MARGIN, p + _MARGIN) if 0 < c < 1})
-    sketch = values.groupBy(*map(col, by)).agg(
+    sketch = values.groupBy(*by).agg(
         row_count().alias("n"),
         F.min("v").alias("least"),
         F.max("v").alias("most"),
@@ -94,7 +102,7 @@ def _brackets(values: DataFrame, probs: Sequence[float], by: Sequence[str]) -> D
         return F.col("cuts")[cuts.index(cut)] if 0 < cut < 1 else F.col(outside)
 
     return sketch.select(
-        *map(col, by),
+        *by,
         F.array(
             *[
                 F.struct(
@@ -109,7 +117,7 @@ def _brackets(values: DataFrame, probs: Sequence[float], by: Sequence[str]) -> D
     )
 
 
-def _ranked(runs: DataFrame, by: Sequence[str]) -> DataFrame:
+def _ranked(runs: DataFrame, by: list[str]) -> DataFrame:
     """The runs of equal values around each wanted rank, with the zero-based
     ranks they cover.
 
@@ -117,16 +125,16 @@ def _ranked(runs: DataFrame, by: Sequence[str]) -> DataFrame:
     hold the wanted rank are then ranked value by value.
     """
     key = [*by, "i"]
-    counted = runs.groupBy(*map(col, key), "rank", "zone", "slice").agg(F.sum("n").alias("n"))
-    in_order = Window.partitionBy(*map(col, key)).orderBy("zone", "slice")
+    counted = runs.groupBy(*key, "rank", "zone", "slice").agg(F.sum("n").alias("n"))
+    in_order = Window.partitionBy(*key).orderBy("zone", "slice")
     start = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
     low, high = F.floor("rank"), F.ceil("rank")
     wanted = (
         counted.withColumn("start", start)
         .where((F.col("start") <= high) & (low < F.col("start") + F.col("n")))
-        .select(*map(col, key), "zone", "slice", "start")
+        .select(*key, "zone", "slice", "start")
     )
-    inside = Window.partitionBy(*map(col, key), "zone", "slice").orderBy("at")
+    inside = Window.partitionBy(*key, "zone", "slice").orderBy("at")
     upto = F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     return (
         runs.join(wanted, [*key, "zone", "slice"])
@@ -135,7 +143,7 @@ def _ranked(runs: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _interpolate(ranked: DataFrame, n_probs: int, by: Sequence[str]) -> DataFrame:
+def _interpolate(ranked: DataFrame, n_probs: int, by: list[str]) -> DataFrame:
     def value_at(rank: Column) -> Column:
         # Beside the bracket only its direct neighbours are known.
         known = (
@@ -150,13 +158,13 @@ def _interpolate(ranked: DataFrame, n_probs: int, by: Sequence[str]) -> DataFram
         return F.max(F.when(here, known))
 
     low, high = F.floor("rank"), F.ceil("rank")
-    points = ranked.groupBy(*map(col, by), "i").agg(
+    points = ranked.groupBy(*by, "i").agg(
         value_at(low).alias("a"),
         value_at(high).alias("b"),
         F.max(F.col("rank") - low).alias("part"),
     )
     answer = F.col("a") + (F.col("b") - F.col("a")) * F.col("part")
-    return points.groupBy(*map(col, by)).agg(
+    return points.groupBy(*by).agg(
         *[F.max(F.when(F.col("i") == i, answer)).alias(f"p{i}") for i in range(n_probs)]
     )
 
@@ -210,19 +218,19 @@ def box_plot(
 ) -> DataFrame:
     """``by, n, q1, median, q3, whisker_low, whisker_high, n_outliers`` per
     non-NULL group; whiskers are the extreme values within 1.5 quartile ranges."""
-    values = df.select(col(by), as_column(value).cast("double").alias("v")).where(
-        col(by).isNotNull() & F.col("v").isNotNull() & ~F.isnan("v")
-    )
+    values = df.select(
+        col(by).alias("group"), as_column(value).cast("double").alias("v")
+    ).where(F.col("group").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v"))
     quartiles = percentiles(
-        values, "v", [0.25, 0.5, 0.75], by=[by], approximate=approximate
+        values, "v", [0.25, 0.5, 0.75], by=["group"], approximate=approximate
     )
     reach = (F.col("p2") - F.col("p0")) * 1.5
     within = F.col("v").between(F.col("p0") - reach, F.col("p2") + reach)
     # Equal values are counted once per task before they meet the quartiles.
-    runs = values.groupBy(col(by), "v").agg(row_count().alias("n"))
+    runs = values.groupBy("group", "v").agg(row_count().alias("n"))
     return (
-        runs.join(quartiles, by)
-        .groupBy(col(by))
+        runs.join(quartiles, "group")
+        .groupBy(F.col("group").alias(by))
         .agg(
             F.sum("n").alias("n"),
             F.first("p0").alias("q1"),

@@ -87,24 +87,18 @@ def key_linkage(
     Presence on both sides is one union and one group-by; set operations and the
     group-wise ``any`` all read from it.
     """
+    yes, no = F.lit(True), F.lit(False)
     sides = (
-        left.select(
-            col(key), F.lit(True).alias("l"), F.lit(False).alias("r"), linked.alias("k")
-        )
+        left.select(col(key), yes.alias("__l"), no.alias("__r"), linked.alias("__k"))
         .unionByName(
-            right.select(
-                col(key),
-                F.lit(False).alias("l"),
-                F.lit(True).alias("r"),
-                F.lit(False).alias("k"),
-            )
+            right.select(col(key), no.alias("__l"), yes.alias("__r"), no.alias("__k"))
         )
         .where(col(key).isNotNull())
     )
     return sides.groupBy(col(key)).agg(
-        F.bool_or("l").alias("has_left"),
-        F.bool_or("r").alias("has_right"),
-        F.bool_or("k").alias("has_link"),
+        F.bool_or("__l").alias("has_left"),
+        F.bool_or("__r").alias("has_right"),
+        F.bool_or("__k").alias("has_link"),
     )
 
 

@@ -7,7 +7,7 @@ is then laid out as one row per column. Only the value counts need a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions.measures import row_count, share
 from ..functions.missing import is_missing, nan_to_null
 from ..functions.names import col
-from .columns import column_types, columns_of
+from .columns import column_types, columns_of, require_columns
 from .ranking import top_per_group
 
 def _first(names: list[str], limit: int | None) -> list[str]:
@@ -134,13 +134,22 @@ def _cardinality_values(names: list[str]) -> dict[str, list[Column]]:
 
 
 def profile_top_values(
-    df: DataFrame, *, k: int = 5, max_columns: int | None = None
+    df: DataFrame,
+    *,
+    k: int = 5,
+    max_columns: int | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """``column, value, count, pct``: the k most frequent non-missing values of
-    each column, ties by value; pct is the share of all rows."""
+    each column, ties by value; pct is the share of all rows.
+
+    A column of mostly distinct values shuffles nearly all of them, and its most
+    frequent value says little: name the ``columns`` to look at to leave it out.
+    """
     if k <= 0:
         raise ValueError("k must be positive")
-    names = _first(df.columns, max_columns)
+    wanted = df.columns if columns is None else require_columns(df, columns)
+    names = _first(list(wanted), max_columns)
     if not names:
         return _no_rows(df, "column string, value string, count long, pct double")
     types = column_types(df)

@@ -42,9 +42,15 @@ def _stack(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def structural_report(df: DataFrame, *, top_values_k: int = 5) -> DataFrame:
-    """Shape, missingness, cardinality, numeric distribution, top values and
-    suggested names: one aggregate pass plus the value counts."""
+def structural_report(
+    df: DataFrame,
+    *,
+    top_values_k: int = 5,
+    top_value_columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Shape, missingness, cardinality, numeric distribution, top values (of all
+    columns unless some are named) and suggested names: one aggregate pass plus
+    the value counts."""
     per_column = profiling.profile_columns(df)
     figures = {
         "missingness": ("n_missing", "pct_missing"),
@@ -73,7 +79,9 @@ def structural_report(df: DataFrame, *, top_values_k: int = 5) -> DataFrame:
         [("shape", None, "n_columns", str(len(df.columns)))],
         ", ".join(f"{name} string" for name in _SCHEMA),
     )
-    top = profiling.profile_top_values(df, k=top_values_k)
+    top = profiling.profile_top_values(
+        df, k=top_values_k, columns=top_value_columns
+    )
     top_lines = _lines(
         top,
         [

@@ -56,6 +56,15 @@ def test_groups_and_missing_values(spark):
     assert "c" not in found
 
 
+@pytest.mark.parametrize("name", ["v", "n", "i", "rank", "zone", "at", "a.b", "group", "brackets"])
+def test_group_names_cannot_clash(spark, name):
+    df = spark.createDataFrame([("x", 1.0), ("x", 3.0)], ["key", "amount"]).toDF(name, "amount")
+    found = distribution.percentiles(df, "amount", [0.5], by=[name])
+    assert found.columns == [name, "p0"] and tuple(found.first()) == ("x", 2.0)
+    if name not in ("n",):
+        assert distribution.box_plot(df, "amount", name).first()["median"] == 2.0
+
+
 def test_no_values(spark):
     none = frame(spark, []).agg(F.count("v").alias("n"))
     value = distribution.percentile_value(frame(spark, []), "v", 0.5)

@@ -59,6 +59,12 @@ def test_linkage(spark, one):
     assert [r[0] for r in joins.keys_only_left(quizzes, grades, "u").collect()] == [3]
 
 
+@pytest.mark.parametrize("name", ["k", "l", "r", "x.y"])
+def test_linkage_key_names_cannot_clash(spark, one, name):
+    df = spark.createDataFrame([(1,), (2,)], "u int").toDF(name)
+    assert one(joins.linkage_summary(joins.key_linkage(df, df, name, F.lit(True))))["n_linked"] == 2
+
+
 def test_lookup(spark, rows):
     df = spark.createDataFrame([(2000,), (5,), (None,)], "tool int")
     assert rows(joins.lookup(df, "tool", {2000: "Assignments"}, "name")) == [

@@ -58,6 +58,11 @@ def test_top_values(odd):
         profiling.profile_top_values(odd, k=0)
 
 
+def test_top_values_of_named_columns(odd):
+    found = profiling.profile_top_values(odd, k=9, columns=["a.b"]).collect()
+    assert {r["column"] for r in found} == {"a.b"}
+
+
 def test_top_values_prune_before_the_shuffle(tables):
     plan = profiling.profile_top_values(tables.orders, k=5)
     text = plan._jdf.queryExecution().executedPlan().toString()
