@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, text
 from ..functions.missing import is_filled
-from ..operators import cleaning, columns
+from ..operators import cleaning, columns, profiling
 from .profiling import _MISSING_WORDS
 from .registry import query
 
@@ -108,19 +108,26 @@ def _(t):
 
 @query(
     "normalize_column_names",
-    "SELECT NationKey AS nation_key, NName AS n_name, RegionId1 AS region_id1 FROM {camel_nation}",
+    """SELECT OrderKey AS order_key, LineNumber AS line_number, partKey2 AS part_key2,
+    RFlag AS r_flag, price FROM {camel_lines}""",
 )
 def _(t):
-    return columns.normalize_column_names(t.camel_nation)
+    return columns.normalize_column_names(t.camel_lines)
 
 
 @query(
     "rename_suggestions",
-    """SELECT * FROM (VALUES ('NationKey', 'nation_key'), ('NName', 'n_name'),
-    ('RegionId1', 'region_id1')) AS s(original, suggested)""",
+    """SELECT original, suggested, CASE WHEN original = 'RFlag' THEN
+    (SELECT count(*) FROM lineitem WHERE l_linenumber = 3) ELSE 0 END AS n_missing
+    FROM (VALUES ('OrderKey', 'order_key'), ('LineNumber', 'line_number'),
+    ('partKey2', 'part_key2'), ('RFlag', 'r_flag')) AS s(original, suggested)""",
 )
 def _(t):
-    return columns.rename_suggestions(t.camel_nation)
+    lines = t.camel_lines
+    missing = profiling.profile_missingness(lines).select(
+        F.col("column").alias("original"), "n_missing"
+    )
+    return columns.rename_suggestions(lines).join(missing, "original")
 
 
 @query(

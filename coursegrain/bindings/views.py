@@ -52,9 +52,11 @@ VIEWS = {
         SELECT conv_id, turn, role, conv_id * 1000000 + turn AS node,
                CASE WHEN turn > 0 THEN conv_id * 1000000 + turn - 1 END AS parent_node
         FROM {conversations}""",
-    "camel_nation": """
-        SELECT n_nationkey AS NationKey, n_name AS NName, n_regionkey AS RegionId1
-        FROM {nation}""",
+    "camel_lines": """
+        SELECT l_orderkey AS OrderKey, l_linenumber AS LineNumber, l_partkey AS partKey2,
+               CASE WHEN l_linenumber = 3 THEN 'none' ELSE l_returnflag END AS RFlag,
+               l_extendedprice AS price
+        FROM {lineitem}""",
     # ------------------------------------------------ course-shaped inputs
     "units": """
         SELECT c_custkey AS org_unit_id,

@@ -23,8 +23,6 @@ ACCURACY = 20_000
 _MARGIN = 8 / ACCURACY
 _SLICES = 1024
 
-_BELOW, _INSIDE, _ABOVE = 0, 1, 2
-
 
 def percentiles(
     df: DataFrame,
@@ -63,28 +61,37 @@ def _exact(values: DataFrame, probs: Sequence[float], by: list[str]) -> DataFram
         located = values.join(brackets, by)
     else:
         located = values.withColumn("brackets", brackets.scalar())
-    rows = located.select(*by, "v", F.explode("brackets").alias("b"))
-    zone = (
-        F.when(F.col("v") < F.col("b.low"), _BELOW)
-        .when(F.col("v") <= F.col("b.high"), _INSIDE)
-        .otherwise(_ABOVE)
-    )
+    # Brackets are never empty; the outer form keeps the optimizer from adding a
+    # filter that would repeat the subquery.
+    rows = located.select(*by, "v", F.explode_outer("brackets").alias("b"))
+    place = _place(F.col("v"), F.col("b.low"), F.col("b.high"))
+    inside = F.col("place").between(0, _SLICES - 1)
     runs = (
-        rows.select(*by, "b.i", "b.rank", "v", zone.alias("zone"), _slice().alias("slice"))
-        .withColumn("at", F.when(F.col("zone") == _INSIDE, F.col("v")))
-        .groupBy(*by, "i", "rank", "zone", "slice", "at")
-        .agg(row_count().alias("n"), F.min("v").alias("first"), F.max("v").alias("last"))
+        rows.select(*by, "b.i", "b.rank", "v", place.alias("place"))
+        .withColumn("at", F.when(inside, F.col("v")))
+        .groupBy(*by, "i", "place", "at")
+        .agg(
+            row_count().alias("n"),
+            F.min("v").alias("first"),
+            F.max("v").alias("last"),
+            F.first("rank").alias("rank"),
+        )
     )
     return _interpolate(_ranked(runs, by), len(probs), by)
 
 
-def _slice() -> Column:
-    """Which of the equal slices of its bracket a value is in. Slices rise with
-    the values, so they can be counted first and ranked one at a time."""
-    low, high = F.col("b.low"), F.col("b.high")
-    usable = F.col("v").between(low, high) & (high > low) & (high - low < float("inf"))
-    place = F.floor((F.col("v") - low) / (high - low) * _SLICES)
-    return F.when(usable, F.least(place, F.lit(_SLICES - 1))).otherwise(0)
+def _place(value: Column, low: Column, high: Column) -> Column:
+    """Which of the equal slices of its bracket a value is in, -1 below it and
+    ``_SLICES`` above it. Places rise with the values, so they can be counted
+    first and ranked one at a time."""
+    width = high - low
+    part = F.floor((value - low) / width * _SLICES).cast("int")
+    slice_ = F.when((width > 0) & (width < float("inf")), F.least(part, F.lit(_SLICES - 1)))
+    return (
+        F.when(value < low, -1)
+        .when(value > high, _SLICES)
+        .otherwise(F.coalesce(slice_, F.lit(0)))
+    )
 
 
 def _brackets(values: DataFrame, probs: Sequence[float], by: list[str]) -> DataFrame:
@@ -121,23 +128,25 @@ def _ranked(runs: DataFrame, by: list[str]) -> DataFrame:
     """The runs of equal values around each wanted rank, with the zero-based
     ranks they cover.
 
-    Slices are counted and put in order first; only the one or two slices that
-    hold the wanted rank are then ranked value by value.
+    Places are counted and put in order first; only the one or two that hold the
+    wanted rank are then ranked value by value.
     """
     key = [*by, "i"]
-    counted = runs.groupBy(*key, "rank", "zone", "slice").agg(F.sum("n").alias("n"))
-    in_order = Window.partitionBy(*key).orderBy("zone", "slice")
+    counted = runs.groupBy(*key, "place").agg(
+        F.sum("n").alias("n"), F.first("rank").alias("rank")
+    )
+    in_order = Window.partitionBy(*key).orderBy("place")
     start = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
     low, high = F.floor("rank"), F.ceil("rank")
     wanted = (
         counted.withColumn("start", start)
         .where((F.col("start") <= high) & (low < F.col("start") + F.col("n")))
-        .select(*key, "zone", "slice", "start")
+        .select(*key, "place", "start")
     )
-    inside = Window.partitionBy(*key, "zone", "slice").orderBy("at")
+    inside = Window.partitionBy(*key, "place").orderBy("at")
     upto = F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     return (
-        runs.join(wanted, [*key, "zone", "slice"])
+        runs.join(wanted, [*key, "place"])
         .withColumn("last_rank", F.col("start") + upto - 1)
         .withColumn("first_rank", F.col("last_rank") - F.col("n") + 1)
     )
@@ -147,9 +156,9 @@ def _interpolate(ranked: DataFrame, n_probs: int, by: list[str]) -> DataFrame:
     def value_at(rank: Column) -> Column:
         # Beside the bracket only its direct neighbours are known.
         known = (
-            F.when(F.col("zone") == _INSIDE, F.col("at"))
-            .when((F.col("zone") == _BELOW) & (rank == F.col("last_rank")), F.col("last"))
-            .when((F.col("zone") == _ABOVE) & (rank == F.col("first_rank")), F.col("first"))
+            F.when(F.col("at").isNotNull(), F.col("at"))
+            .when((F.col("place") < 0) & (rank == F.col("last_rank")), F.col("last"))
+            .when((F.col("place") > 0) & (rank == F.col("first_rank")), F.col("first"))
             .otherwise(
                 F.raise_error(F.lit("percentile outside its bracket")).cast("double")
             )
@@ -193,23 +202,27 @@ def histogram(df: DataFrame, value: str | Column, bins: int) -> DataFrame:
             F.when(least < most, most).otherwise(most + 0.5).alias("high"),
         )
     ).scalar()
-    width = (edges["high"] - edges["low"]) / bins
-    place = F.least(F.floor((F.col("v") - edges["low"]) / width), F.lit(bins - 1))
+    # One column holds the edges, so the plan holds the subquery once.
+    low = F.col("edges.low")
+    width = (F.col("edges.high") - low) / bins
+    place = F.least(F.floor((F.col("v") - low) / width), F.lit(bins - 1))
     counts = (
-        values.select(place.cast("int").alias("bin"))
+        values.withColumn("edges", edges)
+        .select(place.cast("int").alias("bin"))
         .groupBy("bin")
         .agg(row_count().alias("n"))
     )
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return (
         every.join(counts, "bin", "left")
-        .where(edges["low"].isNotNull())
+        .withColumn("edges", edges)
         .select(
             "bin",
-            (edges["low"] + width * F.col("bin")).alias("low"),
-            (edges["low"] + width * (F.col("bin") + 1)).alias("high"),
+            (low + width * F.col("bin")).alias("low"),
+            (low + width * (F.col("bin") + 1)).alias("high"),
             F.coalesce("n", F.lit(0)).cast("long").alias("n"),
         )
+        .where(F.col("low").isNotNull())
     )
 
 
@@ -272,20 +285,19 @@ def bitrate_tails(
     each, and the long rows of the low tail with their medians."""
     limits = percentiles(media, "bitrate_mbps", [low, high])
     limit = limits.select(F.struct("p0", "p1")).scalar()
-    rate = F.col("bitrate_mbps")
-    suspect = media.where((rate < limit["p0"]) & (F.col("duration_min") >= long_minutes))
-    tails = media.agg(
+    rate, long_enough = F.col("bitrate_mbps"), F.col("duration_min") >= long_minutes
+    suspect = media.where((rate < limit["p0"]) & long_enough)
+    tails = media.withColumn("limit", limit).agg(
         row_count().alias("n_rows"),
-        F.count_if(rate < limit["p0"]).alias("n_very_low"),
-        F.count_if(rate > limit["p1"]).alias("n_very_high"),
-        F.count_if(
-            (rate < limit["p0"]) & (F.col("duration_min") >= long_minutes)
-        ).alias("n_long_low"),
+        F.first("limit").alias("limit"),
+        F.count_if(rate < F.col("limit.p0")).alias("n_very_low"),
+        F.count_if(rate > F.col("limit.p1")).alias("n_very_high"),
+        F.count_if((rate < F.col("limit.p0")) & long_enough).alias("n_long_low"),
     )
     return tails.select(
         "n_rows",
-        limit["p0"].alias("low_limit"),
-        limit["p1"].alias("high_limit"),
+        F.col("limit.p0").alias("low_limit"),
+        F.col("limit.p1").alias("high_limit"),
         "n_very_low",
         "n_very_high",
         "n_long_low",

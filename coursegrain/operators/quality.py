@@ -101,11 +101,13 @@ def numeric_outliers(
     ).scalar()
 
     def far(i: int, name: str) -> Column:
-        limit = spread[f"s{i}"] * z_threshold
-        return F.abs(col(name) - spread[f"m{i}"]) > limit
+        limit = F.col(f"__spread.s{i}") * z_threshold
+        return F.abs(col(name) - F.col(f"__spread.m{i}")) > limit
 
-    summary = numbers.agg(
+    # One column holds the constants, so the plan holds the subquery once.
+    summary = numbers.withColumn("__spread", spread).agg(
         row_count().alias("n_rows"),
+        F.first("__spread").alias("spread"),
         *[F.count_if(far(i, c)).alias(f"o{i}") for i, c in enumerate(names)],
     )
     rule = f"|value-mean|>{z_threshold}*std"
@@ -116,7 +118,7 @@ def numeric_outliers(
                 F.col(f"o{i}").alias("n_outliers"),
                 share(F.col(f"o{i}"), F.col("n_rows")).alias("pct_outliers"),
                 F.lit(rule).alias("rule"),
-                spread[f"s{i}"].alias("spread"),
+                F.col(f"spread.s{i}").alias("spread"),
             ]
             for i, c in enumerate(names)
         },

@@ -85,23 +85,19 @@ def bitrate_tails(media: DataFrame) -> DataFrame:
     )
 
 
-def _bitrate_limit(items: DataFrame, prob: float):
-    return distribution.percentile_value(items, "bitrate_mbps", prob)
-
-
 def bitrate_histogram(media: DataFrame, *, bins: int = BITRATE_BINS) -> DataFrame:
     """Histogram of the bitrates between the two tail percentiles."""
     items = timed(media).select("bitrate_mbps")
-    central = items.where(
-        F.col("bitrate_mbps").between(
-            _bitrate_limit(items, LOW_TAIL), _bitrate_limit(items, HIGH_TAIL)
-        )
-    )
+    limits = distribution.percentiles(items, "bitrate_mbps", [LOW_TAIL, HIGH_TAIL])
+    limit = limits.select(F.struct("p0", "p1")).scalar()
+    central = items.where(F.col("bitrate_mbps").between(limit["p0"], limit["p1"]))
     return distribution.histogram(central, "bitrate_mbps", bins)
 
 
 def bitrate_by_source(media: DataFrame) -> DataFrame:
     """Box-plot figures by source, without the high tail."""
     items = timed(media).select("source", "bitrate_mbps")
-    usual = items.where(F.col("bitrate_mbps") <= _bitrate_limit(items, HIGH_TAIL))
-    return distribution.box_plot(usual, "bitrate_mbps", "source")
+    limit = distribution.percentile_value(items, "bitrate_mbps", HIGH_TAIL)
+    return distribution.box_plot(
+        items.where(F.col("bitrate_mbps") <= limit), "bitrate_mbps", "source"
+    )
