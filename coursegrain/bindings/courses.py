@@ -525,7 +525,7 @@ def _(t):
     f"""WITH s AS (SELECT org_unit_id, upper(coalesce(
         nullif(regexp_extract(code, '^([A-Za-z]{{3,}})', 1), ''),
         nullif(regexp_extract(name, '^([A-Za-z]{{3,}})', 1), ''), 'UNKNOWN')) AS school
-        FROM {{units}} WHERE org_unit_id % 4 <> 0)
+        FROM {{units}} WHERE is_active)
     SELECT coalesce(school, 'UNKNOWN') AS school, count(DISTINCT quiz_id) AS n_items,
     count(*) AS n_rows,
     {', '.join(f'round(avg(coalesce(CAST({f} AS INTEGER), 0)) * 100, 6) AS pct_{f}'
@@ -534,8 +534,7 @@ def _(t):
     ORDER BY n_items DESC, 1 LIMIT 15""",
 )
 def _(t):
-    known = t.units.where("org_unit_id % 4 <> 0")
-    found = quizconfig.school_rates(t.quizzes, known)
+    found = quizconfig.school_rates(t.quizzes, t.units.where("is_active"))
     return rounded(found, *[f"pct_{f}" for f in _QUIZ_FLAGS])
 
 

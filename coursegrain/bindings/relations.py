@@ -144,15 +144,14 @@ def _(t):
 
 
 def _linkage(t):
-    left = t.linked_orders.where("o_orderkey % 7 = 0")
-    right = t.early_orders
-    return joins.key_linkage(left, right, "o_custkey", F.col("grade_key").isNotNull())
+    linked = F.col("grade_key").isNotNull() & (F.col("o_totalprice") > 450000)
+    return joins.key_linkage(t.linked_orders, t.early_orders, "o_custkey", linked)
 
 
 _LINKAGE_SQL = """keys AS (SELECT o_custkey, bool_or(l) AS has_left, bool_or(r) AS has_right,
     bool_or(k) AS has_link FROM (
-    SELECT o_custkey, true AS l, false AS r, grade_key IS NOT NULL AS k
-    FROM {linked_orders} WHERE o_orderkey % 7 = 0
+    SELECT o_custkey, true AS l, false AS r,
+        grade_key IS NOT NULL AND o_totalprice > 450000 AS k FROM {linked_orders}
     UNION ALL SELECT o_custkey, false, true, false FROM {early_orders}) GROUP BY 1)"""
 
 
@@ -198,8 +197,8 @@ def _(t):
 @query("union_parts", "SELECT o_orderkey, o_totalprice FROM orders")
 def _(t):
     orders = t.orders.select("o_orderkey", "o_totalprice")
-    even, odd = orders.where("o_orderkey % 2 = 0"), orders.where("o_orderkey % 2 = 1")
-    return even.unionByName(odd)
+    cheap = F.col("o_totalprice") < 200000
+    return orders.where(cheap).unionByName(orders.where(~cheap))
 
 
 @query(
@@ -281,22 +280,19 @@ def _(t):
 
 @query(
     "prerequisite_reach",
-    """WITH RECURSIVE e AS (SELECT DISTINCT l_partkey % 500 AS a, l_suppkey + 500 AS b
-        FROM lineitem WHERE l_linenumber = 1
-        UNION SELECT DISTINCT l_suppkey + 500, l_suppkey * 3 % 100 + 10000 FROM lineitem),
+    """WITH RECURSIVE e AS (SELECT l_partkey AS a, l_suppkey + 1000000000 AS b
+        FROM lineitem
+        UNION SELECT l_suppkey + 1000000000, l_linenumber + 2000000000 FROM lineitem),
     walk(a, b, steps) AS (SELECT a, b, CAST(1 AS BIGINT) FROM e
         UNION SELECT w.a, e.b, w.steps + 1 FROM walk w JOIN e ON w.b = e.a
         WHERE w.steps < 3)
     SELECT a, b, min(steps) AS steps FROM walk GROUP BY 1, 2""",
 )
 def _(t):
-    lines = t.lineitem
-    first = lines.where("l_linenumber = 1").select(
-        (F.col("l_partkey") % 500).alias("a"), (F.col("l_suppkey") + 500).alias("b")
-    )
-    second = lines.select(
-        F.col("l_suppkey") + 500, F.col("l_suppkey") * 3 % 100 + 10000
-    )
+    supplier = F.col("l_suppkey") + 1_000_000_000
+    step = F.col("l_linenumber").cast("long") + 2_000_000_000
+    first = t.lineitem.select(F.col("l_partkey").alias("a"), supplier.alias("b"))
+    second = t.lineitem.select(supplier, step)
     return hierarchy.prerequisite_reach(first.union(second), "a", "b", max_steps=3)
 
 

@@ -96,7 +96,8 @@ VIEWS = {
                o_orderkey % 19 = 0 AS is_retake_incorrect_only
         FROM {orders}""",
     "grades": """
-        SELECT o_orderkey AS grade_object_id,
+        SELECT CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey + 1000000000
+                    ELSE o_orderkey END AS grade_object_id,
                o_custkey AS org_unit_id,
                'Item ' || o_orderpriority AS name,
                CASE WHEN o_orderkey % 4 = 0 THEN 'Text' ELSE 'Numeric' END AS type_name,
@@ -107,7 +108,7 @@ VIEWS = {
                CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END AS associated_tool_item_id,
                CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderkey END AS result_id,
                o_orderkey % 8 = 0 AS is_deleted
-        FROM {orders} WHERE o_orderkey % 3 <> 0""",
+        FROM {orders}""",
     "conditions": """
         SELECT l_orderkey * 10 + l_linenumber AS pre_requisite_id,
                l_orderkey AS result_id, l_partkey AS org_unit_id,
