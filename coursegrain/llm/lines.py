@@ -12,9 +12,10 @@ lines that are not blank have windows.
 Windows are known by two 64-bit hashes. Only windows found twice or more meet again, and
 Spark splits the join where one window is in very many rows.
 
-Edge cases: a NULL text stays NULL with no lines. Rows with equal or NULL ids get
-a number of their own and come in the order of (id, number). Columns of the input
-stay, whatever their names; an empty table gives no rows.
+Edge cases: a NULL text stays NULL with no lines. NULL ids come first in the order.
+Rows with equal ids but different texts are told apart by a hash of the text; rows
+equal in both are one document: they lose the same lines, and are no repeats of each
+other. Columns of the input stay, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,14 +28,14 @@ _BLANK = r"^\s*$"
 
 
 def windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``_key, doc_id, at, lines``: each window's hashes, place among the row's windows
-    and numbers of its lines, from 0."""
+    """Each window's hashes ``h, g``, place ``at`` among the row's windows, and numbers
+    of its lines, from 0; the row is known by ``doc_id, _text``."""
     lines = F.split("text", "\n", -1)
     held = F.filter(
         F.transform(lines, lambda line, i: F.struct(i.alias("i"), line.alias("line"))),
-        lambda x: F.trim(x["line"]) != "",
+        lambda x: ~x["line"].rlike(_BLANK),
     )
-    base = rows.select("_key", "doc_id", held.alias("held")).where(F.size("held") >= width)
+    base = rows.select("doc_id", "_text", held.alias("held")).where(F.size("held") >= width)
     many = F.transform(
         F.sequence(F.lit(0), F.size("held") - width),
         lambda i: F.struct(
@@ -44,24 +45,22 @@ def windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
             F.array(*[F.col("held")[i + k]["i"] for k in range(width)]).alias("lines"),
         ),
     )
-    return base.select("_key", "doc_id", F.inline(many))
+    return base.select("doc_id", "_text", F.inline(many))
 
 
 def covered_lines(rows: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``_key, gone``: the numbers of the lines that repeats cover."""
+    """``_doc, _text, gone``: the numbers of the lines that repeats cover."""
     found = windows(rows, width)
-    place = F.struct(
-        F.col("doc_id").isNotNull().alias("known"), "doc_id", "_key", "at"
-    )
+    place = F.struct("doc_id", "_text", "at")
     first = (
         found.groupBy("h", "g")
         .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .select("h", "g", F.col("first._key").alias("first_key"), F.col("first.at").alias("first_at"))
+        .select("h", "g", "first")
     )
-    later = found.join(first, ["h", "g"]).where("_key <> first_key or at <> first_at")
+    later = found.join(first, ["h", "g"]).where(~F.col("first").eqNullSafe(place))
     # Windows overlap: each line is listed once for a row.
-    return later.groupBy("_key").agg(
+    return later.groupBy(F.col("doc_id").alias("_doc"), "_text").agg(
         F.array_distinct(F.flatten(F.collect_set("lines"))).alias("gone")
     )
 
@@ -70,8 +69,11 @@ def drop_repeated_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """The columns of ``docs`` with ``text`` rid of repeats, then ``_n_lines`` and
     ``_n_removed``."""
     names = docs.columns
-    rows = docs.withColumn("_key", F.monotonically_increasing_id())
-    joined = rows.join(covered_lines(rows, width), "_key", "left")
+    rows = docs.withColumn("_text", F.xxhash64("text"))
+    gone = covered_lines(rows, width).withColumnRenamed("_text", "_gone_text")
+    joined = rows.join(
+        gone, F.col("doc_id").eqNullSafe(gone["_doc"]) & (F.col("_text") == gone["_gone_text"]), "left"
+    )
     lines = F.split("text", "\n", -1)
     gone = F.col("gone")
     kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(gone, i)), "\n")

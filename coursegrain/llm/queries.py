@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, toxicity
+from . import lines, packing, toxicity
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +46,46 @@ def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_counterfactual_toxicity")
 def counterfactual_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query(
+    "op8_line_windows",
+    r"""
+    WITH docs AS (
+      SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+    ), held AS (
+      SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS k
+      FROM (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS i FROM docs)
+      WHERE NOT regexp_full_match(line, '\s*')
+    ), spans AS (
+      SELECT doc_id, k, i AS i1, line AS l1,
+             lead(i, 1) OVER w AS i2, lead(line, 1) OVER w AS l2,
+             lead(i, 2) OVER w AS i3, lead(line, 2) OVER w AS l3
+      FROM held WINDOW w AS (PARTITION BY doc_id ORDER BY k)
+    ), later AS (
+      SELECT * FROM spans WHERE i3 IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY l1, l2, l3 ORDER BY doc_id, k) > 1
+    ), gone AS (
+      SELECT doc_id, i1 AS i FROM later UNION SELECT doc_id, i2 FROM later
+      UNION SELECT doc_id, i3 FROM later
+    ), counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+    rest AS (
+      SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text
+      FROM (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS i FROM docs)
+      ANTI JOIN gone USING (doc_id, i)
+      GROUP BY doc_id
+    )
+    SELECT d.doc_id, CAST(coalesce(len(lines), 0) AS INTEGER) AS n_lines,
+           CAST(coalesce(n, 0) AS INTEGER) AS n_removed,
+           CASE WHEN n IS NULL THEN d.text ELSE coalesce(r.text, '') END AS text
+    FROM docs d LEFT JOIN counts USING (doc_id) LEFT JOIN rest r USING (doc_id)
+    """,
+)
+def line_windows(spark: SparkSession, folder: str) -> DataFrame:
+    kept = lines.drop_repeated_lines(read(spark, folder, "documents"))
+    return kept.select(
+        "doc_id",
+        F.col("_n_lines").alias("n_lines"),
+        F.col("_n_removed").alias("n_removed"),
+        "text",
+    )
