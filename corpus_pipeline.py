@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coursegrain.llm import lines, packing, toxicity
+from coursegrain.llm import lines, minhash, packing, toxicity
 from coursegrain.llm.common import cut, read
 from coursegrain.llm.queries import byte_bpe
 
@@ -30,6 +30,10 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) ->
     return lines.drop_repeated_lines(docs).select(*docs.columns)
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    return minhash.keep_one(docs)
+
+
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return packing.pack_documents(docs, **byte_bpe())
 
@@ -37,6 +41,7 @@ def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", without_toxic),
     ("line dedup", without_repeated_lines),
+    ("near-dedup", without_near_copies),
     ("packing", packed),
 ]
 

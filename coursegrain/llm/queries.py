@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, packing, toxicity
+from . import lines, minhash, packing, toxicity
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,12 @@ def line_windows(spark: SparkSession, folder: str) -> DataFrame:
         F.col("_n_removed").alias("n_removed"),
         "text",
     )
+
+
+@query("op4_prob_minhash")
+def prob_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    classes = minhash.near_classes(docs)
+    return docs.select("doc_id").join(classes, F.col("doc_id") == F.col("id")).select(
+        "doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept")
+    )
