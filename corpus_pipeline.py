@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coursegrain.llm import lines, minhash, packing, toxicity
+from coursegrain.llm import lines, minhash, packing, suffixes, toxicity
 from coursegrain.llm.common import cut, read
 from coursegrain.llm.queries import byte_bpe
 
@@ -34,6 +34,10 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> Da
     return minhash.keep_one(docs)
 
 
+def without_repeated_strings(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    return suffixes.keep_unrepeated(docs)
+
+
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return packing.pack_documents(docs, **byte_bpe())
 
@@ -42,6 +46,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("toxicity", without_toxic),
     ("line dedup", without_repeated_lines),
     ("near-dedup", without_near_copies),
+    ("suffix dedup", without_repeated_strings),
     ("packing", packed),
 ]
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -34,6 +35,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like ``cut``, for large tables: a compressed columnar table, in the same folder.
+    It stays until that folder is cleared."""
+    spark = df.sparkSession
+    use_checkpoints(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 

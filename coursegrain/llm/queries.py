@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, minhash, packing, toxicity
+from . import lines, minhash, packing, suffixes, toxicity
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +98,15 @@ def prob_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id").join(classes, F.col("doc_id") == F.col("id")).select(
         "doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept")
     )
+
+
+@query("op3_suffix_dedup")
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = suffixes.cut_repeats(read(spark, folder, "documents").select("doc_id", "text"))
+    return left.select(
+        "doc_id",
+        F.col("_n_bytes").alias("n_bytes"),
+        F.col("_n_removed").alias("n_removed"),
+        F.col("_n_spans").alias("n_spans"),
+        F.sha2(F.coalesce("_kept", F.lit("").cast("binary")), 256).alias("kept_sha256"),
+    )
