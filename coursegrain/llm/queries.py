@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, minhash, packing, suffixes, toxicity
+from . import chats, lines, minhash, packing, quality, suffixes, toxicity
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,81 @@ def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.col("_n_spans").alias("n_spans"),
         F.sha2(F.coalesce("_kept", F.lit("").cast("binary")), 256).alias("kept_sha256"),
     )
+
+
+@query(
+    "op6_snapshot_collapse",
+    r"""
+    WITH turns AS (
+      SELECT *, row_number() OVER w AS position, count(*) OVER (PARTITION BY conv_id) AS n_turns
+      FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL)
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST)
+    ), paths AS (
+      SELECT *, string_agg(md5(coalesce('r' || role, '')) || md5(coalesce('t' || text, '')), '')
+        OVER (PARTITION BY conv_id ORDER BY position) AS path
+      FROM turns
+    ), kept AS (
+      SELECT min(conv_id) AS conv_id FROM paths WHERE position = n_turns
+        AND path NOT IN (SELECT path FROM paths WHERE position < n_turns)
+      GROUP BY path
+    )
+    SELECT conv_id, position, n_turns,
+           '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '')
+             || '<|end|>' || chr(10) AS rendered
+    FROM turns SEMI JOIN kept USING (conv_id)
+    """,
+)
+def snapshot_collapse(spark: SparkSession, folder: str) -> DataFrame:
+    return chats.rendered(read(spark, folder, "conversations"))
+
+
+@query(
+    "op9_host_rules",
+    r"""
+    WITH held AS (
+      SELECT doc_id, source, coalesce(text, '') AS text,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+      FROM documents
+    ), grams AS (
+      SELECT doc_id, unnest(generate_series(1, len(words) - 4)) AS i, words FROM held WHERE len(words) >= 5
+    ), spelt AS (
+      SELECT doc_id, i, words[i : i + 4] AS gram FROM grams
+    ), twice AS (
+      SELECT doc_id, i FROM spelt QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1
+    ), covered AS (
+      SELECT doc_id, sum(least(5, coalesce(next - i, 5))) AS n
+      FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM twice)
+      GROUP BY doc_id
+    ), lines AS (
+      SELECT doc_id, count(*) - count(DISTINCT line) AS n
+      FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM held)
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+    ), measured AS (
+      SELECT h.doc_id, source, CAST(len(words) AS BIGINT) AS n_words,
+             CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+             CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+             CAST(coalesce(l.n, 0) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+      FROM held h LEFT JOIN covered c USING (doc_id) LEFT JOIN lines l USING (doc_id)
+    ), judged AS (
+      SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured
+    ), hosts AS (
+      SELECT source, count(*) AS n,
+             count(*) FILTER (base_failed OR 10 * n_symbols > n_words
+               OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS f
+      FROM judged WHERE source IS NOT NULL GROUP BY source
+    ), prior AS (
+      SELECT sum(f) / sum(n) AS m, var_pop(f / n) AS v FROM hosts
+    ), strength AS (
+      SELECT m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 2.0), 1000.0) ELSE 1000.0 END AS s
+      FROM prior
+    ), rates AS (
+      SELECT source, (f + m * s) / (n + s) AS rate FROM hosts, strength
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND coalesce(rate, 0) <= 0.5 AS kept
+    FROM judged LEFT JOIN rates USING (source)
+    """,
+)
+def host_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(read(spark, folder, "documents")).drop("host_rate")
