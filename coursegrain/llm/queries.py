@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chats, lines, minhash, packing, quality, suffixes, toxicity
+from . import chats, lines, minhash, packing, quality, suffixes, toxicity, vectors
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -188,3 +188,8 @@ def snapshot_collapse(spark: SparkSession, folder: str) -> DataFrame:
 )
 def host_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(read(spark, folder, "documents")).drop("host_rate")
+
+
+@query("op10_p_stable_vectors")
+def p_stable_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(read(spark, folder, "embeddings"))
