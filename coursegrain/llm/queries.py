@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chats, lines, minhash, packing, quality, suffixes, toxicity, vectors
+from . import chats, lines, minhash, packing, quality, scoring, suffixes, toxicity, vectors
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,3 +193,8 @@ def host_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_p_stable_vectors")
 def p_stable_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_vectors(read(spark, folder, "embeddings"))
+
+
+@query("op5_attention_scores")
+def attention_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.score_texts(read(spark, folder, "documents"), byte_bpe())
