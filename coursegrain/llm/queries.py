@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chats, lines, minhash, packing, quality, scoring, suffixes, toxicity, vectors
+from . import chats, lines, minhash, packing, quality, scoring, segments, suffixes, toxicity, vectors
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,3 +198,11 @@ def p_stable_vectors(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_attention_scores")
 def attention_scores(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.score_texts(read(spark, folder, "documents"), byte_bpe())
+
+
+@query("op7_gumbel_segmentations")
+def gumbel_segmentations(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return segments.segmentations(read(spark, folder, "documents"), model, ids=False)
