@@ -35,9 +35,9 @@ def _(t):
     o AS (SELECT year_term, min(creation_date) AS first_seen FROM q GROUP BY 1),
     c AS (SELECT year_term, quiz_name, count(*) AS n FROM q
         WHERE quiz_name IN (SELECT quiz_name FROM top) GROUP BY 1, 2)
-    SELECT year_term, first_seen, quiz_name, coalesce(n, 0) AS n,
-    round(n * 100 / sum(n) OVER (PARTITION BY year_term), 6) AS pct
-    FROM o LEFT JOIN c USING (year_term)""",
+    SELECT year_term, first_seen, quiz_name, coalesce(n, 0) AS n, coalesce(
+    round(n * 100 / sum(n) OVER (PARTITION BY year_term), 6), 0) AS pct
+    FROM o CROSS JOIN top LEFT JOIN c USING (year_term, quiz_name)""",
 )
 def _(t):
     return rounded(assessment.names_by_term(t.quizzes), "pct")
@@ -50,12 +50,14 @@ def _(t):
         WHEN year(creation_date) < 2015 THEN '2010-2015'
         WHEN year(creation_date) < 2020 THEN '2015-2020'
         WHEN year(creation_date) < 2025 THEN '2020-2025' ELSE '2025+' END AS "interval"
-        FROM {{quizzes}} WHERE quiz_name IN (SELECT quiz_name FROM top))
-    SELECT "interval", quiz_name, count(*) AS n,
-    round(count(*) * 100 / sum(count(*)) OVER (PARTITION BY "interval"), 6) AS pct,
+        FROM {{quizzes}} WHERE quiz_name IN (SELECT quiz_name FROM top)),
+    c AS (SELECT "interval", quiz_name, count(*) AS n FROM q GROUP BY 1, 2)
+    SELECT "interval", quiz_name, coalesce(n, 0) AS n, coalesce(
+    round(n * 100 / sum(n) OVER (PARTITION BY "interval"), 6), 0) AS pct,
     CAST(CASE "interval" WHEN 'Before 2010' THEN 0 WHEN '2010-2015' THEN 1
         WHEN '2015-2020' THEN 2 WHEN '2020-2025' THEN 3 WHEN '2025+' THEN 4 ELSE 5 END
-        AS INTEGER) AS position FROM q GROUP BY 1, 2""",
+        AS INTEGER) AS position FROM (SELECT DISTINCT "interval" FROM c) CROSS JOIN top
+        LEFT JOIN c USING ("interval", quiz_name)""",
 )
 def _(t):
     return rounded(assessment.names_by_interval(t.quizzes), "pct")
@@ -525,7 +527,7 @@ def _(t):
     f"""WITH s AS (SELECT org_unit_id, upper(coalesce(
         nullif(regexp_extract(code, '^([A-Za-z]{{3,}})', 1), ''),
         nullif(regexp_extract(name, '^([A-Za-z]{{3,}})', 1), ''), 'UNKNOWN')) AS school
-        FROM {{units}} WHERE is_active)
+        FROM {{units}})
     SELECT coalesce(school, 'UNKNOWN') AS school, count(DISTINCT quiz_id) AS n_items,
     count(*) AS n_rows,
     {', '.join(f'round(avg(coalesce(CAST({f} AS INTEGER), 0)) * 100, 6) AS pct_{f}'
@@ -534,7 +536,7 @@ def _(t):
     ORDER BY n_items DESC, 1 LIMIT 15""",
 )
 def _(t):
-    found = quizconfig.school_rates(t.quizzes, t.units.where("is_active"))
+    found = quizconfig.school_rates(t.quizzes, t.units)
     return rounded(found, *[f"pct_{f}" for f in _QUIZ_FLAGS])
 
 

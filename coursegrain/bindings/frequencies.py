@@ -100,33 +100,33 @@ def _(t):
 
 @query(
     "boolean_share_long",
-    """WITH f AS (SELECT quality, toxic FROM documents JOIN labels USING (doc_id))
+    """WITH f AS (SELECT quality, toxic FROM documents LEFT JOIN labels USING (doc_id))
     SELECT 'Quality' AS requirement, 'Required' AS status,
         count(*) FILTER (WHERE quality = 1) AS n,
         round(count(*) FILTER (WHERE quality = 1) * 100 / count(*), 6) AS pct FROM f
-    UNION ALL SELECT 'Quality', 'Not Required', count(*) FILTER (WHERE quality <> 1),
-        round(count(*) FILTER (WHERE quality <> 1) * 100 / count(*), 6) FROM f
+    UNION ALL SELECT 'Quality', 'Not Required', count(*) FILTER (WHERE quality IS DISTINCT FROM 1),
+        round(count(*) FILTER (WHERE quality IS DISTINCT FROM 1) * 100 / count(*), 6) FROM f
     UNION ALL SELECT 'Toxic', 'Required', count(*) FILTER (WHERE toxic = 1),
         round(count(*) FILTER (WHERE toxic = 1) * 100 / count(*), 6) FROM f
-    UNION ALL SELECT 'Toxic', 'Not Required', count(*) FILTER (WHERE toxic <> 1),
-        round(count(*) FILTER (WHERE toxic <> 1) * 100 / count(*), 6) FROM f""",
+    UNION ALL SELECT 'Toxic', 'Not Required', count(*) FILTER (WHERE toxic IS DISTINCT FROM 1),
+        round(count(*) FILTER (WHERE toxic IS DISTINCT FROM 1) * 100 / count(*), 6) FROM f""",
 )
 def _(t):
-    judged = t.documents.select("doc_id").join(t.labels, "doc_id")
+    judged = t.documents.select("doc_id").join(t.labels, "doc_id", "left")
     wanted = {"Quality": F.col("quality") == 1, "Toxic": F.col("toxic") == 1}
     return rounded(frequency.status_long(judged, wanted), "pct")
 
 
 @query(
     "compliance_by_group",
-    """WITH f AS (SELECT lang, toxic FROM documents JOIN labels USING (doc_id))
+    """WITH f AS (SELECT lang, toxic FROM documents LEFT JOIN labels USING (doc_id))
     SELECT coalesce(lang, '(all)') AS lang, count(*) AS total,
     count(*) FILTER (WHERE toxic = 1) AS n_need,
     round(count(*) FILTER (WHERE toxic = 1) * 100 / count(*), 6) AS pct_need
     FROM f GROUP BY GROUPING SETS ((lang), ())""",
 )
 def _(t):
-    judged = t.documents.select("doc_id", "lang").join(t.labels, "doc_id")
+    judged = t.documents.select("doc_id", "lang").join(t.labels, "doc_id", "left")
     return rounded(frequency.need_by_group(judged, "lang", F.col("toxic") == 1), "pct_need")
 
 
@@ -172,7 +172,7 @@ def _(t):
 
 @query(
     "positive_negative_split",
-    """SELECT count(*) FILTER (WHERE toxic <> 1) AS n_positive,
+    """SELECT count(*) FILTER (WHERE toxic IS DISTINCT FROM 1) AS n_positive,
     count(*) FILTER (WHERE toxic = 1) AS n_negative FROM labels""",
 )
 def _(t):
@@ -215,7 +215,8 @@ _TERM_SQL = """CAST(year(o_orderdate) AS VARCHAR) || ' ' ||
                for i, p in enumerate(_PRIORITIES))},
     {', '.join(f"round(count(*) FILTER (WHERE o_orderpriority = '{p}') * 100 / count(*), 6)"
                f" AS pct_{i}" for i, p in enumerate(_PRIORITIES))}
-    FROM orders WHERE o_orderpriority IN {_PRIORITIES} GROUP BY 1""",
+    , count(*) FILTER (WHERE o_orderpriority NOT IN {_PRIORITIES}) AS n_other
+    FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1""",
 )
 def _(t):
     rows = t.orders.select(
@@ -240,9 +241,8 @@ def _(t):
 @query(
     "custom_order",
     """SELECT event_type, n, CAST(CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1
-    ELSE 2 END AS INTEGER) AS position FROM
-    (SELECT event_type, count(*) AS n FROM events GROUP BY 1)
-    WHERE event_type IN ('view', 'click', 'error') ORDER BY 3""",
+    WHEN 'error' THEN 2 ELSE 3 END AS INTEGER) AS position FROM
+    (SELECT event_type, count(*) AS n FROM events GROUP BY 1) ORDER BY 3""",
 )
 def _(t):
     counts = frequency.value_counts(t.events, "event_type")

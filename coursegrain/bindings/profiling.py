@@ -221,15 +221,15 @@ def _(t):
 @query(
     "orphan_check",
     """SELECT count(*) AS n_referencing,
-    count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM {early_orders} e
+    count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM {strayed_orders} e
         WHERE e.o_custkey = c.c_custkey)) AS n_orphans,
-    round(count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM {early_orders} e
+    round(count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM {strayed_orders} e
         WHERE e.o_custkey = c.c_custkey)) / count(*), 6) AS pct_orphans
     FROM customer c""",
 )
 def _(t):
     found = quality.orphan_summary(
-        t.customer, "c_custkey", t.early_orders, "o_custkey"
+        t.customer, "c_custkey", t.strayed_orders, "o_custkey"
     )
     return rounded(found, "pct_orphans")
 

@@ -12,11 +12,11 @@ from .registry import query, rounded
 @query(
     "left_join_default",
     """SELECT o_orderkey, o_custkey, coalesce(segment, 'UNKNOWN') AS segment
-    FROM orders LEFT JOIN (SELECT c_custkey, segment FROM {dirty_customer} WHERE is_active)
+    FROM orders LEFT JOIN (SELECT c_custkey, segment FROM {dirty_customer})
     ON o_custkey = c_custkey""",
 )
 def _(t):
-    dimension = t.dirty_customer.where("is_active").select(
+    dimension = t.dirty_customer.select(
         F.col("c_custkey").alias("o_custkey"), "segment"
     )
     facts = t.orders.select("o_orderkey", "o_custkey")
@@ -26,12 +26,12 @@ def _(t):
 @query(
     "star_join_counts",
     """SELECT c_custkey, c_name, count(o_orderkey) AS n_orders FROM customer
-    LEFT JOIN {early_orders} ON c_custkey = o_custkey GROUP BY 1, 2""",
+    LEFT JOIN {strayed_orders} ON c_custkey = o_custkey GROUP BY 1, 2""",
 )
 def _(t):
     hub = t.customer.select("c_custkey", "c_name")
     return joins.count_per_key(
-        hub, t.early_orders, {"c_custkey": "o_custkey"}, "n_orders", "o_orderkey"
+        hub, t.strayed_orders, {"c_custkey": "o_custkey"}, "n_orders", "o_orderkey"
     )
 
 
@@ -145,14 +145,14 @@ def _(t):
 
 def _linkage(t):
     linked = F.col("grade_key").isNotNull() & (F.col("o_totalprice") > 450000)
-    return joins.key_linkage(t.linked_orders, t.early_orders, "o_custkey", linked)
+    return joins.key_linkage(t.linked_orders, t.strayed_orders, "o_custkey", linked)
 
 
 _LINKAGE_SQL = """keys AS (SELECT o_custkey, bool_or(l) AS has_left, bool_or(r) AS has_right,
     bool_or(k) AS has_link FROM (
     SELECT o_custkey, true AS l, false AS r,
         grade_key IS NOT NULL AND o_totalprice > 450000 AS k FROM {linked_orders}
-    UNION ALL SELECT o_custkey, false, true, false FROM {early_orders}) GROUP BY 1)"""
+    UNION ALL SELECT o_custkey, false, true, false FROM {strayed_orders}) GROUP BY 1)"""
 
 
 @query("group_any", f"WITH {_LINKAGE_SQL} SELECT * FROM keys")
@@ -177,28 +177,35 @@ def _(t):
 @query(
     "semi_keys",
     """SELECT c_custkey FROM customer
-    INTERSECT SELECT o_custkey FROM {early_orders}""",
+    INTERSECT SELECT o_custkey FROM {strayed_orders}""",
 )
 def _(t):
-    early = t.early_orders.select(F.col("o_custkey").alias("c_custkey"))
-    return joins.keys_in_both(t.customer, early, "c_custkey")
+    strayed = t.strayed_orders.select(F.col("o_custkey").alias("c_custkey"))
+    return joins.keys_in_both(t.customer, strayed, "c_custkey")
 
 
 @query(
     "anti_keys",
     """SELECT c_custkey FROM customer
-    EXCEPT SELECT o_custkey FROM {early_orders}""",
+    EXCEPT SELECT o_custkey FROM {strayed_orders}""",
 )
 def _(t):
-    early = t.early_orders.select(F.col("o_custkey").alias("c_custkey"))
-    return joins.keys_only_left(t.customer, early, "c_custkey")
+    strayed = t.strayed_orders.select(F.col("o_custkey").alias("c_custkey"))
+    return joins.keys_only_left(t.customer, strayed, "c_custkey")
 
 
-@query("union_parts", "SELECT o_orderkey, o_totalprice FROM orders")
+@query(
+    "union_parts",
+    """SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation FROM customer
+    UNION ALL SELECT s_suppkey, s_name, s_nationkey FROM supplier""",
+)
 def _(t):
-    orders = t.orders.select("o_orderkey", "o_totalprice")
-    cheap = F.col("o_totalprice") < 200000
-    return orders.where(cheap).unionByName(orders.where(~cheap))
+    parts = [(t.customer, "c_", "c_custkey"), (t.supplier, "s_", "s_suppkey")]
+    first, second = [
+        df.select(F.col(key).alias("id"), F.col(f"{p}name").alias("name"), F.col(f"{p}nationkey").alias("nation"))
+        for df, p, key in parts
+    ]
+    return first.unionByName(second)
 
 
 @query(
@@ -284,8 +291,7 @@ def _(t):
         FROM lineitem
         UNION SELECT l_suppkey + 1000000000, l_linenumber + 2000000000 FROM lineitem),
     walk(a, b, steps) AS (SELECT a, b, CAST(1 AS BIGINT) FROM e
-        UNION SELECT w.a, e.b, w.steps + 1 FROM walk w JOIN e ON w.b = e.a
-        WHERE w.steps < 3)
+        UNION SELECT w.a, e.b, w.steps + 1 FROM walk w JOIN e ON w.b = e.a)
     SELECT a, b, min(steps) AS steps FROM walk GROUP BY 1, 2""",
 )
 def _(t):
@@ -293,7 +299,7 @@ def _(t):
     step = F.col("l_linenumber").cast("long") + 2_000_000_000
     first = t.lineitem.select(F.col("l_partkey").alias("a"), supplier.alias("b"))
     second = t.lineitem.select(supplier, step)
-    return hierarchy.prerequisite_reach(first.union(second), "a", "b", max_steps=3)
+    return hierarchy.prerequisite_reach(first.union(second), "a", "b")
 
 
 @query(

@@ -33,8 +33,11 @@ VIEWS = {
                CASE WHEN p_partkey IN (1, 2) THEN 'odd' || CAST(p_partkey AS STRING)
                     WHEN p_partkey % 19 = 0 THEN NULL ELSE p_type END AS ptype
         FROM {part}""",
-    "early_orders": """
-        SELECT * FROM {orders} WHERE o_orderdate < TIMESTAMP '1996-01-01 00:00:00'""",
+    "strayed_orders": """
+        SELECT o_orderkey, o_totalprice,
+               CASE WHEN o_custkey % 3 = 0 THEN o_custkey + 1000000000 ELSE o_custkey END
+                    AS o_custkey
+        FROM {orders}""",
     "linked_orders": """
         SELECT *, CASE WHEN o_orderkey % 5 < 2 THEN NULL ELSE o_orderkey END AS grade_key
         FROM {orders}""",

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import percent, row_count
@@ -17,16 +17,17 @@ def pivot_row_percent(
     df: DataFrame, row: str, column: str, values: Sequence[str]
 ) -> DataFrame:
     """Rows by the given column values: a count ``n_<i>`` and a percent of the
-    row's total ``pct_<i>`` for value i, absent cells 0. Values not listed, and
-    rows with none of them, are left out.
+    row's total ``pct_<i>`` for value i, absent cells 0, and the count of all other
+    values ``n_other``, which is part of the total. NULLs are left out.
 
     The values are given, so the table is one aggregate and no job looks for them.
     """
-    wanted = df.where(col(row).isNotNull() & col(column).isin(list(values)))
+    wanted = df.where(col(row).isNotNull() & col(column).isNotNull())
     counts = wanted.groupBy(col(row)).agg(
-        *[F.count_if(col(column) == v).alias(f"n_{i}") for i, v in enumerate(values)]
+        *[F.count_if(col(column) == v).alias(f"n_{i}") for i, v in enumerate(values)],
+        F.count_if(~col(column).isin(list(values))).alias("n_other"),
     )
-    total = reduce(add, [F.col(f"n_{i}") for i in range(len(values))])
+    total = reduce(add, [F.col(f"n_{i}") for i in range(len(values))], F.col("n_other"))
     return counts.select(
         "*",
         *[
@@ -44,10 +45,20 @@ def row_percent_long(df: DataFrame, row: str, column: str) -> DataFrame:
         .groupBy(col(row), col(column))
         .agg(row_count().alias("n"))
     )
-    totals = cells.groupBy(col(row)).agg(F.sum("n").alias("row_total"))
-    return cells.join(totals, row).select(
-        col(row), col(column), "n", percent(F.col("n"), F.col("row_total")).alias("pct")
-    )
+    total = F.sum("n").over(Window.partitionBy(col(row)))
+    return cells.select(col(row), col(column), "n", percent(F.col("n"), total).alias("pct"))
+
+
+def full_matrix(cells: DataFrame, rows: DataFrame, row: str, columns: DataFrame, column: str):
+    """Every cell of ``rows`` by ``columns``, ``n`` and ``pct`` 0 where there is none.
+
+    ``columns`` is gathered into one array, so it must be a short list, such as the most
+    common values; rows are laid out by it without a join of all with all.
+    """
+    listed = columns.agg(F.collect_set(col(column))).scalar()
+    grid = rows.select("*", F.explode(listed).alias(column))
+    joined = grid.join(cells.select(col(row), col(column), "n", "pct"), [row, column], "left")
+    return joined.withColumns({"n": F.coalesce("n", F.lit(0)), "pct": F.coalesce("pct", F.lit(0.0))})
 
 
 def bucket_order(df: DataFrame, bucket: str, by: str) -> DataFrame:
@@ -60,13 +71,13 @@ def bucket_order(df: DataFrame, bucket: str, by: str) -> DataFrame:
 def in_given_order(
     df: DataFrame, column: str, order: Sequence[str], position: str = "position"
 ) -> DataFrame:
-    """Keep the listed values of ``column`` and add their place in the list."""
+    """Add the place of ``column`` in the list; other values, NULL too, come after."""
     place = reduce(
         lambda chain, item: chain.when(col(column) == item[1], item[0]),
         list(enumerate(order))[1:],
         F.when(col(column) == order[0], 0),
     )
-    return df.withColumn(position, place).where(F.col(position).isNotNull())
+    return df.withColumn(position, place.otherwise(len(order)))
 
 
 def active_by_group(

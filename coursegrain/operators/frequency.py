@@ -21,8 +21,9 @@ def value_counts(df: DataFrame, *columns: str) -> DataFrame:
 
 def value_shares(df: DataFrame, column: str) -> DataFrame:
     """Counts with ``pct``, the percent of the non-NULL rows."""
-    total = df.agg(F.count(col(column))).scalar()
-    return value_counts(df, column).select("*", percent(F.col("n"), total).alias("pct"))
+    counts = value_counts(df, column)
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.select("*", percent(F.col("n"), total).alias("pct"))
 
 
 def most_common(df: DataFrame, column: str, k: int) -> DataFrame:
@@ -35,8 +36,7 @@ def top_with_other(df: DataFrame, column: str, k: int, other: str = "Other"):
     the rest and tells how many distinct values it stands for."""
     counts = value_counts(df, column)
     top = counts.orderBy(F.desc("n"), F.asc(column)).limit(k)
-    # k rows at most, so this side is safe to broadcast.
-    rest = counts.join(F.broadcast(top.select(column)), column, "left_anti")
+    rest = counts.join(top.select(column), column, "left_anti")
     shown = top.select(
         col(column).cast("string").alias("label"), "n", F.lit(1).cast("long").alias("n_values")
     )

@@ -8,6 +8,8 @@ deep and a lost executor repeats one round.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +40,8 @@ def with_parent(
 
 
 def resolve_chains(edges: DataFrame, id_column: str, parent_column: str) -> DataFrame:
-    """``id, root, depth, status`` per node, ids being unique.
+    """``id, root, depth, status`` per node. Of several rows with one id the smallest
+    parent counts, a missing one last.
 
     ``depth`` counts steps to the root. ``status`` is ``rooted`` for a chain that
     ends at a node without parent, ``orphan`` when it ends at a parent id that is
@@ -51,6 +54,8 @@ def resolve_chains(edges: DataFrame, id_column: str, parent_column: str) -> Data
     state = cut_lineage(
         edges.select(col(id_column).alias("id"), col(parent_column).alias("up"))
         .where(F.col("id").isNotNull())
+        .groupBy("id")
+        .agg(F.min("up").alias("up"))
         .select(
             "id",
             "up",
@@ -97,35 +102,32 @@ def _double(state: DataFrame) -> DataFrame:
     )
 
 
-def prerequisite_reach(
-    edges: DataFrame, source: str, target: str, *, max_steps: int
-) -> DataFrame:
-    """``source, target, steps``: every target reachable within ``max_steps`` and
-    the fewest steps to it, for a graph where nodes may have several
-    prerequisites. Pairs already known are not extended again."""
-    links = (
-        edges.select(col(source).alias("a"), col(target).alias("b"))
-        .dropna()
-        .distinct()
+def prerequisite_reach(edges: DataFrame, source: str, target: str) -> DataFrame:
+    """``source, target, steps``: every target that can be reached and the fewest steps
+    to it, for a graph where nodes may have several prerequisites.
+
+    The result is the graph's closure, so it is as large as that. Each round extends
+    only the pairs found in the round before, and stores only what it adds. A node's
+    own links are joined per pair; hot nodes are left to the skew join.
+    """
+    links = cut_lineage(
+        edges.select(col(source).alias("a"), col(target).alias("b")).dropna().distinct()
     )
-    links = cut_lineage(links)
-    known = links.withColumn("steps", F.lit(1))
-    frontier = known
-    for step in range(2, max_steps + 1):
+    frontier, found, step = links, [links.withColumn("steps", F.lit(1).cast("long"))], 1
+    while not frontier.isEmpty():
+        step += 1
+        known = reduce(DataFrame.unionByName, found).select("a", "b")
         onward = (
             frontier.select("a", F.col("b").alias("mid"))
             .join(links.select(F.col("a").alias("mid"), "b"), "mid")
             .select("a", "b")
             .distinct()
-            .join(known.select("a", "b"), ["a", "b"], "left_anti")
-            .withColumn("steps", F.lit(step))
+            .join(known, ["a", "b"], "left_anti")
         )
         frontier = cut_lineage(onward)
-        if frontier.isEmpty():
-            break
-        known = cut_lineage(known.unionByName(frontier))
-    return known.select(
-        F.col("a").alias(source), F.col("b").alias(target), F.col("steps").cast("long").alias("steps")
+        found.append(frontier.withColumn("steps", F.lit(step).cast("long")))
+    return reduce(DataFrame.unionByName, found).select(
+        F.col("a").alias(source), F.col("b").alias(target), "steps"
     )
 
 

@@ -20,8 +20,9 @@ from ..functions.names import col
 from .columns import column_types, columns_of, require_columns
 from .ranking import top_per_group
 
-def _first(names: list[str], limit: int | None) -> list[str]:
-    return names if limit is None else names[:limit]
+
+def _chosen(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
+    return df.columns if columns is None else list(require_columns(df, columns))
 
 
 def one_row_per_column(summary: DataFrame, rows: dict[str, list[Column]]) -> DataFrame:
@@ -48,10 +49,10 @@ def profile_shape(df: DataFrame) -> DataFrame:
 
 
 def profile_missingness(
-    df: DataFrame, *, max_columns: int | None = None
+    df: DataFrame, *, columns: Sequence[str] | None = None
 ) -> DataFrame:
     """``column, n_missing, pct_missing`` in column order; pct is a 0-1 share."""
-    names, types = _first(df.columns, max_columns), column_types(df)
+    names, types = _chosen(df, columns), column_types(df)
     if not names:
         return _no_rows(df, "column string, n_missing long, pct_missing double")
     summary = df.agg(
@@ -95,12 +96,12 @@ def _cells_by_type(
 
 
 def profile_cardinality(
-    df: DataFrame, *, max_columns: int | None = None, use_approx: bool = True
+    df: DataFrame, *, columns: Sequence[str] | None = None, use_approx: bool = True
 ) -> DataFrame:
     """``column, n_distinct, pct_distinct``: distinct non-NULL values, and their
     share of all rows. The approximate form is one pass of sketches; the exact
     form shuffles each column's distinct values once."""
-    names = _first(df.columns, max_columns)
+    names = _chosen(df, columns)
     if not names:
         return _no_rows(df, "column string, n_distinct long, pct_distinct double")
     if not use_approx:
@@ -137,7 +138,6 @@ def profile_top_values(
     df: DataFrame,
     *,
     k: int = 5,
-    max_columns: int | None = None,
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """``column, value, count, pct``: the k most frequent non-missing values of
@@ -148,8 +148,7 @@ def profile_top_values(
     """
     if k <= 0:
         raise ValueError("k must be positive")
-    wanted = df.columns if columns is None else require_columns(df, columns)
-    names = _first(list(wanted), max_columns)
+    names = _chosen(df, columns)
     if not names:
         return _no_rows(df, "column string, value string, count long, pct double")
     types = column_types(df)
@@ -195,11 +194,12 @@ def _numeric_values(tag: str) -> list[Column]:
 
 
 def profile_numeric_distribution(
-    df: DataFrame, *, max_columns: int | None = None
+    df: DataFrame, *, columns: Sequence[str] | None = None
 ) -> DataFrame:
     """``column, count, mean, stddev, min, max`` of each numeric column; sample
     deviation, NaN shown as NULL, all-NULL columns kept with count 0."""
-    names = _first(columns_of(df, T.NumericType), max_columns)
+    numeric = columns_of(df, T.NumericType)
+    names = [c for c in _chosen(df, columns) if c in numeric]
     if not names:
         return _no_rows(
             df,

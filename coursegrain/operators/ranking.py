@@ -12,11 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Spark prunes before the shuffle up to this k (its default threshold).
-_PRUNED_K = 1000
 _PRE_SPLITS = 256
 
 
+def _pruned_k(df: DataFrame) -> int:
+    """Up to this k Spark prunes before the shuffle; the session may have changed it."""
+    return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+
+
 def top_per_group(
     df: DataFrame,
     group: Sequence[str],
@@ -29,10 +32,10 @@ def top_per_group(
     ``rank`` names an optional 1-based rank column."""
     if k <= 0:
         raise ValueError("k must be positive")
-    if k > _PRUNED_K:
+    if k > _pruned_k(df):
         # No pruning in the map tasks here, so split each group first: the final
         # window sees at most k rows of every split.
-        split = F.pmod(F.xxhash64(*df.columns), F.lit(_PRE_SPLITS))
+        split = F.pmod(F.spark_partition_id(), F.lit(_PRE_SPLITS))
         within = Window.partitionBy(*group, split).orderBy(*order)
         df = (
             df.withColumn("__rank", F.row_number().over(within))

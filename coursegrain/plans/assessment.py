@@ -19,10 +19,10 @@ def common_names(quizzes: DataFrame, *, name: str = "quiz_name", k: int = TOP_NA
     return frequency.top_with_other(quizzes, name, k)
 
 
-def _of_common_names(df: DataFrame, name: str, k: int) -> DataFrame:
-    # k rows: safe to broadcast.
+def _cells_of_common_names(df: DataFrame, row: str, name: str, k: int):
+    """The common names, and their cells by ``row``."""
     top = frequency.most_common(df, name, k).select(name)
-    return df.join(F.broadcast(top), name, "left_semi")
+    return top, crosstab.row_percent_long(df.join(top, name, "left_semi"), row, name)
 
 
 def names_by_term(
@@ -32,17 +32,17 @@ def names_by_term(
     created: str = "creation_date",
     k: int = TOP_NAMES,
 ) -> DataFrame:
-    """``year_term, first_seen, name, n, pct``: the common names' shares of each
-    term. Terms come in the order they begin; a term without any common name has
-    one row with no name."""
+    """``year_term, first_seen, name, n, pct``: every common name in every term, with
+    its share of the term's common names, 0 where it does not occur. ``first_seen``
+    sorts terms by when they begin."""
     when = dates.lenient_timestamp(col(created))
     rows = quizzes.select(
         col(name), when.alias("created"), dates.year_term(when).alias("year_term")
     )
     order = crosstab.bucket_order(rows, "year_term", "created")
-    cells = crosstab.row_percent_long(_of_common_names(rows, name, k), "year_term", name)
-    return order.join(cells, "year_term", "left").select(
-        "year_term", "first_seen", col(name), F.coalesce("n", F.lit(0)).alias("n"), "pct"
+    top, cells = _cells_of_common_names(rows, "year_term", name, k)
+    return crosstab.full_matrix(cells, order, "year_term", top, name).select(
+        "year_term", "first_seen", col(name), "n", "pct"
     )
 
 
@@ -54,12 +54,14 @@ def names_by_interval(
     k: int = TOP_NAMES,
     edges: Sequence[int] = dates.NAME_INTERVAL_EDGES,
 ) -> DataFrame:
-    """``interval, name, n, pct, position``: shares of the common names in each
-    year interval."""
+    """``interval, name, n, pct, position``: every common name in every year interval
+    that occurs, with its share of the interval's common names."""
     year = F.year(dates.lenient_timestamp(col(created)))
     rows = quizzes.select(col(name), dates.year_interval(year, edges).alias("interval"))
-    cells = crosstab.row_percent_long(_of_common_names(rows, name, k), "interval", name)
-    return crosstab.in_given_order(cells, "interval", dates.year_interval_order(edges))
+    top, cells = _cells_of_common_names(rows, "interval", name, k)
+    intervals = cells.select("interval").distinct()
+    full = crosstab.full_matrix(cells, intervals, "interval", top, name)
+    return crosstab.in_given_order(full, "interval", dates.year_interval_order(edges))
 
 
 def linked_share(quizzes: DataFrame, linked: Column) -> DataFrame:

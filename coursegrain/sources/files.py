@@ -8,7 +8,7 @@ takes it as ``fmt``.
 
 from __future__ import annotations
 
-import tempfile
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +18,14 @@ _QUOTING = {"header": "true", "quote": '"', "escape": '"'}
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A folder every executor can reach: the configured checkpoint folder, or a
-    local one where none is configured, on one machine."""
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(
-        prefix="scratch-"
-    )
+    """A folder every executor can reach: the configured checkpoint folder. A session
+    that runs in one process may do without; it then uses its warehouse folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+        raise ValueError("spark.checkpoint.dir must name a folder all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def data_path(base: str, dataset: str, table: str, part: str = "data") -> str:
@@ -109,5 +112,5 @@ def write_report(
 ) -> str:
     """Write a report frame beside its table, on the cluster's file system."""
     path = report_path(base, dataset, table, name)
-    report.coalesce(1).write.mode("overwrite").format(fmt).save(path)
+    report.repartition(1).write.mode("overwrite").format(fmt).save(path)
     return path

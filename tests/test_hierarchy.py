@@ -50,9 +50,15 @@ def test_reach(spark, rows):
     df = spark.createDataFrame(
         [(1, 2), (2, 3), (1, 3), (3, 4), (4, 1), (5, None), (1, 2)], "a int, b int"
     )
-    found = rows(hierarchy.prerequisite_reach(df, "a", "b", max_steps=2))
+    found = rows(hierarchy.prerequisite_reach(df, "a", "b"))
     assert (1, 3, 1) in found and (1, 4, 2) in found and (4, 3, 2) in found
-    assert (1, 1, 3) not in found and len(found) == len(set(f[:2] for f in found))
+    assert (1, 1, 3) in found and len(found) == len(set(f[:2] for f in found)) == 16
+
+
+def test_reach_of_a_long_chain(spark, rows):
+    df = spark.createDataFrame([(i, i + 1) for i in range(12)], "a int, b int")
+    found = rows(hierarchy.prerequisite_reach(df, "a", "b"))
+    assert len(found) == 12 * 13 // 2 and (0, 12, 12) in found
 
 
 def test_checkpoint_folder_comes_from_the_session():
@@ -63,5 +69,9 @@ def test_checkpoint_folder_comes_from_the_session():
     given = {"spark.checkpoint.dir": "/shared/x"}
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: given.get(k, d)))
     assert scratch_folder(session) == "/shared/x"
-    given.clear()
-    assert scratch_folder(session).startswith("/tmp")
+    given = {"spark.master": "local[2]", "spark.sql.warehouse.dir": "file:/here/"}
+    session.conf.get = lambda k, d=None: given.get(k, d)
+    assert scratch_folder(session) == "file:/here/scratch"
+    given["spark.master"] = "spark://somewhere:7077"
+    with pytest.raises(ValueError):
+        scratch_folder(session)

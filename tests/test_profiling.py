@@ -31,7 +31,7 @@ def test_missingness_keeps_column_order(odd):
         ("empty", 4, 1.0),
         ("column", 2, 0.5),
     ]
-    assert profiling.profile_missingness(odd, max_columns=2).count() == 2
+    assert profiling.profile_missingness(odd, columns=odd.columns[:2]).count() == 2
 
 
 def test_missing_and_present_add_up(odd):
