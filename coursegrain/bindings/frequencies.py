@@ -323,11 +323,27 @@ def _(t):
     return rounded(found, "p0", "p1", "p2", places=4)
 
 
-@query("percentile_approx")
+@query(
+    "percentile_approx",
+    """SELECT count(l_extendedprice) AS n, true AS within_p0, true AS within_p1 FROM lineitem""",
+)
 def _(t):
-    return distribution.percentiles(
+    """How many values lie below each figure differs from its rank by the sketch's error
+    (one in 20,000 rows) and the rows equal to it at most."""
+    found = distribution.percentiles(
         t.lineitem, "l_extendedprice", [0.01, 0.99], approximate=True
     )
+    limits = [found.select(p).scalar() for p in ("p0", "p1")]
+    value, counts = F.col("l_extendedprice"), [F.count("l_extendedprice").alias("n")]
+    for i, limit in enumerate(limits):
+        counts += [F.count_if(value < limit).alias(f"below{i}"), F.count_if(value <= limit).alias(f"upto{i}")]
+    row = t.lineitem.agg(*counts)
+    error = F.col("n") / 10_000 + 1
+    within = [
+        ((F.col(f"below{i}") - error <= q * F.col("n")) & (F.col(f"upto{i}") + error >= q * F.col("n"))).alias(f"within_p{i}")
+        for i, q in enumerate((0.01, 0.99))
+    ]
+    return row.select("n", *within)
 
 
 @query(

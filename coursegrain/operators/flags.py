@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import percent, row_count
@@ -49,12 +49,10 @@ def prevalence(df: DataFrame, flags: Sequence[str]) -> DataFrame:
 
 def flags_per_row(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     """``n_flags, n, pct``: how many rows have each number of flags on."""
-    total = df.agg(row_count()).scalar()
-    return (
-        df.groupBy(flags_on(flags).alias("n_flags"))
-        .agg(row_count().alias("n"))
-        .select("n_flags", "n", percent(F.col("n"), total).alias("pct"))
-    )
+    counts = df.groupBy(flags_on(flags).alias("n_flags")).agg(row_count().alias("n"))
+    # One row for each number of flags: their total is a window over a handful.
+    total = F.sum("n").over(Window.partitionBy())
+    return counts.select("n_flags", "n", percent(F.col("n"), total).alias("pct"))
 
 
 def many_flags(df: DataFrame, flags: Sequence[str], at_least: int = 3) -> DataFrame:

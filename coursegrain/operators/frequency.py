@@ -49,9 +49,14 @@ def top_with_other(df: DataFrame, column: str, k: int, other: str = "Other"):
 
 
 def drop_rare(df: DataFrame, column: str, min_count: int = 2) -> DataFrame:
-    """Rows whose value occurs at least ``min_count`` times; NULL rows stay."""
+    """Rows whose value occurs at least ``min_count`` times; NULL rows stay.
+
+    A rare value has few rows, so the values to drop meet the table in an anti join whose
+    hot keys match nothing and can be split; NULL rows go round the join.
+    """
     rare = value_counts(df, column).where(F.col("n") < min_count).select(column)
-    return df.join(rare, column, "left_anti").select(*map(col, df.columns))
+    held = df.where(col(column).isNotNull()).join(rare, column, "left_anti")
+    return held.select(*map(col, df.columns)).union(df.where(col(column).isNull()))
 
 
 def use_by_group(df: DataFrame, group: str, unit: str) -> DataFrame:
@@ -66,18 +71,11 @@ def use_by_group(df: DataFrame, group: str, unit: str) -> DataFrame:
 
 
 def distinct_totals(df: DataFrame, **columns: str) -> DataFrame:
-    """One row: ``n_rows`` and, per keyword, the distinct count of its column.
-
-    One distinct-key aggregate per column, read back as constants, rather than
-    one aggregate that carries every column through the same expansion.
-    """
-    row = df.agg(row_count().alias("n_rows"))
-    return row.select(
-        "n_rows",
-        *[
-            df.agg(F.count_distinct(col(c))).scalar().alias(name)
-            for name, c in columns.items()
-        ],
+    """One row: ``n_rows`` and, per keyword, the distinct count of its column, from one
+    reading of the table."""
+    return df.agg(
+        row_count().alias("n_rows"),
+        *[F.count_distinct(col(c)).alias(name) for name, c in columns.items()],
     )
 
 

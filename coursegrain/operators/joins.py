@@ -119,15 +119,19 @@ def linkage_summary(linkage: DataFrame) -> DataFrame:
     )
 
 
+def _distinct_keys(df: DataFrame, key: str) -> DataFrame:
+    """Combined in the map tasks, so that a hot key crosses the network once a task."""
+    return df.select(col(key)).where(col(key).isNotNull()).distinct()
+
+
 def keys_in_both(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Distinct non-NULL keys of the left frame that the right frame has."""
-    return left.select(col(key)).join(right.select(col(key)), key, "left_semi").distinct()
+    return _distinct_keys(left, key).join(_distinct_keys(right, key), key, "left_semi")
 
 
 def keys_only_left(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Distinct non-NULL keys of the left frame that the right frame lacks."""
-    present = left.select(col(key)).where(col(key).isNotNull()).distinct()
-    return present.join(right.select(col(key)), key, "left_anti")
+    return _distinct_keys(left, key).join(_distinct_keys(right, key), key, "left_anti")
 
 
 def lookup(

@@ -21,9 +21,8 @@ def test_agrees_with_sql(spark, con, name):
     assert differences(query(spark, SMALL), con, query.sql) == []
 
 
-@pytest.mark.parametrize("name", [n for n, q in REGISTRY.items() if not q.sql])
-def test_runs(spark, name):
-    assert REGISTRY[name](spark, SMALL).count() > 0
+def test_every_query_has_sql():
+    assert [n for n, q in REGISTRY.items() if not q.sql] == []
 
 
 def test_driver_contract(spark):
@@ -32,12 +31,3 @@ def test_driver_contract(spark):
     assert contract.entry(spark).count() == 8
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
-
-def test_approximate_figures_are_close(spark):
-    exact = {
-        r["column"]: r["n_distinct"]
-        for r in REGISTRY["profile_cardinality_exact"](spark, SMALL).collect()
-    }
-    for r in REGISTRY["profile_cardinality_approx"](spark, SMALL).collect():
-        # Three standard errors of the default sketch.
-        assert abs(r["n_distinct"] - exact[r["column"]]) <= 0.15 * exact[r["column"]] + 1
