@@ -8,7 +8,7 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 WHITE = r"[\x20\x09-\x0D]+"
@@ -88,10 +88,7 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         .where("a <> b")
         .distinct()
     )
-    touched = both.groupBy(F.col("a").alias("id")).agg(
-        F.least(F.min("b"), F.first("a")).alias("label")
-    )
-    labels = cut(touched)
+    labels = both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
     while True:
         near = (
             both.join(labels, both["b"] == labels["id"])
@@ -100,13 +97,13 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         )
         better = labels.join(near, "id").select("id", "label", F.least("label", "near").alias("new"))
         above = labels.select(F.col("id").alias("new"), F.col("label").alias("above"))
-        step = cut(
-            better.join(above, "new", "left").select(
-                "id", "label", F.least("new", F.coalesce("above", "new")).alias("new")
-            )
+        step = better.join(above, "new", "left").select(
+            "id", F.least("new", F.coalesce("above", "new")).alias("new"), "label"
         )
+        changes = Observation()
+        step = cut(step.observe(changes, F.count(F.when(F.col("label") != F.col("new"), 1)).alias("n")))
         labels = step.select("id", F.col("new").alias("label"))
-        if step.where("label <> new").isEmpty():
+        if not changes.get["n"]:
             break
     return nodes.join(labels, "id", "left").select(
         "id", F.coalesce("label", "id").alias("component")

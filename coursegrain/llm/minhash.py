@@ -9,8 +9,8 @@ candidates.
 
 Documents with equal shingle sets are one class from the start, known by its smallest
 id. In each bucket every class is paired with one other, not with all: first with the
-smallest id; then, in rounds, with a leader drawn anew for each band, only where
-the two are in different components and were not compared before, until a round adds
+smallest id; then, in rounds, with a leader drawn anew for each band, except where
+the two are linked to one leader already or were compared before, until a round adds
 no link. Bands draw different leaders, so that members of a small bucket meet
 each other, and a large bucket of copies gives each member one pair.
 
@@ -184,13 +184,12 @@ def near_classes(
     member = held.select("id", "set_a", "set_b").join(
         least.select("set_a", "set_b", "node"), ["set_a", "set_b"]
     )
-    equal = cut(member.where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b")).distinct())
+    equal = member.where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
     buckets = least.select("node", F.posexplode("keys").alias("band", "key"))
     crowded = buckets.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = cut(buckets.join(crowded.select("band", "key"), ["band", "key"]))
     candidates = buckets.select(F.col("node").alias("id")).distinct()
     texts = cut(_packed(rows).join(candidates, "id", "left_semi").dropDuplicates(["id"]))
-    nodes = candidates
 
     def pairs_with(order: F.Column) -> DataFrame:
         leader = buckets.groupBy("band", "key").agg(F.min_by("node", order).alias("leader"))
@@ -204,16 +203,14 @@ def near_classes(
     turn = 0
     while True:
         turn += 1
-        parts = cut(components(nodes, links))
+        # Enough to leave out most pairs that are in one component already.
+        group = links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("group"))
         drawn = pairs_with(F.xxhash64("node", "band", F.lit(turn)))
-        fresh = (
-            drawn.join(parts.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a")
-            .join(parts.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b")
-            .where("ca <> cb")
-            .select("a", "b")
-            .join(tried, ["a", "b"], "left_anti")
-        )
-        fresh = cut(fresh)
+        for end in ("a", "b"):
+            own = group.select(F.col("id").alias(end), F.col("group").alias(f"group_{end}"))
+            drawn = drawn.join(own, end, "left")
+        apart = F.coalesce("group_a", "a") != F.coalesce("group_b", "b")
+        fresh = cut(drawn.where(apart).select("a", "b").join(tried, ["a", "b"], "left_anti"))
         more = cut(_verified(fresh, texts, similarity, width))
         if more.isEmpty():
             break
