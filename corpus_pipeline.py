@@ -27,7 +27,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return lines.drop_repeated_lines(docs).select(*docs.columns)
+    return lines.drop_repeated_lines(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -49,6 +49,27 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def as_row(docs: DataFrame) -> Column:
+    """All columns in one named ``row``, so that none can clash with a new one."""
+    return F.struct(*[docs[c] for c in docs.columns]).alias("row")
+
+
+def from_row(docs: DataFrame, **changed: Column) -> list[Column]:
+    """The columns of ``docs`` out of ``row``, some of them changed."""
+    return [changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]
+
+
+def schema_of(*frames_or_fields: DataFrame | str) -> str:
+    """A schema text from frames' columns and written-out fields."""
+    parts = []
+    for x in frames_or_fields:
+        if isinstance(x, str):
+            parts.append(x)
+        else:
+            parts += [f"`{f.name}` {f.dataType.simpleString()}" for f in x.schema]
+    return ", ".join(parts)
+
+
 def by_batch(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str
 ) -> DataFrame:

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import as_row, from_row
+
 WIDTH = 3
 _BLANK = r"^\s*$"
 
@@ -65,21 +67,22 @@ def covered_lines(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     )
 
 
-def drop_repeated_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The columns of ``docs`` with ``text`` rid of repeats, then ``_n_lines`` and
-    ``_n_removed``."""
-    names = docs.columns
-    rows = docs.withColumn("_text", F.xxhash64("text"))
-    gone = covered_lines(rows, width).withColumnRenamed("_text", "_gone_text")
-    joined = rows.join(
-        gone, F.col("doc_id").eqNullSafe(gone["_doc"]) & (F.col("_text") == gone["_gone_text"]), "left"
-    )
+def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``row`` with all columns of the input, ``kept`` with what is left of the text,
+    ``n_lines`` and ``n_removed``."""
+    rows = docs.select(as_row(docs), "doc_id", "text", F.xxhash64("text").alias("_text"))
+    gone = covered_lines(rows.select("doc_id", "text", "_text"), width).withColumnRenamed("_text", "_gone_text")
+    same = rows["doc_id"].eqNullSafe(gone["_doc"]) & (rows["_text"] == gone["_gone_text"])
     lines = F.split("text", "\n", -1)
-    gone = F.col("gone")
-    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(gone, i)), "\n")
-    text = F.when(gone.isNull(), F.col("text")).otherwise(kept)
-    return joined.select(
-        *[(text if c == "text" else F.col(f"`{c}`")).alias(c) for c in names],
-        F.coalesce(F.size(lines), F.lit(0)).alias("_n_lines"),
-        F.coalesce(F.size(gone), F.lit(0)).alias("_n_removed"),
+    rest = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("gone", i)), "\n")
+    return rows.join(gone, same, "left").select(
+        "row",
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(rest).alias("kept"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).alias("n_removed"),
     )
+
+
+def drop_repeated_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The rows of ``docs``, all columns as they are but for the text."""
+    return without_repeats(docs, width).select(from_row(docs, text=F.col("kept")))

@@ -2,10 +2,10 @@
 
 Documents become token pieces of at most ``capacity``; pieces are packed into
 sequences. A group of some thousand pieces is packed by one task: best fit in
-order of falling length, then local search. The emptiest sequence gives its pieces
-away: a piece moves where it fits, is exchanged for a smaller one, for two
-smaller ones together, or two of its pieces for one. Each step moves tokens from the emptiest sequence
-to a fuller one, so that the sum of squared fills grows, until that one is empty.
+order of falling length, then local search. The emptiest sequence that can gives its
+pieces away: a piece moves where it fits, is exchanged for a smaller one, for two
+smaller ones together, or two of its pieces for one. Each step moves tokens from an emptier
+sequence to a fuller one, so that the sum of squared fills grows, until sequences are empty.
 
 Edge cases: NULL and empty texts are the single token ``end_id``; rows with equal or
 NULL ids are packed like any others; texts of any length are cut into pieces, of
@@ -169,27 +169,28 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bin_of, np.array(fills, np.int64)
 
 
-def improve(lengths: np.ndarray, bin_of: np.ndarray, fill: np.ndarray, capacity: int) -> int:
+def improve(
+    lengths: np.ndarray, bin_of: np.ndarray, fill: np.ndarray, capacity: int, *, patience: int = 200
+) -> int:
     """Empty underfull bins in place; returns how many were emptied.
 
-    Every step takes tokens out of the emptiest bin, or it ends, so that the search
-    ends too. Bins are given up once no exchange helps, or as few are left as the
-    tokens need.
+    Each step takes tokens out of an underfull bin into one as full or fuller: out of the
+    emptiest that can give, so that fills drift apart and squared fill grows. The search ends
+    when no step is left, when as few bins are left as the tokens need, or after
+    ``patience`` steps between other bins that did not empty one.
     """
     least = -(-int(lengths.sum()) // capacity)
-    bins, emptied = len(fill), 0
-    stuck = np.zeros(len(fill), bool)
-    while bins - emptied > least:
-        open_bins = np.flatnonzero((fill > 0) & (fill < capacity) & ~stuck)
-        if len(open_bins) < 2:
+    bins, emptied, spent = len(fill), 0, 0
+    while bins - emptied > least and spent <= patience:
+        underfull = np.flatnonzero((fill > 0) & (fill < capacity))
+        underfull = underfull[np.argsort(fill[underfull], kind="stable")]
+        donor = next((int(b) for b in underfull if _give(int(b), lengths, bin_of, fill, capacity)), None)
+        if donor is None:
             break
-        donor = int(open_bins[np.argmin(fill[open_bins])])
-        while fill[donor] and _give(donor, lengths, bin_of, fill, capacity):
-            pass
-        if fill[donor]:
-            stuck[donor] = True
-            break
-        emptied += 1
+        if not fill[donor]:
+            emptied, spent = emptied + 1, 0
+        elif donor != underfull[0]:
+            spent += 1
     return emptied
 
 

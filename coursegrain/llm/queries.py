@@ -82,13 +82,8 @@ def counterfactual_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def line_windows(spark: SparkSession, folder: str) -> DataFrame:
-    kept = lines.drop_repeated_lines(read(spark, folder, "documents"))
-    return kept.select(
-        "doc_id",
-        F.col("_n_lines").alias("n_lines"),
-        F.col("_n_removed").alias("n_removed"),
-        "text",
-    )
+    kept = lines.without_repeats(read(spark, folder, "documents"))
+    return kept.select("row.doc_id", "n_lines", "n_removed", F.col("kept").alias("text"))
 
 
 @query("op4_prob_minhash")
@@ -103,13 +98,8 @@ def prob_minhash(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_suffix_dedup")
 def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     left = suffixes.cut_repeats(read(spark, folder, "documents").select("doc_id", "text"))
-    return left.select(
-        "doc_id",
-        F.col("_n_bytes").alias("n_bytes"),
-        F.col("_n_removed").alias("n_removed"),
-        F.col("_n_spans").alias("n_spans"),
-        F.sha2(F.coalesce("_kept", F.lit("").cast("binary")), 256).alias("kept_sha256"),
-    )
+    sha = F.sha2(F.coalesce("kept", F.lit("").cast("binary")), 256)
+    return left.select("row.doc_id", "n_bytes", "n_removed", "n_spans", sha.alias("kept_sha256"))
 
 
 @query(

@@ -32,10 +32,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, stored
+from .common import by_batch, schema_of, stored
 from .hashing import Prefixes, mix, text_chunks
 
 LENGTH = 400
@@ -96,7 +96,7 @@ def anchor_rows(rows: DataFrame, length: int) -> DataFrame:
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             parts = []
-            for at, end, data, offsets in text_chunks(batch["text"], 2 << 20):
+            for at, end, data, offsets in text_chunks(batch["text"], 1 << 20):
                 anchor, first, last, hashed, stretch = anchors_of(data, offsets, length)
                 doc = np.searchsorted(offsets, anchor, side="right") - 1
                 base = offsets[doc]
@@ -281,8 +281,7 @@ def packed_texts(rows: DataFrame) -> DataFrame:
 
         return work
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return by_batch(rows, make, f"{fields}, packed binary, size long")
+    return by_batch(rows, make, schema_of(rows.drop("text"), "packed binary, size long"))
 
 
 _RANGES = "doc_id long, text_hash long, begin int, until int"
@@ -403,21 +402,20 @@ def repeated_ranges(rows: DataFrame, *, length: int = LENGTH, group: int = GROUP
 
 
 def cut_repeats(docs: DataFrame, *, length: int = LENGTH, group: int = GROUP) -> DataFrame:
-    """The columns of ``docs`` with ``_n_bytes, _n_removed, _n_spans, _kept``; ``_kept``
-    holds the remaining bytes of the text as they are."""
-    others = [c for c in docs.columns if c != "text"]
+    """``row`` with all columns of the input but the text, ``n_bytes, n_removed, n_spans``,
+    and ``kept``: the remaining bytes of the text as they are."""
     rows = _rows(docs)
     gone = repeated_ranges(rows, length=length, group=group).groupBy(
         F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")
     ).agg(F.collect_list(F.struct("begin", "until")).alias("_gone"))
     held = packed_texts(docs.select(
-        *[F.col(f"`{c}`") for c in others],
+        F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row"),
         F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_text"),
         F.col("text").isNull().alias("_null"), "text",
     ))
     joined = held.join(
         gone, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_hash")), "left"
-    ).select(*[F.col(f"`{c}`") for c in others], "_null", "packed", "size", "_gone")
+    ).select("row", "_null", "packed", "size", "_gone")
 
     def make():
         codec = pa.Codec("zstd")
@@ -442,19 +440,22 @@ def cut_repeats(docs: DataFrame, *, length: int = LENGTH, group: int = GROUP) ->
                 parts.append(body[at:])
                 sizes.append(size), removed.append(lost), spans.append(runs)
                 kept.append(None if null else b"".join(parts))
-            columns = [batch[c] for c in others]
-            columns += [pa.array(c, pa.int64()) for c in (sizes, removed, spans)] + [pa.array(kept, pa.binary())]
-            return pa.record_batch(columns, [*others, "_n_bytes", "_n_removed", "_n_spans", "_kept"])
+            columns = [batch["row"], *(pa.array(c, pa.int64()) for c in (sizes, removed, spans))]
+            return pa.record_batch([*columns, pa.array(kept, pa.binary())], ["row", "n_bytes", "n_removed", "n_spans", "kept"])
 
         return work
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    return by_batch(joined, make, f"{fields}, _n_bytes long, _n_removed long, _n_spans long, _kept binary")
+    return by_batch(joined, make, schema_of(joined.select("row"), "n_bytes long, n_removed long, n_spans long, kept binary"))
 
 
 def keep_unrepeated(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
     """The columns of ``docs``, texts without what repeats. Characters cut in half at the
     edge of a repeat are replaced by U+FFFD."""
     left = cut_repeats(docs, length=length)
-    text = F.decode(F.col("_kept"), "UTF-8")
-    return left.select(*[(text if c == "text" else F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    others = {c: F.col("row").getField(c) for c in docs.columns if c != "text"}
+    return left.select([others.get(c, _text(F.col("kept"))).alias(c) for c in docs.columns])
+
+
+def _text(kept: Column) -> Column:
+    """Broken characters replaced, whatever the session thinks of them."""
+    return F.make_valid_utf8(kept.cast("string"))

@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, crc_remainder, cut
+from .common import as_row, by_batch, crc_remainder, cut, from_row, schema_of
 
 #: Labelled rows that the fit reads, on average.
 SAMPLE = 20_000
@@ -219,7 +219,7 @@ def fit(
 
 
 def score(docs: DataFrame, model: Model, *, threshold: float = THRESHOLD) -> DataFrame:
-    """All columns of ``docs``, with ``_score`` and ``_predicted`` after them."""
+    """``row`` with all columns of ``docs``, then ``score`` and ``predicted``."""
     bound = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
@@ -240,18 +240,18 @@ def score(docs: DataFrame, model: Model, *, threshold: float = THRESHOLD) -> Dat
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             scores = []
-            for text in batch["text"].to_pylist():
+            for text in batch["row"].field("text").to_pylist():
                 held = set().union(*filter(None, map(words.__getitem__, set((text or "").split()))))
                 logit = intercept + sum(weights[f] for f in sorted(held))
                 scores.append(float(1 / (1 + np.exp(-np.clip(logit, -700, 700)))))
             marks = [int(s >= threshold) for s in scores]
-            columns = [*batch.columns, pa.array(scores, pa.float64()), pa.array(marks, pa.int32())]
-            return pa.record_batch(columns, [*batch.schema.names, "_score", "_predicted"])
+            columns = [batch["row"], pa.array(scores, pa.float64()), pa.array(marks, pa.int32())]
+            return pa.record_batch(columns, ["row", "score", "predicted"])
 
         return work
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return by_batch(docs, make, f"{fields}, _score double, _predicted int")
+    rows = docs.select(as_row(docs))
+    return by_batch(rows, make, schema_of(rows, "score double, predicted int"))
 
 
 def training_rows(
@@ -282,10 +282,10 @@ def classify(
     model = fit(training_rows(docs, labels, sample=sample), sample=sample)
     scored = score(docs.select("doc_id", "text"), model, threshold=threshold)
     return scored.select(
-        "doc_id",
-        (crc_remainder(F.col("doc_id"), 3) == 1).alias("held_out"),
-        F.col("_score").alias("score"),
-        F.col("_predicted").alias("predicted"),
+        "row.doc_id",
+        (crc_remainder(F.col("row.doc_id"), 3) == 1).alias("held_out"),
+        "score",
+        "predicted",
     )
 
 
@@ -294,4 +294,4 @@ def keep_clean(
 ) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, columns unchanged."""
     model = fit(training_rows(docs, labels, sample=sample), sample=sample)
-    return score(docs, model, threshold=threshold).where("_predicted = 0").select(docs.columns)
+    return score(docs, model, threshold=threshold).where("predicted = 0").select(from_row(docs))
