@@ -679,6 +679,20 @@ def _(t):
     return dictionary.content_rules(t.content, t.conditions)
 
 
+@query(
+    "dictionary_tool_objects",
+    """WITH targets AS (SELECT 51000 AS tool_id, quiz_id AS object_id1, 'quiz' AS kind,
+        quiz_id AS linked_id, quiz_name AS linked_name FROM {quizzes}
+    UNION ALL SELECT tool_id, associated_tool_item_id, 'grade', grade_object_id, name
+        FROM {grades})
+    SELECT c.content_object_id, c.tool_id, c.object_id1, kind, linked_id, linked_name
+    FROM {tool_content} c LEFT JOIN targets t
+    ON c.tool_id = t.tool_id AND c.object_id1 = t.object_id1""",
+)
+def _(t):
+    return dictionary.tool_objects(t.tool_content, t.quizzes, t.grades)
+
+
 @query(
     "dictionary_tool_use",
     """SELECT tool_id, count(*) AS n, CASE tool_id WHEN 2000 THEN 'Assignments'

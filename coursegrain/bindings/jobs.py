@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans import jobs, reports
 from ..sources.contracts import TableSpec
-from ..sources.files import publish, scan, scratch_folder
+from ..sources.files import data_path, publish, report_path, scan, scratch_folder
 from .privacy import _any
 from .profiling import _MISSING_WORDS, _TEXT, MISSINGNESS_SQL
 from .registry import query
@@ -73,6 +74,68 @@ def _(t):
     return jobs.deidentified(jobs.clean_table(_raw_customers(t), CUSTOMERS), CUSTOMERS)
 
 
+_PUBLISHED_SQL = f"""SELECT cust_key,
+    CASE WHEN {_any('name_raw')} THEN '[PII_REDACTED_NAME_RAW]' ELSE name_raw END AS name_raw,
+    CASE WHEN {_any('contact')} THEN '[PII_REDACTED_CONTACT]' ELSE contact END AS contact,
+    flag_raw, balance, segment, is_active, CAST(created_date AS TIMESTAMP) AS created_date,
+    name_raw IS NOT NULL AND name_raw <> '' AS has_name_raw
+    FROM clean WHERE flag_raw IN ('Yes', 'no', 'T')"""
+
+
+def _run_jobs(t) -> str:
+    """Both jobs over the customers as a raw export; the folder they wrote to."""
+    base = f"{scratch_folder(t.spark)}/jobs-{uuid.uuid4().hex}"
+    raw = _raw_customers(t).write.options(header="true", quote='"', escape='"', quoteAll="true")
+    raw.csv(f"{base}/raw/{CUSTOMERS.raw_file}")
+    jobs.run_etl(t.spark, f"{base}/raw", f"{base}/clean", CUSTOMERS)
+    jobs.run_deidentify(t.spark, f"{base}/clean", f"{base}/published", CUSTOMERS, single_file=True)
+    return base
+
+
+@query(
+    "etl_job",
+    f"""WITH {_CLEAN_SQL} SELECT * REPLACE (CAST(created_date AS TIMESTAMP) AS created_date), name_raw IS NOT NULL AND name_raw <> '' AS has_name_raw
+    FROM clean WHERE flag_raw IN ('Yes', 'no', 'T')""",
+)
+def _(t):
+    path = data_path(f"{_run_jobs(t)}/clean", CUSTOMERS.dataset, CUSTOMERS.table)
+    return scan(t.spark, path, CUSTOMERS.clean_schema)
+
+
+@query("deidentify_job", f"WITH {_CLEAN_SQL} {_PUBLISHED_SQL}")
+def _(t):
+    path = data_path(f"{_run_jobs(t)}/published", CUSTOMERS.dataset, CUSTOMERS.table)
+    fields = [f for f in CUSTOMERS.clean_schema.fields if f.name not in CUSTOMERS.dropped]
+    return scan(t.spark, path, T.StructType(fields))
+
+
+@query(
+    "job_reports",
+    f"""WITH {_CLEAN_SQL}, kept AS (SELECT * FROM clean WHERE flag_raw IN ('Yes', 'no', 'T'))
+    SELECT 'structural' AS report, 'n_rows' AS metric, CAST(count(*) AS DOUBLE) AS number
+        FROM {{dirty_customer}}
+    UNION ALL SELECT 'quality', 'total_rows', CAST(count(*) AS DOUBLE) FROM kept
+    UNION ALL SELECT 'pii', 'total_records', CAST(count(*) AS DOUBLE) FROM kept""",
+)
+def _(t):
+    base = _run_jobs(t)
+
+    def report(tier: str, name: str):
+        return t.spark.read.json(report_path(f"{base}/{tier}", CUSTOMERS.dataset, CUSTOMERS.table, name))
+
+    def line(df, name: str, metric: str):
+        found = df.where(F.col("metric") == metric) if "metric" in df.columns else df.select(
+            F.lit(metric).alias("metric"), F.col(metric).alias("value")
+        ).distinct()
+        return found.select(F.lit(name).alias("report"), "metric", F.col("value").cast("double").alias("number"))
+
+    return (
+        line(report("clean", "structural"), "structural", "n_rows")
+        .unionByName(line(report("clean", "quality"), "quality", "total_rows"))
+        .unionByName(line(report("published", "pii"), "pii", "total_records"))
+    )
+
+
 @query(
     "csv_round_trip",
     """SELECT conv_id, turn, nullif(role, '') AS role, nullif(text, '') AS text

@@ -145,6 +145,12 @@ VIEWS = {
                CAST(o_orderkey % 6 AS INT) AS depth,
                CAST(o_orderkey % 17 AS INT) AS sort_order
         FROM {orders}""",
+    "tool_content": """
+        SELECT content_object_id, tool_id,
+               CASE WHEN content_object_id % 7 = 0 THEN NULL
+                    WHEN tool_id = 51000 THEN content_object_id
+                    ELSE content_object_id + content_object_id % 2 END AS object_id1
+        FROM {content}""",
     "forums": """
         SELECT p_partkey AS forum_id, CAST(floor(p_partkey / 2) AS BIGINT) AS org_unit_id,
                p_name AS name, p_size > 25 AS must_post_to_participate,

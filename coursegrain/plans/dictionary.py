@@ -284,6 +284,34 @@ def content_rules(
     )
 
 
+def tool_objects(
+    content: DataFrame, quizzes: DataFrame, grades: DataFrame, *, quiz_tool: int = QUIZ_TOOL
+) -> DataFrame:
+    """``content_object_id, tool_id, object_id1, kind, linked_id, linked_name``: each
+    content object with the quizzes and grade items its tool and object id point to.
+
+    Ids are unique within a tool only, so the join is on both; the targets of all tools are
+    one table, and content meets it once.
+    """
+    targets = quizzes.select(
+        F.lit(quiz_tool).alias("tool_id"),
+        F.col("quiz_id").alias("object_id1"),
+        F.lit("quiz").alias("kind"),
+        F.col("quiz_id").alias("linked_id"),
+        F.col("quiz_name").alias("linked_name"),
+    ).unionByName(
+        grades.select(
+            "tool_id",
+            F.col("associated_tool_item_id").alias("object_id1"),
+            F.lit("grade").alias("kind"),
+            F.col("grade_object_id").alias("linked_id"),
+            F.col("name").alias("linked_name"),
+        )
+    )
+    own = content.select("content_object_id", "tool_id", "object_id1")
+    return joins.left_join(own, targets, {"tool_id": "tool_id", "object_id1": "object_id1"})
+
+
 def tool_use(df: DataFrame, *, tool: str = "tool_id") -> DataFrame:
     """``tool_id, n, tool_name``."""
     counts = df.where(col(tool).isNotNull()).groupBy(col(tool)).agg(row_count().alias("n"))

@@ -7,6 +7,7 @@ account for it. The eight jobs of a tier differ only in their ``TableSpec``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -19,7 +20,7 @@ from ..functions.names import col
 from ..operators import cleaning, quality, redaction
 from ..operators.columns import TEMPORAL, columns_of, normalize_column_names
 from ..sources.contracts import TABLES, TableSpec
-from ..sources.files import data_path, publish, scan, write_report
+from ..sources.files import data_path, publish, remove, scan, scratch_folder, write_report
 from . import reports
 
 PROFILE_TOP_VALUES = 10
@@ -76,13 +77,13 @@ def run_etl(
     spec: TableSpec,
     *,
     fmt: str = "csv",
-    staged: bool = True,
+    scratch: str | None = None,
 ) -> str:
     """One table from its raw export to the clean tier with both reports.
 
-    The raw text is parsed once, into a typed columnar copy beside the data; the
-    profile, the scorecard and the published rows read that copy. ``staged=False``
-    saves its space and parses the text for each of them.
+    The raw text is parsed once, into a typed columnar copy; the profile, the scorecard
+    and the published rows read that copy. It holds what later tiers leave out, so it is
+    kept in ``scratch`` (the session's shared folder unless given) and deleted at the end.
     """
     raw = scan(
         spark,
@@ -91,14 +92,17 @@ def run_etl(
         multiline=spec.multiline,
     )
     where = (out_base, spec.dataset, spec.table)
-    if staged:
-        copy = publish(raw, *where, fmt="parquet", part="staged")
+    copy = f"{(scratch or scratch_folder(spark)).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    raw.write.parquet(copy)
+    try:
         raw = spark.read.parquet(copy)
-    profile = reports.structural_report(raw, top_values_k=PROFILE_TOP_VALUES)
-    write_report(profile, *where, "structural")
-    # The scorecard needs types that the text tier no longer has.
-    write_report(scorecard(typed_clean(raw, spec), spec), *where, "quality")
-    return publish(clean_table(raw, spec), *where, fmt=fmt)
+        profile = reports.structural_report(raw, top_values_k=PROFILE_TOP_VALUES)
+        write_report(profile, *where, "structural")
+        # The scorecard needs types that the text tier no longer has.
+        write_report(scorecard(typed_clean(raw, spec), spec), *where, "quality")
+        return publish(clean_table(raw, spec), *where, fmt=fmt)
+    finally:
+        remove(spark, copy)
 
 
 def deidentified(clean: DataFrame, spec: TableSpec) -> DataFrame:

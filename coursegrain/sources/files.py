@@ -28,6 +28,12 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def data_path(base: str, dataset: str, table: str, part: str = "data") -> str:
     return f"{base.rstrip('/')}/{dataset}/{table}/{part}"
 

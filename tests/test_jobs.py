@@ -105,9 +105,9 @@ def test_observed_counts_equal_the_aggregate(spark, base):
     assert report.first()["total_records"] == 3
 
 
-def test_unstaged_parquet_tier_gives_the_same_rows(spark, base, tmp_path):
+def test_parquet_tier_gives_the_same_rows_and_leaves_no_copy(spark, base, tmp_path):
     spec = TABLES["quizobjects"]
-    jobs.run_etl(spark, f"{base}/raw", str(tmp_path), spec, fmt="parquet", staged=False)
+    jobs.run_etl(spark, f"{base}/raw", str(tmp_path), spec, fmt="parquet", scratch=f"{tmp_path}/own")
     path = data_path(str(tmp_path), spec.dataset, spec.table)
     names = ["quiz_id", "quiz_name", "has_quiz_description"]
     other = scan(spark, path, fmt="parquet").select(*names)
