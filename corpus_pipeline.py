@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from coursegrain.llm import lines, minhash, packing, suffixes, toxicity
-from coursegrain.llm.common import cut, read
+from coursegrain.llm.common import read, stored
 from coursegrain.llm.queries import byte_bpe
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -58,5 +58,5 @@ def run(spark: SparkSession, folder: str) -> DataFrame:
     for name, stage in STAGES:
         docs = stage(spark, docs, folder)
         if name != STAGES[-1][0]:
-            docs = cut(docs)
+            docs = stored(docs)
     return docs

@@ -156,6 +156,23 @@ def test_windows_agree_with_attention_one_subword_at_a_time():
     assert abs(got - total) < 1e-3
 
 
+def test_counts_of_beginnings(spark, vocabulary):
+    words = ["the", "thereabouts", "xqzthe", "é", "the,", "antidisestablishment", "a"]
+    df = spark.createDataFrame([(w, 3 + k) for k, w in enumerate(words)], "word string, c long")
+    got = {(r.kind, r.first, r.then): r.c for r in scoring.subword_counts(df, vocabulary).collect()}
+    want, encoder = collections.Counter(), scoring.Words(**vocabulary)
+    for k, w in enumerate(words):
+        ids = memoryview(encoder.ids(" " + w)).cast("I").tolist()
+        want[1, 0, ids[0]] += 3 + k
+        state = scoring._after(0, ids[0])
+        for before, i in zip(ids, [*ids[1:], scoring.END]):
+            longer = scoring._after(state, i)
+            for key in ((0, 0, before), (2, before, i), (3, state, longer)):
+                want[key] += 3 + k
+            state = longer
+    assert got == want
+
+
 def test_texts_of_a_batch_do_not_mix():
     layer, ids = layer_for_tests()
     counted = np.full(len(ids), 0.01, np.float32)
@@ -175,7 +192,8 @@ def test_class_part_is_a_distribution():
 def test_training_helps():
     rng = np.random.default_rng(5)
     ids = np.tile([7, 8, 9, 10], 4000) + 20 * rng.integers(0, 2, 4000).repeat(4)
-    counts = scoring.Counts(np.bincount(ids, minlength=scoring.VOCABULARY).astype(float), np.zeros(scoring.VOCABULARY), {}, {}, {}, {})
+    start = np.bincount(ids, minlength=scoring.VOCABULARY) + 0.01
+    counts = scoring.Counts(start, start / start.sum(), {}, {}, {}, {})
     prior = np.full(len(ids), 1e-3, np.float32)
     layer = scoring.new_layer(ids, counts)
     before = scoring.Scorer(layer).score(ids[:800], prior[:800], np.array([800]))[0]
