@@ -8,11 +8,11 @@ similarity of their shingles. Documents that agree in a band of registers are
 candidates.
 
 Documents with equal shingle sets are one class from the start, known by its smallest
-id. In each bucket every class is paired with one other, not with all: first with the
-smallest id; then, in rounds, with a leader drawn anew for each band, except where
-the two are linked to one leader already or were compared before, until a round adds
-no link. Bands draw different leaders, so that members of a small bucket meet
-each other, and a large bucket of copies gives each member one pair.
+id. In each bucket every class is paired
+with the smallest id. Then, in rounds, each component of links found so far sends a member
+of its own, drawn anew for each band, to meet one of another in the bucket, until a round
+finds no link. A large bucket of copies is one component and gives no more pairs; in a
+small one, bands draw different members, so that those not yet linked meet.
 
 A pair is linked if its sets of shingles have a Jaccard similarity of ``similarity``
 or more, computed from both texts. Classes are the components of links.
@@ -27,10 +27,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, components, cut
+from .common import as_row, by_batch, components, cut, from_row
 from .hashing import mix, shingles, text_chunks
 
 SHINGLE = 5
@@ -165,6 +165,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, width: int)
     return by_batch(both, make, "a long, b long")
 
 
+def _ident() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text").bitwiseOR(F.lit(-(1 << 63))))
+
+
 def near_classes(
     docs: DataFrame,
     *,
@@ -174,8 +178,7 @@ def near_classes(
     band_rows: int = ROWS,
 ) -> DataFrame:
     """``id, class_id``, one row per id: the smallest id of its class."""
-    ident = F.coalesce(F.col("doc_id").cast("long"), -F.abs(F.xxhash64("text")) - 1)
-    rows = docs.select(ident.alias("id"), "text")
+    rows = docs.select(_ident().alias("id"), "text")
     marks = cut(sketches(rows, width=width, bands=bands, band_rows=band_rows))
     held = marks.where("keys IS NOT NULL")
     # One member for each set of shingles; all rows of an id belong together.
@@ -191,26 +194,15 @@ def near_classes(
     candidates = buckets.select(F.col("node").alias("id")).distinct()
     texts = cut(_packed(rows).join(candidates, "id", "left_semi").dropDuplicates(["id"]))
 
-    def pairs_with(order: F.Column) -> DataFrame:
-        leader = buckets.groupBy("band", "key").agg(F.min_by("node", order).alias("leader"))
-        met = buckets.join(leader, ["band", "key"]).where("node <> leader")
-        return met.select(
-            F.least("node", "leader").alias("b"), F.greatest("node", "leader").alias("a")
-        ).distinct()
-
-    tried = cut(pairs_with(F.col("node")))
+    leaders = buckets.groupBy("band", "key").agg(F.min("node").alias("b"))
+    met = buckets.join(leaders, ["band", "key"]).where("node <> b")
+    tried = cut(met.select(F.col("node").alias("a"), "b").distinct())
     links = cut(_verified(tried, texts, similarity, width))
     turn = 0
     while True:
         turn += 1
-        # Enough to leave out most pairs that are in one component already.
-        group = links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("group"))
-        drawn = pairs_with(F.xxhash64("node", "band", F.lit(turn)))
-        for end in ("a", "b"):
-            own = group.select(F.col("id").alias(end), F.col("group").alias(f"group_{end}"))
-            drawn = drawn.join(own, end, "left")
-        apart = F.coalesce("group_a", "a") != F.coalesce("group_b", "b")
-        fresh = cut(drawn.where(apart).select("a", "b").join(tried, ["a", "b"], "left_anti"))
+        parts = components(candidates, links)
+        fresh = cut(_across(buckets, parts, turn).join(tried, ["a", "b"], "left_anti"))
         more = cut(_verified(fresh, texts, similarity, width))
         if more.isEmpty():
             break
@@ -219,11 +211,25 @@ def near_classes(
     return components(ids, equal.unionByName(links)).withColumnRenamed("component", "class_id")
 
 
+def _across(buckets: DataFrame, parts: DataFrame, turn: int) -> DataFrame:
+    """Pairs ``a, b`` of one drawn member each of two components that share a bucket. A
+    bucket gives a pair for each of its components but one, however many members they
+    have."""
+    draw = F.xxhash64("node", "band", F.lit(turn))
+    members = (
+        buckets.join(parts.withColumnRenamed("id", "node"), "node")
+        .groupBy("band", "key", "component")
+        .agg(F.min(F.struct(draw.alias("draw"), "node")).alias("member"))
+    )
+    first = members.groupBy("band", "key").agg(F.min("member").alias("first"))
+    return members.join(first, ["band", "key"]).where("member.node <> first.node").select(
+        F.greatest("member.node", "first.node").alias("a"), F.least("member.node", "first.node").alias("b")
+    ).distinct()
+
+
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stand for their class, columns unchanged: the smallest
     id, once."""
-    classes = near_classes(docs, **options).where("class_id <> id").select(F.col("id").alias("_gone"))
-    ident = F.coalesce(F.col("doc_id").cast("long"), -F.abs(F.xxhash64("text")) - 1)
-    rows = docs.withColumn("_id", ident)
-    kept = rows.join(classes, rows["_id"] == classes["_gone"], "left_anti")
-    return kept.dropDuplicates(["_id"]).select(*docs.columns)
+    gone = near_classes(docs, **options).where("class_id <> id").select("id")
+    rows = docs.select(_ident().alias("id"), as_row(docs))
+    return rows.join(gone, "id", "left_anti").dropDuplicates(["id"]).select(from_row(docs))
