@@ -66,10 +66,13 @@ class _Words(dict):
             )
         self._careful = regex.compile(r"(?<=\S) (?=\S)")
 
-    def ids(self, text: str) -> bytes:
+    def listed(self, text: str) -> list[int]:
         if self._fast is not None and (not text or max(text) < "ɐ") and "<|" not in text:
-            return array("I", self._fast.encode_ordinary(text)).tobytes()
-        return array("I", self._slow.encode(text, add_special_tokens=False).ids).tobytes()
+            return self._fast.encode_ordinary(text)
+        return self._slow.encode(text, add_special_tokens=False).ids
+
+    def ids(self, text: str) -> bytes:
+        return array("I", self.listed(text)).tobytes()
 
     def __missing__(self, word: str) -> bytes:
         if not word or word[0].isspace() or word[-1].isspace():
