@@ -8,11 +8,11 @@ similarity of their shingles. Documents that agree in a band of registers are
 candidates.
 
 Documents with equal shingle sets are one class from the start, known by its smallest
-id. In each bucket every class is paired
-with the smallest id. Then, in rounds, each component of links found so far sends a member
-of its own, drawn anew for each band, to meet one of another in the bucket, until a round
-finds no link. A large bucket of copies is one component and gives no more pairs; in a
-small one, bands draw different members, so that those not yet linked meet.
+id. In each bucket every class is paired with the smallest id. Then all pairs of a bucket
+that are not yet in one component are compared, block against block inside the tasks:
+what leaves a task is a link for each class it joined to another, not the pairs. Blocks
+hold like numbers of shingles, and a component that fills blocks has them to itself, so
+that blocks which cannot link are not compared. Buckets with the same members are one.
 
 A pair is linked if its sets of shingles have a Jaccard similarity of ``similarity``
 or more, computed from both texts. Classes are the components of links.
@@ -32,11 +32,14 @@ from pyspark.sql import functions as F
 
 from .common import as_row, by_batch, components, cut, from_row
 from .hashing import mix, shingles, text_chunks
+from .vectors import local_components
 
 SHINGLE = 5
 SIMILARITY = 0.8
 #: At similarity 0.8 a pair shares a band with probability 0.9998.
 BANDS, ROWS = 28, 6
+#: Classes, and shingles, that a block of a bucket holds.
+BLOCK, BLOCK_SHINGLES = 512, 1_000_000
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -79,18 +82,17 @@ def _distinct(text: np.ndarray, hashed: np.ndarray) -> tuple[np.ndarray, np.ndar
 def sketches(
     rows: DataFrame, *, width: int = SHINGLE, bands: int = BANDS, band_rows: int = ROWS
 ) -> DataFrame:
-    """``id, set_a, set_b, keys``: two hashes of the set of shingles, and a key for each
-    band; ``keys`` is NULL for a text without words."""
+    """``id, set_a, set_b, held, keys``: two hashes of the set of shingles, its size, and a
+    key for each band; ``keys`` is NULL for a text without words."""
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             sets: list[np.ndarray] = []
             keys: list[np.ndarray] = []
-            filled: list[np.ndarray] = []
+            sizes: list[np.ndarray] = []
             for at, end, data, offsets in text_chunks(batch["text"]):
                 n = end - at
                 text, hashed, count = _distinct(*shingles(data, offsets, width))
-                found = np.bincount(text, minlength=n) > 0
                 own = np.zeros((n, 2), np.uint64)
                 np.add.at(own[:, 0], text, mix(hashed + _GOLDEN))
                 np.add.at(own[:, 1], text, mix(hashed ^ _GOLDEN))
@@ -99,19 +101,19 @@ def sketches(
                 signed = signed.reshape(n, bands, band_rows)
                 for k in range(band_rows):
                     band = mix(band * _GOLDEN + signed[:, :, k])
-                sets.append(own), keys.append(band), filled.append(found)
-            own, band, found = np.concatenate(sets), np.concatenate(keys), np.concatenate(filled)
+                sets.append(own), keys.append(band), sizes.append(np.bincount(text, minlength=n))
+            own, band, size = np.concatenate(sets), np.concatenate(keys), np.concatenate(sizes)
             flat = pa.array(band.view(np.int64).ravel())
             listed = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(band) + 1, dtype=np.int32) * bands), flat,
-                mask=pa.array(~found),
+                mask=pa.array(size == 0),
             )
-            columns = [batch["id"], pa.array(own[:, 0].view(np.int64)), pa.array(own[:, 1].view(np.int64)), listed]
-            return pa.record_batch(columns, ["id", "set_a", "set_b", "keys"])
+            columns = [batch["id"], pa.array(own[:, 0].view(np.int64)), pa.array(own[:, 1].view(np.int64)), pa.array(size.astype(np.int64)), listed]
+            return pa.record_batch(columns, ["id", "set_a", "set_b", "held", "keys"])
 
         return work
 
-    return by_batch(rows, make, "id long, set_a long, set_b long, keys array<long>")
+    return by_batch(rows, make, "id long, set_a long, set_b long, held long, keys array<long>")
 
 
 def _packed(rows: DataFrame) -> DataFrame:
@@ -176,19 +178,22 @@ def near_classes(
     width: int = SHINGLE,
     bands: int = BANDS,
     band_rows: int = ROWS,
+    block: int = BLOCK,
 ) -> DataFrame:
     """``id, class_id``, one row per id: the smallest id of its class."""
     rows = docs.select(_ident().alias("id"), "text")
     marks = cut(sketches(rows, width=width, bands=bands, band_rows=band_rows))
     held = marks.where("keys IS NOT NULL")
     # One member for each set of shingles; all rows of an id belong together.
-    least = held.groupBy("set_a", "set_b").agg(F.min("id").alias("node"), F.first("keys").alias("keys"))
+    least = held.groupBy("set_a", "set_b").agg(
+        F.min("id").alias("node"), F.first("held").alias("held"), F.first("keys").alias("keys")
+    )
     least = cut(least)
     member = held.select("id", "set_a", "set_b").join(
         least.select("set_a", "set_b", "node"), ["set_a", "set_b"]
     )
     equal = member.where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
-    buckets = least.select("node", F.posexplode("keys").alias("band", "key"))
+    buckets = least.select("node", "held", F.posexplode("keys").alias("band", "key"))
     crowded = buckets.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = cut(buckets.join(crowded.select("band", "key"), ["band", "key"]))
     candidates = buckets.select(F.col("node").alias("id")).distinct()
@@ -198,33 +203,106 @@ def near_classes(
     met = buckets.join(leaders, ["band", "key"]).where("node <> b")
     tried = cut(met.select(F.col("node").alias("a"), "b").distinct())
     links = cut(_verified(tried, texts, similarity, width))
-    turn = 0
-    while True:
-        turn += 1
-        parts = components(candidates, links)
-        fresh = cut(_across(buckets, parts, turn).join(tried, ["a", "b"], "left_anti"))
-        more = cut(_verified(fresh, texts, similarity, width))
-        if more.isEmpty():
-            break
-        tried, links = tried.unionByName(fresh), links.unionByName(more)
+    parts = cut(components(candidates, links))
+    links = links.unionByName(cut(_between(buckets, parts, texts, similarity, width, block)))
     ids = marks.select("id").distinct()
     return components(ids, equal.unionByName(links)).withColumnRenamed("component", "class_id")
 
 
-def _across(buckets: DataFrame, parts: DataFrame, turn: int) -> DataFrame:
-    """Pairs ``a, b`` of one drawn member each of two components that share a bucket. A
-    bucket gives a pair for each of its components but one, however many members they
-    have."""
-    draw = F.xxhash64("node", "band", F.lit(turn))
-    members = (
-        buckets.join(parts.withColumnRenamed("id", "node"), "node")
-        .groupBy("band", "key", "component")
-        .agg(F.min(F.struct(draw.alias("draw"), "node")).alias("member"))
+def _between(
+    buckets: DataFrame, parts: DataFrame, texts: DataFrame, similarity: float, width: int, block: int
+) -> DataFrame:
+    """Links ``a, b`` that join what the pairs of each bucket join, leaving out pairs of one
+    component. A class that was linked in a task is returned once."""
+    where = ["band", "key"]
+    placed = buckets.join(parts.withColumnRenamed("id", "node"), "node")
+    members = [F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")]
+    # In a bucket of two the smallest id has met the other.
+    open_ = (
+        placed.groupBy(where)
+        .agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), *members)
+        .where("n > 2 AND low <> high")
+        .groupBy("n", "x", "y")
+        .agg(F.min(F.struct(*where)).alias("at"))
+        .select("at.*", "n")
     )
-    first = members.groupBy("band", "key").agg(F.min("member").alias("first"))
-    return members.join(first, ["band", "key"]).where("member.node <> first.node").select(
-        F.greatest("member.node", "first.node").alias("a"), F.least("member.node", "first.node").alias("b")
-    ).distinct()
+    placed = cut(placed.join(open_, where))
+    own = placed.groupBy(*where, "component").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= block)
+    # Sets that link are of one class of sizes or of neighbouring ones.
+    sizes = F.floor(F.log("held") / F.log(F.lit(1.001 / similarity)))
+    placed = placed.join(own, [*where, "component"], "left").select(
+        *where, "node", "component", "held",
+        F.col("m").isNotNull().alias("alone"),
+        F.when(F.col("m").isNotNull(), F.col("component")).otherwise(0).alias("own"),
+        F.when(F.col("n") > block, sizes).otherwise(0).alias("sizes"),
+    )
+    group = [*where, "alone", "own", "sizes"]
+    share = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("held") / BLOCK_SHINGLES))
+    pieces = placed.groupBy(group).agg(share.alias("pieces"))
+    cells = pieces.select(*group, F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("piece"))
+    cell = F.struct("alone", "own", "sizes", "piece").alias("cell")
+    cells = cells.select(*where, cell)
+    one, two = F.col("one"), F.col("two")
+    met = cells.withColumnRenamed("cell", "one").join(cells.withColumnRenamed("cell", "two"), where).where(
+        (one <= two)
+        & (F.abs(one["sizes"] - two["sizes"]) <= 1)
+        & ~(one["alone"] & two["alone"] & (one["own"] == two["own"]))
+    )
+    sides = F.array_distinct(F.array("one", "two"))
+    met = met.select(*where, F.explode(sides).alias("cell"), "one", "two")
+    placed = placed.join(pieces, group).select(
+        *where, "node", "component", "alone", "own", "sizes",
+        F.pmod(F.xxhash64("node", "band"), F.col("pieces")).alias("piece"),
+    ).select(*where, "node", "component", cell)
+    sent = placed.join(met, [*where, "cell"]).select(
+        *where, F.col("node").alias("id"), "component", F.xxhash64("one").alias("one"), F.xxhash64("two").alias("two"),
+        (F.col("cell") == one).alias("first"), (F.col("cell") == two).alias("second"),
+    )
+
+    def work(table: pa.Table) -> pa.Table:
+        return _block_links(table, similarity, width)
+
+    return sent.join(texts, "id").groupBy(*where, "one", "two").applyInArrow(work, "a long, b long")
+
+
+def _block_links(table: pa.Table, similarity: float, width: int, columns: int = 4096) -> pa.Table:
+    """Each class that is linked to another of a block, or of the other block, with the
+    representative of those it is joined to."""
+    codec = pa.Codec("zstd")
+    data = [
+        codec.decompress(packed, size, asbytes=True) if size else b""
+        for packed, size in zip(table["packed"].to_pylist(), table["size"].to_pylist(), strict=True)
+    ]
+    text, hashed = [], []
+    for at, _, body, offsets in text_chunks(pa.array(data, pa.large_binary())):
+        of, own, _ = _distinct(*shingles(body, offsets, width))
+        text.append(of + at), hashed.append(own)
+    text, hashed = np.concatenate(text), np.concatenate(hashed)
+    ids, component, first, second = (table[c].to_numpy() for c in ("id", "component", "first", "second"))
+    held = np.bincount(text, minlength=len(ids)).astype(np.float64)
+    # Only shingles of more than one component can be shared by a pair that counts.
+    order = np.argsort(hashed, kind="stable")
+    text, hashed = text[order], hashed[order]
+    starts = np.flatnonzero(np.r_[True, hashed[1:] != hashed[:-1]])
+    of = component[text]
+    mixed = np.minimum.reduceat(of, starts) != np.maximum.reduceat(of, starts)
+    kept = np.repeat(mixed, np.diff(np.r_[starts, len(text)]))
+    text = text[kept]
+    column = np.repeat(np.arange(mixed.sum()), np.diff(np.r_[starts, len(kept)])[mixed])
+    rows, others = np.flatnonzero(first), np.flatnonzero(second)
+    shared = np.zeros((len(rows), len(others)), np.float32)
+    for low in range(0, int(mixed.sum()), columns):
+        here = slice(*np.searchsorted(column, [low, low + columns]))
+        dense = np.zeros((len(ids), columns), np.float32)
+        dense[text[here], column[here] - low] = 1
+        shared += dense[rows] @ dense[others].T
+    union = held[rows][:, None] + held[others][None, :] - shared
+    near = (shared >= similarity * union - 1e-9) & (component[rows][:, None] != component[others][None, :])
+    a, b = np.nonzero(near)
+    a, b = rows[a], others[b]
+    least = local_components(len(ids), a, b)
+    hit = np.unique(np.r_[a, b])
+    return pa.table({"a": ids[hit], "b": ids[least[hit]]})
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:

@@ -116,6 +116,26 @@ def test_chains_of_near_copies(docs):
     assert minhash.near_classes(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("block", [512, 16])
+def test_hidden_pairs_among_texts_with_one_passage(docs, block):
+    """Texts share a passage, 0.78 of their shingles: they meet in bands but do not link.
+    Pairs at 0.80 have few bands to themselves."""
+    rng = random.Random(8)
+    words = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    passage, texts = words(179), {}
+    ids = rng.sample(range(10**6), 400)
+    for k in range(0, 400, 2):
+        both = words(3)
+        for i in ids[k : k + 2]:
+            if k >= 80:
+                both = words(3)
+            texts[i] = " ".join([*passage, *both, *words(22)])
+    want = classes_by_brute_force(texts)
+    assert sum(i != c for i, c in want.items()) == 40
+    found = {r.id: r.class_id for r in minhash.near_classes(docs(texts.items()), block=block).collect()}
+    assert found == want
+
+
 def test_signatures_estimate_probability_jaccard():
     rng = np.random.default_rng(0)
     element = rng.integers(0, 2**63, 60).astype(np.uint64)
