@@ -1,11 +1,12 @@
 """Near-duplicate documents by ProbMinHash signatures, bands and verification.
 
-A document's shingles (runs of five words, weighted by how often they occur) arrive as
-Poisson processes, faster the heavier they are. Each arrival draws a register; a
-register keeps the shingle that came first. Arrivals end once all registers are older
-than the next one. Two documents agree in a register with the probability Jaccard
-similarity of their shingles. Documents that agree in a band of registers are
-candidates.
+A document's different shingles (runs of five words) arrive as Poisson processes of one
+rate each: candidates are for the similarity of sets, by which pairs are linked, so how
+often a shingle occurs does not weigh. ``signatures`` takes any weights. Each arrival draws
+a register; a register keeps the shingle that came first. Arrivals end once all registers
+are older than the next one. Two documents agree in a register with the probability Jaccard
+similarity of their shingles, which with equal weights is close to that of the sets, and
+equal to it for sets of one size. Documents that agree in a band of registers are candidates.
 
 Documents with equal shingle sets are one class from the start, known by its smallest
 id. In each bucket every class is paired with the smallest id. Then all pairs of a bucket
@@ -36,7 +37,7 @@ from .vectors import local_components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: At similarity 0.8 a pair shares a band with probability 0.9998.
+#: At similarity 0.8 a pair of sets of one size shares a band with probability 0.9998.
 BANDS, ROWS = 28, 6
 #: Classes, and shingles, that a block of a bucket holds.
 BLOCK, BLOCK_SHINGLES = 512, 1_000_000
@@ -70,13 +71,12 @@ def signatures(
     return kept.reshape(texts, registers)
 
 
-def _distinct(text: np.ndarray, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The shingles of each text once, with their counts."""
+def _distinct(text: np.ndarray, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of each text once."""
     order = np.lexsort((hashed, text))
     text, hashed = text[order], hashed[order]
     new = np.r_[True, (text[1:] != text[:-1]) | (hashed[1:] != hashed[:-1])] if len(text) else np.zeros(0, bool)
-    at = np.flatnonzero(new)
-    return text[at], hashed[at], np.diff(np.r_[at, len(text)])
+    return text[new], hashed[new]
 
 
 def sketches(
@@ -92,11 +92,11 @@ def sketches(
             sizes: list[np.ndarray] = []
             for at, end, data, offsets in text_chunks(batch["text"]):
                 n = end - at
-                text, hashed, count = _distinct(*shingles(data, offsets, width))
+                text, hashed = _distinct(*shingles(data, offsets, width))
                 own = np.zeros((n, 2), np.uint64)
                 np.add.at(own[:, 0], text, mix(hashed + _GOLDEN))
                 np.add.at(own[:, 1], text, mix(hashed ^ _GOLDEN))
-                signed = signatures(text, hashed, count.astype(np.float64), n, bands * band_rows)
+                signed = signatures(text, hashed, np.ones(len(text)), n, bands * band_rows)
                 band = np.zeros((n, bands), np.uint64)
                 signed = signed.reshape(n, bands, band_rows)
                 for k in range(band_rows):
@@ -275,7 +275,7 @@ def _block_links(table: pa.Table, similarity: float, width: int, columns: int =
     ]
     text, hashed = [], []
     for at, _, body, offsets in text_chunks(pa.array(data, pa.large_binary())):
-        of, own, _ = _distinct(*shingles(body, offsets, width))
+        of, own = _distinct(*shingles(body, offsets, width))
         text.append(of + at), hashed.append(own)
     text, hashed = np.concatenate(text), np.concatenate(hashed)
     ids, component, first, second = (table[c].to_numpy() for c in ("id", "component", "first", "second"))

@@ -136,6 +136,19 @@ def test_hidden_pairs_among_texts_with_one_passage(docs, block):
     assert found == want
 
 
+def test_looped_passages(docs):
+    """One word is edited and one of the two repeats a passage: sets stay alike, counts do not."""
+    rng = random.Random(9)
+    texts = {}
+    for k in range(0, 60, 2):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(150)]
+        edited = [*words]
+        edited[20] = "edited"
+        texts[k], texts[k + 1] = " ".join(words + words[100:] * 40), " ".join(edited + edited[100:])
+    found = {r.id: r.class_id for r in minhash.near_classes(docs(texts.items())).collect()}
+    assert found == classes_by_brute_force(texts) == {i: i // 2 * 2 for i in texts}
+
+
 def test_signatures_estimate_probability_jaccard():
     rng = np.random.default_rng(0)
     element = rng.integers(0, 2**63, 60).astype(np.uint64)
