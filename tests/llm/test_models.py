@@ -124,6 +124,39 @@ def test_score_edge_cases(docs, vocabulary, quick):
     assert scoring.score_texts(docs([]), vocabulary).count() == 0
 
 
+def test_attention_scores_every_subword(docs, vocabulary, quick, monkeypatch):
+    """Long runs of characters and compounds too, not only the beginnings of words."""
+    fitted, trained, real_fit, real_train = [], [], scoring.fit, scoring.train
+
+    def fit(*args):
+        fitted.append(real_fit(*args))
+        return fitted[-1]
+
+    def train(ids, counted, layer):
+        trained.append(ids)
+        return real_train(ids, counted, layer)
+
+    monkeypatch.setattr(scoring, "fit", fit)
+    monkeypatch.setattr(scoring, "train", train)
+    rows = {i: f"antidisestablishment{i} é東京都 http://a.b/c{i}?d " + "xqzthe" * 20 for i in range(30)}
+    got = {r.doc_id: r.score for r in scoring.score_texts(docs(rows.items()), vocabulary).collect()}
+    (counts, layer), encoder = fitted[0], scoring.Words(**vocabulary)
+    steps = 1
+    for i, text in rows.items():
+        ids, p, stop = [], [], 1.0
+        for w in scoring.words_of(text):
+            own = memoryview(encoder.ids(" " + w.decode())).cast("I").tolist()
+            first, after = counts.of_word(own)
+            ids += own
+            p += [first[0] * stop, *first[1:]]
+            stop = after
+        ids, p = np.array([*ids, scoring.END]), np.array([*p, counts.start[scoring.END] * stop], np.float32)
+        want = scoring.Scorer(layer).score(ids, p, np.array([len(ids)]))[0]
+        assert abs(got[i] - want) < 1e-3 * abs(want)
+        steps += 0 if fold(i, 7) == 2 else len(ids)
+    assert len(trained[0]) == steps
+
+
 def layer_for_tests():
     rng = np.random.default_rng(0)
     ids = rng.integers(0, 50, 4000)
