@@ -86,6 +86,21 @@ def by_batch(
     return df.mapInArrow(run, schema)
 
 
+def by_batches(
+    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]], schema: str
+) -> DataFrame:
+    """``by_batch`` for functions that return a batch in parts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            if batch.num_rows:
+                out = work(batch)
+                yield from [out] if isinstance(out, pa.RecordBatch) else out
+
+    return df.mapInArrow(run, schema)
+
+
 def crc_remainder(col: Column, n: int) -> Column:
     """crc32 of the value as text, modulo n; NULL counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")), F.lit(n))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chats, lines, minhash, packing, quality, scoring, segments, suffixes, toxicity, vectors
+from . import chats, collocations, lines, minhash, packing, quality, scoring, segments, suffixes, toxicity, vectors
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,3 +196,52 @@ def gumbel_segmentations(spark: SparkSession, folder: str) -> DataFrame:
 
     model = public_tokenizers.path("piece_bpe_32k.model")
     return segments.segmentations(read(spark, folder, "documents"), model, ids=False)
+
+
+@query(
+    "op11_stripe_collocations",
+    r"""
+    WITH pieces AS (
+      SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS words
+      FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+      )
+    ), places AS (
+      SELECT lang, words, unnest(generate_series(1, len(words))) AS i FROM pieces WHERE len(words) > 0
+    ), sizes AS (
+      SELECT lang, count(*) AS n FROM places GROUP BY lang
+    ), phrases AS (
+      SELECT lang, array_to_string(words[i : i + k - 1], ' ') AS phrase, k, count(*) AS f
+      FROM places, (VALUES (1), (2), (3), (4)) AS lengths(k)
+      WHERE i + k - 1 <= len(words) GROUP BY ALL HAVING count(*) >= 30
+    ), candidates AS (
+      SELECT lang, phrase, string_split(phrase, ' ') AS words, k, f AS a FROM phrases WHERE k >= 2
+    ), inner_phrases AS (
+      SELECT lang, k, words, a, i, m
+      FROM candidates, (VALUES (1), (2), (3)) AS starts(i), (VALUES (2), (3)) AS lengths(m)
+      WHERE m < k AND i + m - 1 <= k
+    ), around AS (
+      SELECT lang, array_to_string(words[i : i + m - 1], ' ') AS phrase, max(a) AS longer
+      FROM inner_phrases GROUP BY ALL
+    ), alone AS (
+      SELECT c.* FROM candidates c LEFT JOIN around o USING (lang, phrase)
+      WHERE longer IS NULL OR 100 * longer::HUGEINT < 80 * a::HUGEINT
+    ), cuts AS (
+      SELECT c.lang, c.phrase, a, cut, l.f AS l, r.f AS r, 2000000 * a::HUGEINT // (l.f::HUGEINT + r.f) AS score
+      FROM (SELECT *, unnest(generate_series(1, k - 1)) AS cut FROM alone) c
+      JOIN phrases l ON l.lang = c.lang AND l.phrase = array_to_string(words[1 : cut], ' ')
+      JOIN phrases r ON r.lang = c.lang AND r.phrase = array_to_string(words[cut + 1 :], ' ')
+    ), scored AS (
+      SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+    ), ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored
+    )
+    SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+    FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+    """,
+)
+def stripe_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(read(spark, folder, "documents"))
