@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chats, collocations, lines, minhash, packing, quality, scoring, segments, suffixes, toxicity, vectors
+from . import chats, collocations, lines, minhash, negatives, packing, quality, scoring, segments, suffixes, toxicity, vectors
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -245,3 +245,36 @@ def gumbel_segmentations(spark: SparkSession, folder: str) -> DataFrame:
 )
 def stripe_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(read(spark, folder, "documents"))
+
+
+@query(
+    "op13_coordinate_negatives",
+    """
+    WITH given AS (
+      SELECT row_number() OVER () AS row, vec_id AS id,
+             CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             [floor(256 * x::DOUBLE) FOR x IN embedding] AS vector
+      FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    ), scored AS (
+      SELECT a.row AS anchor, a.id AS anchor_id, a.label AS of, b.row, b.id, b.label,
+             CAST(list_dot_product(a.vector, b.vector) AS BIGINT) AS score
+      FROM given a JOIN given b ON a.row <> b.row AND len(a.vector) = len(b.vector)
+      WHERE a.id % 100 = 0
+    ), positives AS (
+      SELECT anchor, id AS positive_id, score AS positive_score,
+             row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) AS place
+      FROM scored WHERE of = label QUALIFY place <= 5
+    )
+    SELECT anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+           CAST(row_number() OVER (PARTITION BY anchor, place ORDER BY score DESC, id) AS INTEGER) AS rank
+    FROM scored JOIN positives USING (anchor)
+    WHERE of <> label AND 30 * positive_score::HUGEINT <= 100 * score::HUGEINT
+      AND 100 * score::HUGEINT <= 90 * positive_score::HUGEINT
+    QUALIFY rank <= 10
+    """,
+)
+def coordinate_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(read(spark, folder, "embeddings"), anchors=F.col("id") % 100 == 0, label=moved)
