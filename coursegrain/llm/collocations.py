@@ -225,16 +225,19 @@ def _merged(
 ) -> DataFrame:
     """``lang, prefix, next, phrase, n``: one pass over the texts, its stripes added up;
     extensions seen ``least`` times or more, and the totals of all words."""
-    shared = docs.sparkSession.sparkContext.broadcast((words, pairs, crowded))
+    bitmaps = [b.packed if b else None for b in (words, pairs, crowded)]
+    shared = docs.sparkSession.sparkContext.broadcast(bitmaps)
 
     def make():
+        bitmaps = [Bitmap(b) if b is not None else None for b in shared.value]
+
         def work(batch: pa.RecordBatch):
             coded = batch["lang"].dictionary_encode()
             codes = coded.indices.to_numpy().astype(np.int64)
             for at, end, data, offsets in text_chunks(batch["text"], CHUNK):
                 texts = _Texts(data, offsets, codes[at:end])
                 if len(texts.ids):
-                    yield from _counted(texts, coded.dictionary, *shared.value)
+                    yield from _counted(texts, coded.dictionary, *bitmaps)
 
         return work
 

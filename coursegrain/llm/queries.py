@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chats, collocations, lines, minhash, negatives, packing, quality, scoring, segments, suffixes, toxicity, vectors
+from . import chats, collocations, language, lines, minhash, negatives, packing, quality, scoring, segments, suffixes, toxicity, vectors
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -247,6 +247,11 @@ def stripe_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(read(spark, folder, "documents"))
 
 
+@query("op12_ppm_language")
+def ppm_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.languages(read(spark, folder, "documents"))
+
+
 @query(
     "op13_coordinate_negatives",
     """
