@@ -38,8 +38,8 @@ from .hashing import Prefixes, mix, text_chunks
 LEAST, TOP = 30, 2000
 LONGEST = 4
 BITS = 1 << 26
-CROWDED, SEGMENTS = 1 << 20, 64
-CHUNK = 8 << 20
+CROWDED, SEGMENTS = 1 << 16, 64
+CHUNK = 6 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -48,7 +48,8 @@ _ENDS[[*b".,;:!?\n\v\f\r"]] = True
 _BETWEEN = _ENDS.copy()
 _BETWEEN[[*b" \t"]] = True
 
-_STRIPES = "lang string, prefix string, segment int, next array<string>, n array<int>"
+# Words and counts of a stripe are joined by spaces: smaller to ship than arrays.
+_STRIPES = "lang string, prefix string, segment int, next string, n string"
 
 
 def _hashes(words: pa.Array) -> np.ndarray:
@@ -139,6 +140,10 @@ class _Texts:
         return self.spelling.take(pa.array(self.word[ids]))
 
 
+def _joined(ends: pa.Array, values: pa.Array) -> pa.Array:
+    return pa.compute.binary_join(pa.ListArray.from_arrays(ends, values), " ")
+
+
 def _stripes(
     texts: _Texts, langs: pa.Array, prefixes: list[np.ndarray], lang: np.ndarray, prefix: np.ndarray,
     following: np.ndarray, count: np.ndarray, segment: np.ndarray,
@@ -159,8 +164,8 @@ def _stripes(
         langs.take(pa.array(lang[named])).cast(pa.string()),
         spelt.cast(pa.string()),
         pa.array(segment[first].astype(np.int32)),
-        pa.ListArray.from_arrays(ends, texts.words(following).cast(pa.string())),
-        pa.ListArray.from_arrays(ends, pa.array(count.astype(np.int32))),
+        _joined(ends, texts.words(following).cast(pa.string())),
+        _joined(ends, pa.array(count).cast(pa.string())),
     ]
     return pa.record_batch(columns, ["lang", "prefix", "segment", "next", "n"])
 
@@ -169,11 +174,10 @@ def _totals(texts: _Texts, langs: pa.Array) -> pa.RecordBatch:
     """All words of each language, as the counter of the empty word."""
     n = np.bincount(texts.lang[texts.ids], minlength=len(langs))
     at = np.flatnonzero(n)
-    ends = pa.array(np.arange(len(at) + 1, dtype=np.int32))
     empty = pa.array([""] * len(at))
     columns = [
         langs.take(pa.array(at)).cast(pa.string()), empty, pa.array(np.zeros(len(at), np.int32)),
-        pa.ListArray.from_arrays(ends, empty), pa.ListArray.from_arrays(ends, pa.array(n[at].astype(np.int32))),
+        empty, pa.array(n[at]).cast(pa.string()),
     ]
     return pa.record_batch(columns, ["lang", "prefix", "segment", "next", "n"])
 
@@ -245,7 +249,8 @@ def _merged(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")
     )
     stripes = by_batches(read, make, _STRIPES).repartition("lang", "prefix", "segment")
-    each = stripes.select("lang", "prefix", "segment", F.inline(F.arrays_zip("next", "n")).alias("next", "n"))
+    entries = F.arrays_zip(F.split("next", " "), F.split("n", " "))
+    each = stripes.select("lang", "prefix", "segment", F.inline(entries).alias("next", "n"))
     added = each.groupBy("lang", "prefix", "segment", "next").agg(F.sum(F.col("n").cast("long")).alias("n"))
     phrase = F.when(F.col("prefix") == "", F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next"))
     return stored(

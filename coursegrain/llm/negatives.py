@@ -165,6 +165,8 @@ class _Members:
 
 
 def _members(table: pa.Table) -> list[_Members]:
+    if not table.num_rows:  # and no columns, where only the other side has rows
+        return []
     lists = [m for chunk in table["members"].chunks for m in chunk]
     labels, dims = table["label"].to_pylist(), table["dim"].to_pylist()
     return [_Members(*x) for x in zip(labels, dims, (m.values for m in lists), strict=True)]
