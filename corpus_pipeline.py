@@ -19,6 +19,10 @@ from coursegrain.llm import lines, minhash, packing, suffixes, toxicity
 from coursegrain.llm.common import read, stored
 from coursegrain.llm.queries import byte_bpe
 
+#: Bytes of a string that counts as a repeated passage, well below the shortest passage of
+#: 50 words (about 250 bytes).
+PASSAGE = 200
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -35,7 +39,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> Da
 
 
 def without_repeated_strings(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return suffixes.keep_unrepeated(docs)
+    return suffixes.keep_unrepeated(docs, length=PASSAGE)
 
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
