@@ -18,10 +18,14 @@ that blocks which cannot link are not compared. Buckets with the same members ar
 A pair is linked if its sets of shingles have a Jaccard similarity of ``similarity``
 or more, computed from both texts. Classes are the components of links.
 
+Rows are nodes by a hash of id and text: rows that share an id are documents of their own
+unless their texts are the same too. A class is named by the smallest id in it; a row without
+an id is named by a hash of its text, above all usual ids.
+
 Edge cases: texts without words (NULL, empty) link with nothing; a text under five
-words is one shingle. Rows that share an id share a class; a row without id is known
-by a hash of its text. Of equal rows each is returned, and one is kept. An empty table
-gives no rows. Other columns of the input are not touched.
+words is one shingle. Very long texts are read whole, one at a time. Of equal rows each is
+returned, and one is kept. Ties between rows of one id in a class go to the smaller node.
+An empty table gives no rows. Other columns of the input are not touched.
 """
 
 from __future__ import annotations
@@ -167,8 +171,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, width: int)
     return by_batch(both, make, "a long, b long")
 
 
+def _node() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("long"), "text")
+
+
 def _ident() -> Column:
-    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text").bitwiseOR(F.lit(-(1 << 63))))
+    hashed = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    return F.coalesce(F.col("doc_id").cast("long"), hashed)
 
 
 def near_classes(
@@ -180,8 +189,9 @@ def near_classes(
     band_rows: int = ROWS,
     block: int = BLOCK,
 ) -> DataFrame:
-    """``id, class_id``, one row per id: the smallest id of its class."""
-    rows = docs.select(_ident().alias("id"), "text")
+    """``node, class_id, kept``, one row per node: the smallest id of its class, and whether
+    the node stands for it."""
+    rows = docs.select(_node().alias("id"), "text")
     marks = cut(sketches(rows, width=width, bands=bands, band_rows=band_rows))
     held = marks.where("keys IS NOT NULL")
     # One member for each set of shingles; all rows of an id belong together.
@@ -205,8 +215,14 @@ def near_classes(
     links = cut(_verified(tried, texts, similarity, width))
     parts = cut(components(candidates, links))
     links = links.unionByName(cut(_between(buckets, parts, texts, similarity, width, block)))
-    ids = marks.select("id").distinct()
-    return components(ids, equal.unionByName(links)).withColumnRenamed("component", "class_id")
+    nodes = docs.select(_node().alias("id"), _ident().alias("name")).distinct()
+    found = components(nodes.select("id"), equal.unionByName(links)).withColumnRenamed("id", "node")
+    named = cut(nodes.withColumnRenamed("id", "node").join(found, "node"))
+    least = named.groupBy("component").agg(F.min(F.struct("name", "node")).alias("least"))
+    # Minima are combined in the map tasks; a large class is spread by AQE.
+    return named.join(least, "component").select(
+        "node", F.col("least.name").alias("class_id"), (F.col("least.node") == F.col("node")).alias("kept")
+    )
 
 
 def _between(
@@ -308,6 +324,13 @@ def _block_links(table: pa.Table, similarity: float, width: int, columns: int =
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stand for their class, columns unchanged: the smallest
     id, once."""
-    gone = near_classes(docs, **options).where("class_id <> id").select("id")
-    rows = docs.select(_ident().alias("id"), as_row(docs))
-    return rows.join(gone, "id", "left_anti").dropDuplicates(["id"]).select(from_row(docs))
+    gone = near_classes(docs, **options).where("NOT kept").select("node")
+    rows = docs.select(_node().alias("node"), as_row(docs))
+    return rows.join(gone, "node", "left_anti").dropDuplicates(["node"]).select(from_row(docs))
+
+
+def classified(docs: DataFrame, **options) -> DataFrame:
+    """``doc_id, class_id, kept`` of every row. Of equal rows all that stand for a class
+    say so."""
+    rows = docs.select("doc_id", _node().alias("node"))
+    return rows.join(near_classes(docs, **options), "node").select("doc_id", "class_id", "kept")

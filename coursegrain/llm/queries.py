@@ -88,11 +88,7 @@ def line_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op4_prob_minhash")
 def prob_minhash(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read(spark, folder, "documents")
-    classes = minhash.near_classes(docs)
-    return docs.select("doc_id").join(classes, F.col("doc_id") == F.col("id")).select(
-        "doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept")
-    )
+    return minhash.classified(read(spark, folder, "documents"))
 
 
 @query("op3_suffix_dedup")

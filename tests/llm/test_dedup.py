@@ -95,7 +95,7 @@ def classes_by_brute_force(texts):
 
 def test_near_classes_of_all_documents(documents):
     texts = {r.doc_id: r.text for r in documents.collect()}
-    found = {r.id: r.class_id for r in minhash.near_classes(documents).collect()}
+    found = {r.doc_id: r.class_id for r in minhash.classified(documents).collect()}
     assert found == classes_by_brute_force(texts)
 
 
@@ -108,7 +108,7 @@ def test_chains_of_near_copies(docs):
         words = [*words]
         words[(i * 7) % 300] = f"n{i}"
     texts |= {100: "few words", 101: "few words", 102: "", 103: None, 104: " ".join(words[::-1])}
-    found = {r.id: r.class_id for r in minhash.near_classes(docs(texts.items())).collect()}
+    found = {r.doc_id: r.class_id for r in minhash.classified(docs(texts.items())).collect()}
     assert found == classes_by_brute_force(texts)
     left = minhash.keep_one(docs([*texts.items(), (0, texts[0]), (None, "y"), (None, "y")]))
     assert sorted(r.doc_id for r in left.collect() if r.doc_id is not None) == [0, 100, 102, 103, 104]
@@ -132,7 +132,7 @@ def test_hidden_pairs_among_texts_with_one_passage(docs, block):
             texts[i] = " ".join([*passage, *both, *words(22)])
     want = classes_by_brute_force(texts)
     assert sum(i != c for i, c in want.items()) == 40
-    found = {r.id: r.class_id for r in minhash.near_classes(docs(texts.items()), block=block).collect()}
+    found = {r.doc_id: r.class_id for r in minhash.classified(docs(texts.items()), block=block).collect()}
     assert found == want
 
 
@@ -145,7 +145,7 @@ def test_looped_passages(docs):
         edited = [*words]
         edited[20] = "edited"
         texts[k], texts[k + 1] = " ".join(words + words[100:] * 40), " ".join(edited + edited[100:])
-    found = {r.id: r.class_id for r in minhash.near_classes(docs(texts.items())).collect()}
+    found = {r.doc_id: r.class_id for r in minhash.classified(docs(texts.items())).collect()}
     assert found == classes_by_brute_force(texts) == {i: i // 2 * 2 for i in texts}
 
 
@@ -167,6 +167,26 @@ def test_signatures_estimate_probability_jaccard():
 # ------------------------------------------------------------------ byte strings
 
 
+def test_rows_without_ids_and_shared_ids_are_their_own(docs):
+    """Each row is returned; of one id, only rows with one text are one document."""
+    long = " ".join(f"w{i}" for i in range(40_000))
+    given = [
+        (None, "a b c d e f"), (None, "a b c d e f"), (None, "other words than these ones here"), (None, None),
+        (7, "first text of this id, six words"), (7, "second one, with nothing in common"), (7, "second one, with nothing in common"),
+        (9, "a b c d e f"), (3, long), (4, long + " more"), (5, ""),
+    ]
+    found = minhash.classified(docs(given)).collect()
+    assert len(found) == len(given)
+    assert sorted(r.doc_id or -1 for r in found) == sorted(i or -1 for i, _ in given)
+    assert [(r.class_id, r.kept) for r in found if r.doc_id == 9] == [(9, True)]
+    assert [r.class_id == 9 and not r.kept for r in found if r.doc_id is None].count(True) == 2
+    assert sorted((r.class_id, r.kept) for r in found if r.doc_id == 7) == [(7, True)] * 3
+    assert {r.class_id for r in found if r.doc_id in (3, 4)} == {3}
+    left = collections.Counter((r.doc_id, r.text) for r in minhash.keep_one(docs(given)).collect())
+    want = {*given} - {(None, "a b c d e f"), (4, long + " more")}
+    assert left == collections.Counter(want)
+
+
 def cut_by_brute_force(bodies, length):
     count = collections.Counter(b[k : k + length] for b in bodies for k in range(len(b) - length + 1))
     out = []
