@@ -1,27 +1,48 @@
 """Percentiles, histograms, box plots and percentile-based partitions.
 
-The built-in exact percentile merges every distinct value of a group in one
-task. Here a percentile is found in two passes that keep every task small: a
-mergeable sketch brackets it, then values outside the bracket are only counted,
-values inside are counted by slice, and the slice that holds the percentile is
-ranked. The result is exact.
+The built-in exact percentile merges every distinct value of a group in one task. Here a
+percentile takes three steps that keep every task small, and the result is exact:
+
+1. A sketch of each measure gives cut points: even shares of the rows, and narrow ranges
+   around the wanted shares. They are constants from then on.
+2. Rows are counted by range, in the map tasks first. Counts are exact, so the range that
+   holds a wanted rank is known for certain, however good the sketch was. The narrow ranges
+   keep their values apart in the same pass.
+3. Where a wanted range's values are not known yet, its rows alone are counted by value.
+
+Percentiles of groups are left to the built-in aggregate, which combines values in the map
+tasks, as long as a group is small. Larger groups are counted by group and range as above,
+so that a group that holds most rows is split by range and nothing but counts is shuffled.
+
+Percentiles of the whole table are numbers: they are found when a function is called.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import megabits_per_second, minutes, row_count
 from ..functions.names import as_column, col
+from .hierarchy import cut_lineage
+from .joins import with_small
+from .membership import bitmap
 
-# The sketch is off by at most 1/ACCURACY of the rows; the bracket allows eight
-# times that on either side.
+# The sketch is off by about 1/ACCURACY of the rows; the narrow ranges around a wanted
+# share allow eight times that on either side.
 ACCURACY = 20_000
 _MARGIN = 8 / ACCURACY
-_SLICES = 1024
+# Even shares of the whole table, and of tables with groups; narrow ranges of a wanted share.
+_SHARES, _GROUP_SHARES, _STEPS = 16, 256, 4
+# Groups of more rows than this are split.
+_LARGE_GROUP = 1_000_000
+# Tables of this many rows at most are sent to all tasks.
+_FEW = 1_000
 
 
 def percentiles(
@@ -39,150 +60,217 @@ def percentiles(
     """
     # Groups get short names inside, so that no column name can clash.
     keys = [f"g{i}" for i in range(len(by))]
+    names = [f"p{i}" for i in range(len(probs))]
     values = df.select(
         *[col(name).alias(key) for name, key in zip(by, keys)],
-        as_column(value).cast("double").alias("v"),
-    ).where(F.col("v").isNotNull() & ~F.isnan("v"))
+        as_column(value).cast("double").alias("m0"),
+    )
     if approximate:
-        found = values.groupBy(*keys).agg(
-            *[
-                F.percentile_approx("v", p, ACCURACY).alias(f"p{i}")
-                for i, p in enumerate(probs)
-            ]
+        present = values.where(F.col("m0").isNotNull() & ~F.isnan("m0"))
+        found = present.groupBy(*keys).agg(
+            *[F.percentile_approx("m0", p, ACCURACY).alias(n) for n, p in zip(names, probs)]
         )
+    elif by:
+        found = _of_groups(values.dropna(subset=keys), probs, keys, names)
     else:
-        found = _exact(values, probs, keys)
-    return found.toDF(*by, *[f"p{i}" for i in range(len(probs))])
-
-
-def _exact(values: DataFrame, probs: Sequence[float], by: list[str]) -> DataFrame:
-    brackets = _brackets(values, probs, by)
-    if by:
-        located = values.join(brackets, by)
-    else:
-        located = values.withColumn("brackets", brackets.scalar())
-    # Brackets are never empty; the outer form keeps the optimizer from adding a
-    # filter that would repeat the subquery.
-    rows = located.select(*by, "v", F.explode_outer("brackets").alias("b"))
-    place = _place(F.col("v"), F.col("b.low"), F.col("b.high"))
-    inside = F.col("place").between(0, _SLICES - 1)
-    runs = (
-        rows.select(*by, "b.i", "b.rank", "v", place.alias("place"))
-        .withColumn("at", F.when(inside, F.col("v")))
-        .groupBy(*by, "i", "place", "at")
-        .agg(
-            row_count().alias("n"),
-            F.min("v").alias("first"),
-            F.max("v").alias("last"),
-            F.first("rank").alias("rank"),
+        (points,) = percentile_values(values, {"m0": probs}).values()
+        found = df.sparkSession.range(1).select(*[F.lit(x).cast("double").alias(n) for x, n in zip(points, names)])
+    return found.toDF(*by, *names)
+
+
+def _of_groups(values: DataFrame, probs: Sequence[float], keys: list[str], names: list[str]) -> DataFrame:
+    present = values.where(F.col("m0").isNotNull() & ~F.isnan("m0"))
+    large = present.groupBy(*keys).agg(row_count().alias("n")).where(F.col("n") > _LARGE_GROUP)
+    # At most one group for every so many rows.
+    large = cut_lineage(large.select(*keys))
+    some = not large.isEmpty()
+    small = present.join(F.broadcast(large), keys, "left_anti") if some else present
+    exact = F.percentile("m0", [float(p) for p in probs])
+    found = small.groupBy(*keys).agg(exact.alias("p")).select(
+        *keys, *[F.col("p")[i].alias(n) for i, n in enumerate(names)]
+    )
+    if not some:
+        return found
+    points = _points(present.join(F.broadcast(large), keys, "left_semi"), {"m0": probs}, keys)
+    return found.unionByName(
+        points.groupBy(*keys).agg(
+            *[F.max(F.when(F.col("i") == i, F.col("value"))).alias(n) for i, n in enumerate(names)]
         )
     )
-    return _interpolate(_ranked(runs, by), len(probs), by)
 
 
-def _place(value: Column, low: Column, high: Column) -> Column:
-    """Which of the equal slices of its bracket a value is in, -1 below it and
-    ``_SLICES`` above it. Places rise with the values, so they can be counted
-    first and ranked one at a time."""
-    width = high - low
-    part = F.floor((value - low) / width * _SLICES).cast("int")
-    slice_ = F.when((width > 0) & (width < float("inf")), F.least(part, F.lit(_SLICES - 1)))
-    return (
-        F.when(value < low, -1)
-        .when(value > high, _SLICES)
-        .otherwise(F.coalesce(slice_, F.lit(0)))
+def percentile_values(
+    df: DataFrame, wanted: Mapping[str, Sequence[float]]
+) -> dict[str, list[float | None]]:
+    """Exact percentiles of several columns over all rows, as numbers: two passes for all
+    of them together, a third where the sketch missed."""
+    names = {f"m{k}": name for k, name in enumerate(wanted)}
+    values = df.select(*[col(name).cast("double").alias(m) for m, name in names.items()])
+    cuts = _cuts(values, {m: wanted[name] for m, name in names.items()}, narrow=True)
+    cells = _cells(values, cuts, [])
+    counted = cut_lineage(cells.groupBy("m", "range", "at").agg(row_count().alias("n")))
+    # A row for each range: some dozens.
+    ranges = counted.groupBy("m", "range").agg(F.sum("n").alias("n"), F.bool_or(F.col("at").isNull()).alias("coarse"))
+    held: dict[str, list] = {m: [] for m in names}
+    for r in ranges.orderBy("m", "range").collect():
+        held[r["m"]].append(r)
+    ranks = {m: [(sum(r["n"] for r in held[m]) - 1) * float(p) for p in wanted[name]] for m, name in names.items()}
+    wants: dict[tuple[str, int], set[int]] = {}
+    coarse: set[tuple[str, int]] = set()
+    at: dict[tuple[str, int], tuple[str, int, int]] = {}
+    for m, own in held.items():
+        start = 0
+        for r in own:
+            for k in {k for rank in ranks[m] for k in (math.floor(rank), math.ceil(rank))}:
+                if start <= k < start + r["n"]:
+                    wants.setdefault((m, r["range"]), set()).add(k - start)
+                    at[m, k] = (m, r["range"], k - start)
+                    if r["coarse"]:
+                        coarse.add((m, r["range"]))
+            start += r["n"]
+
+    def among(places) -> Column:
+        return reduce(or_, [(F.col("m") == m) & (F.col("range") == r) for m, r in places], F.lit(False))
+
+    known = counted.where(F.col("at").isNotNull() & among(wants)).withColumnRenamed("at", "v")
+    if coarse:
+        fetched = cells.where(among(coarse)).groupBy("m", "range", "v").agg(row_count().alias("n"))
+        known = known.unionByName(fetched)
+    inside = Window.partitionBy("m", "range").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.col("upto") - 1
+    hit = [
+        (F.col("m") == m) & (F.col("range") == r) & F.lit(k).between(F.col("upto") - F.col("n"), last)
+        for (m, r), places in wants.items() for k in places
+    ]
+    found = known.withColumn("upto", F.sum("n").over(inside)).where(reduce(or_, hit, F.lit(False))).collect()
+    value = {
+        (m, r, k): row["v"] for (m, r), places in wants.items() for k in places for row in found
+        if (row["m"], row["range"]) == (m, r) and row["upto"] - row["n"] <= k < row["upto"]
+    }
+    out: dict[str, list[float | None]] = {}
+    for m, name in names.items():
+        ends = [(value.get(at.get((m, math.floor(x)))), value.get(at.get((m, math.ceil(x)))), x) for x in ranks[m]]
+        out[name] = [None if a is None else a + (b - a) * (x - math.floor(x)) for a, b, x in ends]
+    return out
+
+
+def _cuts(values: DataFrame, wanted: Mapping[str, Sequence[float]], narrow: bool) -> dict[str, list[tuple[float, bool]]]:
+    """Rising cut points of each measure, and whether the range from one to the next is
+    a narrow one, whose values are few."""
+    shares: dict[str, list[tuple[float, bool]]] = {}
+    for m, probs in wanted.items():
+        many = _SHARES if narrow else _GROUP_SHARES
+        marks = {k / many: False for k in range(1, many)}
+        for p in probs if narrow else ():
+            edges = [p - _MARGIN + 2 * _MARGIN * k / _STEPS for k in range(_STEPS + 1)]
+            marks = {q: n for q, n in marks.items() if not edges[0] <= q <= edges[-1]}
+            marks |= {q: k < _STEPS for k, q in enumerate(edges)}
+        shares[m] = sorted((q, n) for q, n in marks.items() if q < 1)
+    present = {m: F.when(~F.isnan(m), F.col(m)) for m in wanted}
+    # A share below 0 stands for the least value.
+    sketches = [
+        F.percentile_approx(present[m], [max(q, 0.0) for q, _ in marks], ACCURACY).alias(m)
+        for m, marks in shares.items()
+    ]
+    found = values.agg(*sketches).first()
+    cuts: dict[str, list[tuple[float, bool]]] = {}
+    for m, marks in shares.items():
+        own: dict[float, bool] = {}
+        for value, (_, few) in zip(found[m] or [], marks):
+            own[value] = few
+        cuts[m] = sorted(own.items())
+    return cuts
+
+
+def _range_of(value: Column, cuts: Sequence[float], low: int = 0) -> Column:
+    """How many cut points are at or below a value, by halving."""
+    if not cuts:
+        return F.lit(low)
+    middle = len(cuts) // 2
+    return F.when(value < cuts[middle], _range_of(value, cuts[:middle], low)).otherwise(
+        _range_of(value, cuts[middle + 1 :], low + middle + 1)
     )
 
 
-def _brackets(values: DataFrame, probs: Sequence[float], by: list[str]) -> DataFrame:
-    """Per group, an array of ``(i, rank, low, high)``: the zero-based fractional
-    rank of percentile i, between two values that surround it."""
-    cuts = sorted({c for p in probs for c in (p - _MARGIN, p + _MARGIN) if 0 < c < 1})
-    sketch = values.groupBy(*by).agg(
-        row_count().alias("n"),
-        F.min("v").alias("least"),
-        F.max("v").alias("most"),
-        F.percentile_approx("v", cuts or [0.5], ACCURACY).alias("cuts"),
-    )
+def _cells(values: DataFrame, cuts: Mapping[str, list[tuple[float, bool]]], by: list[str]) -> DataFrame:
+    """``by..., m, range, at, v``: each present value with its range; ``at`` is the value
+    again in narrow ranges."""
 
-    def edge(cut: float, outside: str) -> Column:
-        return F.col("cuts")[cuts.index(cut)] if 0 < cut < 1 else F.col(outside)
-
-    return sketch.select(
-        *by,
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("i"),
-                    ((F.col("n") - 1) * F.lit(float(p))).alias("rank"),
-                    edge(p - _MARGIN, "least").alias("low"),
-                    edge(p + _MARGIN, "most").alias("high"),
-                )
-                for i, p in enumerate(probs)
-            ]
-        ).alias("brackets"),
-    )
+    def cell(m: str) -> Column:
+        place = _range_of(F.col(m), [c for c, _ in cuts[m]])
+        few = [k + 1 for k, (_, few) in enumerate(cuts[m]) if few]
+        own = F.when(place.isin(few), F.col(m)) if few else F.lit(None).cast("double")
+        return F.struct(F.lit(m).alias("m"), place.alias("range"), own.alias("at"), F.col(m).alias("v"))
 
+    return (
+        values.select(*by, F.explode(F.array(*map(cell, cuts))).alias("c"))
+        .select(*by, "c.*")
+        .where(F.col("v").isNotNull() & ~F.isnan("v"))
+    )
 
-def _ranked(runs: DataFrame, by: list[str]) -> DataFrame:
-    """The runs of equal values around each wanted rank, with the zero-based
-    ranks they cover.
 
-    Places are counted and put in order first; only the one or two that hold the
-    wanted rank are then ranked value by value.
-    """
-    key = [*by, "i"]
-    counted = runs.groupBy(*key, "place").agg(
-        F.sum("n").alias("n"), F.first("rank").alias("rank")
+def _points(values: DataFrame, wanted: Mapping[str, Sequence[float]], by: list[str]) -> DataFrame:
+    """``by..., m, i, value``: percentile i of measure m in large groups."""
+    cuts = _cuts(values, wanted, narrow=False)
+    cells = _cells(values, cuts, by)
+    key = [*by, "m"]
+    counted = cut_lineage(cells.groupBy(*key, "range", "at").agg(row_count().alias("n")))
+    per_range = counted.groupBy(*key, "range").agg(F.sum("n").alias("held"), F.bool_or(F.col("at").isNull()).alias("coarse"))
+    upto = F.sum("held").over(Window.partitionBy(*key).orderBy("range").rowsBetween(Window.unboundedPreceding, 0))
+    total = F.sum("held").over(Window.partitionBy(*key))
+    shares = F.create_map(
+        *[x for m, probs in wanted.items() for x in (F.lit(m), F.array(*[
+            F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)
+        ]))]
     )
-    in_order = Window.partitionBy(*key).orderBy("place")
-    start = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-    low, high = F.floor("rank"), F.ceil("rank")
-    wanted = (
-        counted.withColumn("start", start)
-        .where((F.col("start") <= high) & (low < F.col("start") + F.col("n")))
-        .select(*key, "place", "start")
+    rank = (F.col("total") - 1) * F.col("s.p")
+    ranges = cut_lineage(
+        per_range.withColumns({"start": upto - F.col("held"), "total": total})
+        .withColumn("s", F.explode(shares[F.col("m")]))
+        .select(*key, "range", "start", "held", "coarse", F.col("s.i").alias("i"), rank.alias("rank"))
+        .where((F.col("start") <= F.ceil("rank")) & (F.floor("rank") < F.col("start") + F.col("held")))
     )
-    inside = Window.partitionBy(*key, "place").orderBy("at")
-    upto = F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    return (
-        runs.join(wanted, [*key, "place"])
-        .withColumn("last_rank", F.col("start") + upto - 1)
-        .withColumn("first_rank", F.col("last_rank") - F.col("n") + 1)
+    known = counted.where("at IS NOT NULL").withColumnRenamed("at", "v")
+    missed = ranges.where("coarse").select(*key, "range").distinct()
+    if not missed.isEmpty():
+        known = known.unionByName(_counted_values(cells, cut_lineage(missed), key))
+    inside = Window.partitionBy(*key, "range").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    # Few of the narrow ranges hold a rank: the others go before they are sorted.
+    held = known.join(ranges.select(*key, "range").distinct(), [*key, "range"], "left_semi")
+    ranked = held.withColumn("upto", F.sum("n").over(inside)).join(ranges, [*key, "range"])
+    first, last = F.col("start") + F.col("upto") - F.col("n"), F.col("start") + F.col("upto") - 1
+
+    def value_at(place: Column) -> Column:
+        return F.max(F.when(place.between(first, last), F.col("v")))
+
+    ends = ranked.groupBy(*key, "i").agg(
+        value_at(F.floor("rank")).alias("a"),
+        value_at(F.ceil("rank")).alias("b"),
+        F.max(F.col("rank") - F.floor("rank")).alias("part"),
     )
+    return ends.select(*key, "i", (F.col("a") + (F.col("b") - F.col("a")) * F.col("part")).alias("value"))
 
 
-def _interpolate(ranked: DataFrame, n_probs: int, by: list[str]) -> DataFrame:
-    def value_at(rank: Column) -> Column:
-        # Beside the bracket only its direct neighbours are known.
-        known = (
-            F.when(F.col("at").isNotNull(), F.col("at"))
-            .when((F.col("place") < 0) & (rank == F.col("last_rank")), F.col("last"))
-            .when((F.col("place") > 0) & (rank == F.col("first_rank")), F.col("first"))
-            .otherwise(
-                F.raise_error(F.lit("percentile outside its bracket")).cast("double")
-            )
-        )
-        here = rank.between(F.col("first_rank"), F.col("last_rank"))
-        return F.max(F.when(here, known))
-
-    low, high = F.floor("rank"), F.ceil("rank")
-    points = ranked.groupBy(*by, "i").agg(
-        value_at(low).alias("a"),
-        value_at(high).alias("b"),
-        F.max(F.col("rank") - low).alias("part"),
-    )
-    answer = F.col("a") + (F.col("b") - F.col("a")) * F.col("part")
-    return points.groupBy(*by).agg(
-        *[F.max(F.when(F.col("i") == i, answer)).alias(f"p{i}") for i in range(n_probs)]
-    )
+def _counted_values(cells: DataFrame, ranges: DataFrame, key: list[str]) -> DataFrame:
+    """The values in ``ranges``, counted. Rows of other ranges are dropped where they are
+    read: by the ranges themselves if these are few, else by a bitmap of them."""
+    named = [*key, "range"]
+    if ranges.count() <= _FEW:
+        return cells.join(F.broadcast(ranges), named, "left_semi").groupBy(*named, "v").agg(row_count().alias("n"))
+    mark = F.xxhash64(*named)
+    some = cells.where(bitmap(ranges.select(mark.alias("mark")), "mark").might_hold(mark))
+    counted = some.groupBy(*named, "v").agg(row_count().alias("n"))
+    return counted.join(ranges, named, "left_semi")
 
 
 def percentile_value(
     df: DataFrame, value: str | Column, prob: float, *, approximate: bool = False
 ) -> Column:
     """One percentile of the frame as a constant for other expressions."""
-    return percentiles(df, value, [prob], approximate=approximate).scalar()
+    if approximate:
+        return percentiles(df, value, [prob], approximate=True).scalar()
+    found = percentile_values(df.select(as_column(value).alias("value")), {"value": [prob]})
+    return F.lit(found["value"][0]).cast("double")
 
 
 def histogram(df: DataFrame, value: str | Column, bins: int) -> DataFrame:
@@ -234,24 +322,22 @@ def box_plot(
     values = df.select(
         col(by).alias("group"), as_column(value).cast("double").alias("v")
     ).where(F.col("group").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v"))
-    quartiles = percentiles(
-        values, "v", [0.25, 0.5, 0.75], by=["group"], approximate=approximate
+    quartiles = cut_lineage(
+        percentiles(values, "v", [0.25, 0.5, 0.75], by=["group"], approximate=approximate)
     )
     reach = (F.col("p2") - F.col("p0")) * 1.5
     within = F.col("v").between(F.col("p0") - reach, F.col("p2") + reach)
-    # Equal values are counted once per task before they meet the quartiles.
-    runs = values.groupBy("group", "v").agg(row_count().alias("n"))
     return (
-        runs.join(quartiles, "group")
+        with_small(values, quartiles, "group")
         .groupBy(F.col("group").alias(by))
         .agg(
-            F.sum("n").alias("n"),
+            row_count().alias("n"),
             F.first("p0").alias("q1"),
             F.first("p1").alias("median"),
             F.first("p2").alias("q3"),
             F.min(F.when(within, F.col("v"))).alias("whisker_low"),
             F.max(F.when(within, F.col("v"))).alias("whisker_high"),
-            F.coalesce(F.sum(F.when(~within, F.col("n"))), F.lit(0)).alias("n_outliers"),
+            F.count_if(~within).alias("n_outliers"),
         )
     )
 
@@ -261,9 +347,13 @@ def central_or_outlier(
 ) -> DataFrame:
     """Label each row ``central`` when every measure is within its percentile
     over all rows, else ``outlier``. No row is lost and nothing is joined."""
+    if approximate:
+        limits = [percentile_value(df, name, prob, approximate=True) for name in measures]
+    else:
+        found = percentile_values(df, {name: [prob] for name in measures})
+        limits = [F.lit(found[name][0]) for name in measures]
     inside = F.lit(True)
-    for name in measures:
-        limit = percentile_value(df, name, prob, approximate=approximate)
+    for name, limit in zip(measures, limits):
         inside = inside & F.coalesce(col(name) <= limit, F.lit(False))
     return df.withColumn("region", F.when(inside, "central").otherwise("outlier"))
 
@@ -283,24 +373,20 @@ def bitrate_tails(
 ) -> DataFrame:
     """One row on the tails of ``bitrate_mbps``: the two percentiles, rows beyond
     each, and the long rows of the low tail with their medians."""
-    limits = percentiles(media, "bitrate_mbps", [low, high])
-    limit = limits.select(F.struct("p0", "p1")).scalar()
+    low_limit, high_limit = percentile_values(media, {"bitrate_mbps": [low, high]})["bitrate_mbps"]
+    limits = [F.lit(x).cast("double") for x in (low_limit, high_limit)]
     rate, long_enough = F.col("bitrate_mbps"), F.col("duration_min") >= long_minutes
-    suspect = media.where((rate < limit["p0"]) & long_enough)
-    tails = media.withColumn("limit", limit).agg(
+    suspect = media.where((rate < limits[0]) & long_enough).select("duration_min", "bitrate_mbps")
+    # A share of the rows as small as the tail, read twice below.
+    suspect = cut_lineage(suspect)
+    medians = percentile_values(suspect, {"duration_min": [0.5], "bitrate_mbps": [0.5]})
+    return media.agg(
         row_count().alias("n_rows"),
-        F.first("limit").alias("limit"),
-        F.count_if(rate < F.col("limit.p0")).alias("n_very_low"),
-        F.count_if(rate > F.col("limit.p1")).alias("n_very_high"),
-        F.count_if((rate < F.col("limit.p0")) & long_enough).alias("n_long_low"),
-    )
-    return tails.select(
-        "n_rows",
-        F.col("limit.p0").alias("low_limit"),
-        F.col("limit.p1").alias("high_limit"),
-        "n_very_low",
-        "n_very_high",
-        "n_long_low",
-        percentile_value(suspect, "duration_min", 0.5).alias("median_minutes"),
-        percentile_value(suspect, "bitrate_mbps", 0.5).alias("median_bitrate"),
+        limits[0].alias("low_limit"),
+        limits[1].alias("high_limit"),
+        F.count_if(rate < limits[0]).alias("n_very_low"),
+        F.count_if(rate > limits[1]).alias("n_very_high"),
+        F.count_if((rate < limits[0]) & long_enough).alias("n_long_low"),
+        F.lit(medians["duration_min"][0]).cast("double").alias("median_minutes"),
+        F.lit(medians["bitrate_mbps"][0]).cast("double").alias("median_bitrate"),
     )

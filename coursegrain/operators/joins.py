@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import row_count
 from ..functions.names import col
+from .membership import bitmap
 
 _SPREAD = 1024
 
@@ -47,6 +48,23 @@ def left_join(
     return salted.join(other, match, "left").drop(*helpers)
 
 
+#: Tables of this many rows at most are sent to every task.
+FEW_ROWS = 1_000
+_SALTS = 32
+
+
+def with_small(df: DataFrame, small: DataFrame, key: str) -> DataFrame:
+    """Inner join with a stored table of one row per key. If that has few rows, which is
+    counted, it goes to all tasks; else both sides are salted, so that a key which most
+    rows have is met in many tasks."""
+    if small.count() <= FEW_ROWS:
+        return df.join(F.broadcast(small), key)
+    salt = F.pmod(F.xxhash64(*map(col, df.columns)), F.lit(_SALTS)).cast("int")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
+    both = df.withColumn("__salt", salt).join(small.withColumn("__salt", salts), [key, "__salt"])
+    return both.drop("__salt")
+
+
 def left_join_default(
     left: DataFrame,
     dimension: DataFrame,
@@ -170,11 +188,11 @@ def _runs(items: Column, width: Column, kind: Column) -> Column:
 
 
 def _signatures(text: Column, words: Column, cut: Column) -> Column:
-    """One row per distinct run of words, or of ``cut`` characters."""
+    """The distinct runs of words, or of ``cut`` characters."""
     by_words = cut == _BY_WORDS
     items = F.when(by_words, words).otherwise(F.split(text, ""))
     width = F.when(by_words, _WORD_RUN).otherwise(cut)
-    return F.explode(F.array_distinct(_runs(items, width, cut)))
+    return F.array_distinct(_runs(items, width, cut))
 
 
 def contains_join(
@@ -186,7 +204,7 @@ def contains_join(
     needle: str,
 ) -> DataFrame:
     """``text_id, needle_id`` for every pair where the text contains the needle
-    exactly, ids being unique on their side.
+    exactly, ids being unique on their side. The needles are read when this is called.
 
     No pair is compared that shares no signature. A needle of five words or more
     is sought by its inner runs of three words, since an inner word stands whole
@@ -208,26 +226,37 @@ def contains_join(
     by_words = F.size("inner") >= _WORD_RUN
     size = F.least(F.length("s"), F.lit(_TEXT_GRAM))
     n = n.withColumn("cut", F.when(by_words, _BY_WORDS).otherwise(size))
-    wanted = n.select("nid", _signatures(F.col("s"), F.col("inner"), F.col("cut")).alias("sig"))
-    # The cuts in use: ten at most, whatever the number of needles.
-    cuts = n.agg(F.collect_set("cut")).scalar()
-    present = t.select("tid", "t", F.explode(cuts).alias("cut")).select(
-        "tid", _signatures(F.col("t"), _words(F.col("t")), F.col("cut")).alias("sig")
-    )
-    # Only signatures that some needle has can matter. These few are shuffled by
-    # text, evenly, so that both uses below read one shuffle of one text scan.
-    sought = wanted.select("sig").distinct()
-    hits = present.join(sought, "sig", "left_semi").repartition("tid")
+    wanted = n.select("nid", F.explode(_signatures(F.col("s"), F.col("inner"), F.col("cut"))).alias("sig"))
+    # Shuffled by text, evenly, so that both uses below read one shuffle of one text scan.
+    hits = text_hits(t, n, wanted).repartition("tid")
     frequency = hits.groupBy("sig").agg(row_count().alias("df"))
     rarest = (
         wanted.join(frequency, "sig")
         .groupBy("nid")
         .agg(F.min(F.struct("df", "sig")).getField("sig").alias("sig"))
     )
-    candidates = hits.join(rarest, "sig").select("tid", "nid")
+    # The needle travels with its signature, and a signature that very many texts have
+    # is met in several tasks.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
+    sought = rarest.join(n.select("nid", "s"), "nid").withColumn("salt", salts)
+    salt = F.pmod(F.xxhash64("tid"), F.lit(_SALTS)).cast("int")
+    candidates = hits.withColumn("salt", salt).join(sought, ["sig", "salt"]).select("tid", "nid", "s")
     return (
         candidates.join(t, "tid")
-        .join(n.select("nid", "s"), "nid")
         .where(F.contains("t", "s"))
         .select(F.col("tid").alias(text_id), F.col("nid").alias(needle_id))
     )
+
+
+def text_hits(t: DataFrame, n: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``tid, sig``: the signatures of texts ``tid, t`` that a needle may have. The needles'
+    signatures are a bitmap, looked up before a text's signatures become rows, so that few
+    more rows leave the scan than there are hits."""
+    # The cuts in use: ten at most, whatever the number of needles.
+    cuts = n.agg(F.collect_set("cut")).scalar()
+    own = _signatures(F.col("t"), _words(F.col("t")), F.col("cut"))
+    held = bitmap(wanted, "sig")
+    return (
+        t.select("tid", "t", F.explode(cuts).alias("cut"))
+        .select("tid", F.explode(F.filter(own, held.might_hold)).alias("sig"))
+    )

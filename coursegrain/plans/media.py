@@ -88,9 +88,9 @@ def bitrate_tails(media: DataFrame) -> DataFrame:
 def bitrate_histogram(media: DataFrame, *, bins: int = BITRATE_BINS) -> DataFrame:
     """Histogram of the bitrates between the two tail percentiles."""
     items = timed(media).select("bitrate_mbps")
-    limits = distribution.percentiles(items, "bitrate_mbps", [LOW_TAIL, HIGH_TAIL])
-    limit = limits.select(F.struct("p0", "p1")).scalar()
-    central = items.where(F.col("bitrate_mbps").between(limit["p0"], limit["p1"]))
+    limits = distribution.percentile_values(items, {"bitrate_mbps": [LOW_TAIL, HIGH_TAIL]})
+    low, high = (F.lit(x).cast("double") for x in limits["bitrate_mbps"])
+    central = items.where(F.col("bitrate_mbps").between(low, high))
     return distribution.histogram(central, "bitrate_mbps", bins)
 
 

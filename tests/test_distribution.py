@@ -34,16 +34,65 @@ def test_percentiles_equal_numpy(spark, name, values):
     assert found == pytest.approx([np.quantile(values, p) for p in PROBS], rel=1e-12)
 
 
-def test_narrow_sketch_still_gives_exact_answers(spark, monkeypatch):
-    # A coarse sketch with a margin that does bracket: ranks inside slices matter.
-    monkeypatch.setattr(distribution, "ACCURACY", 50)
-    monkeypatch.setattr(distribution, "_MARGIN", 8 / 50)
-    monkeypatch.setattr(distribution, "_SLICES", 7)
+@pytest.mark.parametrize(("accuracy", "margin"), [(50, 8 / 50), (50, 1e-4), (2, 1e-6)])
+def test_a_bad_sketch_still_gives_exact_answers(spark, monkeypatch, accuracy, margin):
+    """The narrow ranges are wide, or miss the ranks, which are then found by counting."""
+    monkeypatch.setattr(distribution, "ACCURACY", accuracy)
+    monkeypatch.setattr(distribution, "_MARGIN", margin)
     values = np.random.default_rng(3).normal(size=20_000)
+    values[:7000] = 0.25
     found = tuple(distribution.percentiles(frame(spark, values), "v", PROBS).first())
     assert found == pytest.approx([np.quantile(values, p) for p in PROBS], rel=1e-12)
 
 
+def reads(spark, df, work):
+    """How often ``work`` reads the rows of ``df``, by a counter in a function of a column."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(v):
+        seen.add(1)
+        return v
+
+    counted = df.withColumn("v", F.udf(count, "double").asNondeterministic()("v"))
+    n, result = df.count(), work(counted)
+    return seen.value / n, result
+
+
+def test_several_measures_in_two_reads(spark, monkeypatch):
+    values = np.random.default_rng(4).normal(size=5000)
+    df = frame(spark, values).withColumn("w", F.col("v") * 2 + 1).repartition(3).cache()
+    wanted = {"v": [0.01, 0.5], "w": [0.99]}
+    n, found = reads(spark, df, lambda d: distribution.percentile_values(d, wanted))
+    assert n == 2
+    assert found["v"] == pytest.approx([np.quantile(values, p) for p in (0.01, 0.5)])
+    assert found["w"] == pytest.approx([np.quantile(values * 2 + 1, 0.99)])
+    # Where the sketch misses, a third.
+    monkeypatch.setattr(distribution, "ACCURACY", 2)
+    n, found = reads(spark, df, lambda d: distribution.percentile_values(d, wanted))
+    assert n <= 3 and found["v"] == pytest.approx([np.quantile(values, p) for p in (0.01, 0.5)])
+    n, _ = reads(spark, df, lambda d: distribution.central_or_outlier(d, ["v"]).groupBy("region").count().collect())
+    assert n <= 4
+
+
+@pytest.mark.parametrize("few", [1000, 0])
+def test_a_group_with_most_rows(spark, monkeypatch, few):
+    """90 % of the rows in one group, which is split by range."""
+    monkeypatch.setattr(distribution, "_FEW", few)
+    monkeypatch.setattr(distribution, "_LARGE_GROUP", 1000)
+    rng = np.random.default_rng(6)
+    data = [("hot" if i % 10 else f"g{i % 70}", float(v)) for i, v in enumerate(rng.normal(size=20_000))]
+    df = spark.createDataFrame(data, "g string, v double").repartition(4).cache()
+    n, found = reads(spark, df, lambda d: distribution.percentiles(d, "v", [0.25, 0.5], by=["g"]).collect())
+    # One to count the groups, one for small groups, three for large ones.
+    assert n <= 5
+    for r in found:
+        own = [v for g, v in data if g == r["g"]]
+        assert tuple(r)[1:] == pytest.approx(tuple(np.quantile(own, [0.25, 0.5])))
+    assert len(found) == 8
+    boxes = {r["g"]: r for r in distribution.box_plot(df, "v", "g").collect()}
+    assert sum(r["n"] for r in boxes.values()) == 20_000
+
+
 def test_groups_and_missing_values(spark):
     rng = np.random.default_rng(5)
     data = [("a", float(v)) for v in rng.normal(size=500)]

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from coursegrain.operators import frequency, joins
+from coursegrain.operators.membership import bitmap
 
 
 def plan_of(df) -> str:
@@ -140,6 +141,36 @@ def test_contains_with_a_hot_text(spark):
     assert contains(spark, texts, needles) == brute(texts, needles)
 
 
+def test_contains_with_a_shared_template(spark):
+    # One template in most texts and in many needles; what is rare in each still decides.
+    template = "we hereby grant the right to use this text in any way"
+    texts = [(i, f"{template} as of number {i} in the list") for i in range(400)] + [(900, template)]
+    needles = [(j, f"any way as of number {j} in") for j in range(0, 60, 3)]
+    needles += [(1000 + j, template) for j in range(5)] + [(2000, "right to use this text in any way at all")]
+    assert contains(spark, texts, needles) == brute(texts, needles)
+
+
+def test_few_rows_leave_the_texts_but_hits(spark, tables):
+    t = tables.documents.select(F.col("doc_id").alias("tid"), F.col("text").alias("t"))
+    n = spark.createDataFrame([(1, "and the")], "nid int, s string").withColumn("cut", F.lit(7))
+    wanted = n.select("nid", F.explode(F.array(F.xxhash64("cut", F.split("s", "")))).alias("sig"))
+    runs = joins._signatures(F.col("t"), joins._words(F.col("t")), F.lit(7))
+    all_runs = t.select("tid", F.explode(runs).alias("sig"))
+    exact = all_runs.join(wanted, "sig", "left_semi").count()
+    left = joins.text_hits(t, n, wanted).count()
+    assert exact <= left <= exact + all_runs.count() / 10_000
+
+
+def test_bitmaps_never_lose_a_value(spark):
+    df = spark.range(3000).select((F.col("id") * 7).alias("x"))
+    some = df.where("x % 2 = 0")
+    for bits in (1 << 12, 1 << 20):
+        found = df.where(bitmap(some, "x", bits).might_hold(F.col("x")))
+        assert found.where("x % 2 = 0").count() == 1500
+        assert bits < 1 << 20 or found.count() < 1510
+    assert df.where(bitmap(df.limit(0), "x").might_hold(F.col("x"))).count() == 0
+
+
 def test_contains_makes_no_cross_join(tables):
     df = joins.contains_join(tables.documents, "doc_id", "text", tables.benchmark, "item_id", "text")
     text = plan_of(df)
