@@ -60,6 +60,21 @@ def _(t):
     )
 
 
+@query(
+    "split_hot_key",
+    """WITH refs AS (SELECT l_orderkey, l_linenumber,
+        CASE WHEN l_orderkey % 5 < 3 THEN 7 ELSE l_partkey END AS p_partkey FROM lineitem)
+    SELECT p_partkey, p_brand, count(*) AS n FROM refs LEFT JOIN part USING (p_partkey)
+    GROUP BY 1, 2""",
+)
+def _(t):
+    """60 % of the references are to one part."""
+    referred = F.when(F.col("l_orderkey") % 5 < 3, 7).otherwise(F.col("l_partkey"))
+    refs = t.lineitem.select("l_orderkey", "l_linenumber", referred.alias("p_partkey"))
+    named = joins.split_join(refs, t.part.select("p_partkey", "p_brand"), "p_partkey", how="left", rows=5_000)
+    return frequency.value_counts(named, "p_partkey", "p_brand")
+
+
 @query(
     "contains_join",
     """SELECT doc_id, item_id FROM documents d JOIN benchmark b

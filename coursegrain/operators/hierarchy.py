@@ -8,15 +8,13 @@ deep and a lost executor repeats one round.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import row_count
 from ..functions.names import col
 from ..sources.files import scratch_folder
-from .joins import left_join
+from .joins import left_join, split_join
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -102,33 +100,36 @@ def _double(state: DataFrame) -> DataFrame:
     )
 
 
-def prerequisite_reach(edges: DataFrame, source: str, target: str) -> DataFrame:
+def prerequisite_reach(
+    edges: DataFrame, source: str, target: str, *, hub_rows: int | None = None
+) -> DataFrame:
     """``source, target, steps``: every target that can be reached and the fewest steps
     to it, for a graph where nodes may have several prerequisites.
 
-    The result is the graph's closure, so it is as large as that. Each round extends
-    only the pairs found in the round before, and stores only what it adds. A node's
-    own links are joined per pair; hot nodes are left to the skew join.
+    The result is the graph's closure, so it is as large as that. Once all pairs up to s
+    steps apart are known, a pair up to 2 s apart passes through a node exactly s steps
+    from its start: the pairs of s steps are joined with all known ones. So rounds grow
+    with the logarithm of the longest distance, and a pair is made once for each node in
+    its middle. Nodes that more than ``hub_rows`` such paths meet in are split.
     """
-    links = cut_lineage(
-        edges.select(col(source).alias("a"), col(target).alias("b")).dropna().distinct()
-    )
-    frontier, found, step = links, [links.withColumn("steps", F.lit(1).cast("long"))], 1
-    while not frontier.isEmpty():
-        step += 1
-        known = reduce(DataFrame.unionByName, found).select("a", "b")
-        onward = (
-            frontier.select("a", F.col("b").alias("mid"))
-            .join(links.select(F.col("a").alias("mid"), "b"), "mid")
-            .select("a", "b")
-            .distinct()
-            .join(known, ["a", "b"], "left_anti")
+    links = edges.select(col(source).alias("a"), col(target).alias("b")).dropna().distinct()
+    known, reached = cut_lineage(links.withColumn("steps", F.lit(1).cast("long"))), 1
+    while True:
+        ends = known.where(F.col("steps") == reached).select("a", F.col("b").alias("mid"))
+        if ends.isEmpty():
+            break
+        onward = known.select(F.col("a").alias("mid"), "b", F.col("steps").alias("more"))
+        longer = (
+            split_join(ends, onward, "mid", rows=hub_rows)
+            .groupBy("a", "b")
+            .agg((F.min("more") + reached).alias("steps"))
         )
-        frontier = cut_lineage(onward)
-        found.append(frontier.withColumn("steps", F.lit(step).cast("long")))
-    return reduce(DataFrame.unionByName, found).select(
-        F.col("a").alias(source), F.col("b").alias(target), "steps"
-    )
+        # Shorter distances were known before; a pair's fewest steps stay.
+        known = cut_lineage(
+            known.unionByName(longer.select("a", "b", "steps")).groupBy("a", "b").agg(F.min("steps").alias("steps"))
+        )
+        reached *= 2
+    return known.select(F.col("a").alias(source), F.col("b").alias(target), "steps")
 
 
 def depth_distribution(df: DataFrame, depth: str) -> DataFrame:

@@ -61,6 +61,53 @@ def test_reach_of_a_long_chain(spark, rows):
     assert len(found) == 12 * 13 // 2 and (0, 12, 12) in found
 
 
+def reach_by_brute_force(edges):
+    onward = {}
+    for a, b in edges:
+        onward.setdefault(a, set()).add(b)
+    out = set()
+    for start in onward:
+        seen, front, steps = {}, {start}, 0
+        while front:
+            steps += 1
+            front = {b for a in front for b in onward.get(a, ())} - set(seen)
+            seen |= dict.fromkeys(front, steps)
+        out |= {(start, b, n) for b, n in seen.items()}
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_reach_at_random(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    edges = {(rng.randrange(40), rng.randrange(40)) for _ in range(30 + 30 * seed)} | {(i, i + 1) for i in range(50, 67)}
+    df = spark.createDataFrame(sorted(edges), "a int, b int")
+    found = hierarchy.prerequisite_reach(df, "a", "b", hub_rows=3).collect()
+    assert len(found) == len(set(found)) and set(map(tuple, found)) == reach_by_brute_force(edges)
+
+
+def test_rounds_of_reach_grow_with_the_logarithm(spark, monkeypatch):
+    rounds = []
+    plain = hierarchy.split_join
+    monkeypatch.setattr(hierarchy, "split_join", lambda *a, **k: rounds.append(1) or plain(*a, **k))
+    n = 2000
+    df = spark.range(n).selectExpr("CAST(id AS int) AS a", "CAST(id + 1 AS int) AS b")
+    found = hierarchy.prerequisite_reach(df, "a", "b")
+    pairs, longest, total = found.selectExpr("count(*)", "max(steps)", "sum(steps)").first()
+    assert pairs == n * (n + 1) // 2 and longest == n
+    assert total == sum(d * (n + 1 - d) for d in range(1, n + 1))
+    assert len(rounds) == 11
+
+
+def test_reach_through_a_hub(spark):
+    edges = [(i, 1000) for i in range(300)] + [(1000, 2000 + i) for i in range(200)]
+    df = spark.createDataFrame(edges, "a int, b int")
+    found = hierarchy.prerequisite_reach(df, "a", "b", hub_rows=20)
+    counts = {r["steps"]: r["count"] for r in found.groupBy("steps").count().collect()}
+    assert counts == {1: 500, 2: 60_000}
+
+
 def test_checkpoint_folder_comes_from_the_session():
     from types import SimpleNamespace
 

@@ -150,6 +150,29 @@ def test_contains_with_a_shared_template(spark):
     assert contains(spark, texts, needles) == brute(texts, needles)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_split_join_equals_the_plain_one_and_spreads_hot_keys(spark, rows, how):
+    """60 % of the rows have one key; no task of the join meets more than a part of them."""
+    data = [(i, 1 if i % 5 < 3 else i % 97) for i in range(5000)] + [(-1, None)]
+    left = spark.createDataFrame(data, "id int, k int")
+    right = spark.createDataFrame([(k, f"v{k}") for k in range(60)] + [(1, "again"), (None, "never")], "k int, v string")
+    assert joins.hot_keys(left, "k", 100)[1] >= 30
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = joins.split_join(left, right, "k", how=how, rows=100)
+        assert found.columns == ["k", "id", "v"]
+        assert rows(found) == rows(left.join(right, "k", how))
+        per_task = found.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        plain = left.join(right, "k", how).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert per_task < plain / 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.raises(ValueError):
+        joins.split_join(left, right, "k", how="full")
+
+
 def test_few_rows_leave_the_texts_but_hits(spark, tables):
     t = tables.documents.select(F.col("doc_id").alias("tid"), F.col("text").alias("t"))
     n = spark.createDataFrame([(1, "and the")], "nid int, s string").withColumn("cut", F.lit(7))
