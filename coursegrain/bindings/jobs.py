@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import profiling
 from ..plans import jobs, reports
 from ..sources.contracts import TableSpec
-from ..sources.files import data_path, publish, report_path, scan, scratch_folder
-from .privacy import _any
+from ..sources.files import data_path, publish, remove, report_path, scan, scratch_folder
+from .privacy import _any, _email, _student
 from .profiling import _MISSING_WORDS, _TEXT, MISSINGNESS_SQL
 from .registry import query
 
@@ -83,12 +86,19 @@ _PUBLISHED_SQL = f"""SELECT cust_key,
 
 
 def _run_jobs(t) -> str:
-    """Both jobs over the customers as a raw export; the folder they wrote to."""
+    """Both jobs over the customers as a raw export; the folder they wrote to. The export
+    holds personal data and goes when the jobs have read it."""
     base = f"{scratch_folder(t.spark)}/jobs-{uuid.uuid4().hex}"
-    raw = _raw_customers(t).write.options(header="true", quote='"', escape='"', quoteAll="true")
-    raw.csv(f"{base}/raw/{CUSTOMERS.raw_file}")
-    jobs.run_etl(t.spark, f"{base}/raw", f"{base}/clean", CUSTOMERS)
-    jobs.run_deidentify(t.spark, f"{base}/clean", f"{base}/published", CUSTOMERS, single_file=True)
+    raw = _raw_customers(t).write.options(
+        header="true", quote='"', escape='"', quoteAll="true",
+        ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
+    )
+    try:
+        raw.csv(f"{base}/raw/{CUSTOMERS.raw_file}")
+        jobs.run_etl(t.spark, f"{base}/raw", f"{base}/clean", CUSTOMERS)
+        jobs.run_deidentify(t.spark, f"{base}/clean", f"{base}/published", CUSTOMERS)
+    finally:
+        remove(t.spark, f"{base}/raw")
     return base
 
 
@@ -104,36 +114,168 @@ def _(t):
 
 @query("deidentify_job", f"WITH {_CLEAN_SQL} {_PUBLISHED_SQL}")
 def _(t):
-    path = data_path(f"{_run_jobs(t)}/published", CUSTOMERS.dataset, CUSTOMERS.table)
+    base = _run_jobs(t)
+    remove(t.spark, f"{base}/clean/{CUSTOMERS.dataset}/{CUSTOMERS.table}/data")
+    path = data_path(f"{base}/published", CUSTOMERS.dataset, CUSTOMERS.table)
     fields = [f for f in CUSTOMERS.clean_schema.fields if f.name not in CUSTOMERS.dropped]
     return scan(t.spark, path, T.StructType(fields))
 
 
+def _numbered(report):
+    """Report lines with numbers rounded, so that their text does not matter."""
+    number = F.col("value").try_cast("double")
+    return report.select(
+        "section",
+        F.coalesce("column", F.lit("")).alias("column"),
+        F.coalesce("metric", F.lit("")).alias("metric"),
+        # A most frequent value is no figure, even if it reads like one.
+        F.round(number, 4).alias("number"),
+        F.when(number.isNull(), F.col("value")).alias("text"),
+    )
+
+
+def _exactly(lines, df):
+    """Approximate cardinalities within three standard errors of the sketch are shown as
+    the exact ones, so that they can be compared."""
+    exact = profiling.profile_cardinality(df, use_approx=False).select(
+        "column", F.explode(F.create_map(F.lit("n_distinct"), F.col("n_distinct").cast("double"),
+        F.lit("pct_distinct"), "pct_distinct")).alias("metric", "exact"),
+    )
+    near = F.abs(F.col("number") - F.col("exact")) <= 0.15 * F.col("exact") + 1e-4
+    number = F.when((F.col("section") == "cardinality") & near, F.round("exact", 4)).otherwise(F.col("number"))
+    return lines.join(exact, ["column", "metric"], "left").select("section", "column", "metric", number.alias("number"), "text")
+
+
+def _missing_sql(column: str, texts) -> str:
+    blank = f" OR lower(trim({column})) IN ({_MISSING_WORDS})" if column in texts else ""
+    return f"({column} IS NULL{blank})"
+
+
+def _line_sql(section: str, column: str, metric: str, number: str, source: str) -> str:
+    return f"""SELECT '{section}' AS section, '{column}' AS "column", '{metric}' AS metric,
+        round(CAST({number} AS DOUBLE), 4) AS number, NULL AS text FROM {source}"""
+
+
+def _structural_sql(source: str, columns, texts, numbers, k: int, suggested=()) -> str:
+    """The lines of a structural report over ``source``."""
+    parts = [
+        _line_sql("shape", "", "n_rows", "count(*)", source),
+        _line_sql("shape", "", "n_columns", str(len(columns)), "(SELECT 1)"),
+    ]
+    cells = []
+    for c in columns:
+        missing = _missing_sql(c, texts)
+        figures = [
+            ("missingness", "n_missing", f"count(*) FILTER (WHERE {missing})"),
+            ("missingness", "pct_missing", f"count(*) FILTER (WHERE {missing}) / count(*)"),
+            ("cardinality", "n_distinct", f"count(DISTINCT {c})"),
+            ("cardinality", "pct_distinct", f"count(DISTINCT {c}) / count(*)"),
+        ]
+        if c in numbers:
+            figures += [
+                ("distribution", name, figure)
+                for name, figure in (
+                    ("count", f"count({c})"), ("mean", f"avg({c})"), ("stddev", f"stddev_samp({c})"),
+                    ("min", f"min({c})"), ("max", f"max({c})"),
+                )
+            ]
+        parts += [_line_sql(section, c, metric, figure, source) for section, metric, figure in figures]
+        cells.append(f"""SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value FROM {source} WHERE NOT {missing}""")
+    tops = f"""(SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS place
+        FROM (SELECT "column", value, count(*) AS n FROM ({" UNION ALL ".join(cells)}) GROUP BY 1, 2))"""
+    for section, figure in (
+        ("top_value_count", "CAST(n AS DOUBLE)"),
+        ("top_value_share", f"round(n / (SELECT count(*) FROM {source}), 4)"),
+    ):
+        parts.append(f"""SELECT '{section}', "column", value, {figure}, NULL FROM {tops} WHERE place <= {k}""")
+    parts += [f"SELECT 'names', '{a}', 'suggested', NULL, '{b}'" for a, b in suggested]
+    return " UNION ALL ".join(parts)
+
+
+_RAW_SQL = """raw AS (SELECT c_custkey AS CustKey, nullif(name_raw, '') AS NameRaw, contact AS Contact,
+    flag_raw AS FlagRaw, amount_raw AS AmountRaw, balance AS Balance, segment AS Segment,
+    is_active AS IsActive, make_timestamp(1995 + c_custkey % 30, 2, 3, 4, 5, 6) AS CreatedDate
+    FROM {dirty_customer})"""
+# Raw names and what the jobs make of them.
+_NAMES = {
+    "CustKey": "cust_key", "NameRaw": "name_raw", "Contact": "contact", "FlagRaw": "flag_raw",
+    "AmountRaw": "amount_raw", "Balance": "balance", "Segment": "segment", "IsActive": "is_active",
+    "CreatedDate": "created_date",
+}
+_RAW_TEXT = ("NameRaw", "Contact", "FlagRaw", "AmountRaw", "Segment")
+_CLEAN_TEXT = ("name_raw", "contact", "flag_raw", "amount_raw", "segment")
+
+
+def _quality_sql() -> str:
+    parts = []
+    for c in _NAMES.values():
+        missing = _missing_sql(c, _CLEAN_TEXT)
+        parts.append(_line_sql("missingness", c, "n_missing", f"count(*) FILTER (WHERE {missing})", "kept"))
+        parts.append(_line_sql("missingness", c, "pct_missing", f"count(*) FILTER (WHERE {missing}) / count(*)", "kept"))
+    for c in ("cust_key", "balance", "created_date"):
+        parts.append(_line_sql("parse_success", c, "parse_success_pct", f"count({c}) / count(*)", "kept"))
+    keys = "(SELECT sum(n) AS total, count(*) AS keys_, count(*) FILTER (WHERE n > 1) AS again FROM (SELECT count(*) AS n FROM kept GROUP BY cust_key))"
+    for metric, figure in (
+        ("total_rows", "total"), ("distinct_keys", "keys_"), ("duplicate_rows", "total - keys_"),
+        ("duplicate_row_pct", "(total - keys_) / total"), ("keys_with_duplicates", "again"),
+    ):
+        parts.append(_line_sql("duplicates", "", metric, figure, keys))
+    far = """(SELECT count(*) FILTER (WHERE abs(balance - m) > 3 * s) AS n, count(*) AS total FROM kept,
+        (SELECT avg(balance) AS m, stddev_samp(balance) AS s FROM kept))"""
+    parts.append(_line_sql("outliers", "balance", "n_outliers", "n", far))
+    parts.append(_line_sql("outliers", "balance", "pct_outliers", "n / total", far))
+    parts.append("SELECT 'outliers', 'balance', 'rule', NULL, '|value-mean|>3.0*std'")
+    sizes = "(SELECT count(*) AS total, count(*) FILTER (WHERE flag_raw IN ('Yes', 'no', 'T')) AS held FROM clean)"
+    for metric, figure in (
+        ("total_rows_before_filter", "total"), ("rows_after_filter", "held"),
+        ("rows_removed", "total - held"), ("pct_rows_removed", "(total - held) / total"),
+    ):
+        parts.append(_line_sql("flag_raw_allowed", "", metric, figure, sizes))
+    return " UNION ALL ".join(parts)
+
+
+def _pii_sql() -> str:
+    parts = []
+    for c in ("contact", "name_raw"):
+        for metric, figure in (
+            ("email_pattern", f"count(*) FILTER (WHERE {_email(c)})"),
+            ("student_id_pattern", f"count(*) FILTER (WHERE {_student(c)})"),
+            ("total", f"count(*) FILTER (WHERE {_any(c)})"),
+            ("pct_of_rows", f"round(100 * count(*) FILTER (WHERE {_any(c)}) / count(*), 2)"),
+        ):
+            parts.append(_line_sql("redacted", c, metric, figure, "kept"))
+    parts += [_line_sql("redacted" if c != "amount_raw" else "dropped", c, "total_records", "count(*)", "kept") for c in ("contact", "name_raw", "amount_raw")]
+    return " UNION ALL ".join(parts)
+
+
 @query(
     "job_reports",
-    f"""WITH {_CLEAN_SQL}, kept AS (SELECT * FROM clean WHERE flag_raw IN ('Yes', 'no', 'T'))
-    SELECT 'structural' AS report, 'n_rows' AS metric, CAST(count(*) AS DOUBLE) AS number
-        FROM {{dirty_customer}}
-    UNION ALL SELECT 'quality', 'total_rows', CAST(count(*) AS DOUBLE) FROM kept
-    UNION ALL SELECT 'pii', 'total_records', CAST(count(*) AS DOUBLE) FROM kept""",
+    f"""WITH {_RAW_SQL}, {_CLEAN_SQL}, kept AS (SELECT * FROM clean WHERE flag_raw IN ('Yes', 'no', 'T'))
+    SELECT 'structural' AS report, * FROM ({_structural_sql(
+        "raw", _NAMES, _RAW_TEXT, ("CustKey", "Balance"), jobs.PROFILE_TOP_VALUES, _NAMES.items())})
+    UNION ALL SELECT 'quality', * FROM ({_quality_sql()})
+    UNION ALL SELECT 'pii', * FROM ({_pii_sql()})""",
 )
 def _(t):
+    """Every line of the three reports that the two jobs leave."""
     base = _run_jobs(t)
 
     def report(tier: str, name: str):
         return t.spark.read.json(report_path(f"{base}/{tier}", CUSTOMERS.dataset, CUSTOMERS.table, name))
 
-    def line(df, name: str, metric: str):
-        found = df.where(F.col("metric") == metric) if "metric" in df.columns else df.select(
-            F.lit(metric).alias("metric"), F.col(metric).alias("value")
-        ).distinct()
-        return found.select(F.lit(name).alias("report"), "metric", F.col("value").cast("double").alias("number"))
-
-    return (
-        line(report("clean", "structural"), "structural", "n_rows")
-        .unionByName(line(report("clean", "quality"), "quality", "total_rows"))
-        .unionByName(line(report("published", "pii"), "pii", "total_records"))
-    )
+    pii = report("published", "pii")
+    figures = ["email_pattern", "student_id_pattern", "total", "pct_of_rows", "total_records"]
+    pii = pii.select(
+        F.col("action").alias("section"), "column", *[F.col(f).cast("double") for f in figures]
+    ).unpivot(["section", "column"], figures, "metric", "number").where("number IS NOT NULL")
+    parts = {
+        # Empty text is no value in a file.
+        "structural": _exactly(_numbered(report("clean", "structural")), _raw_customers(t).replace("", None)),
+        "quality": _numbered(report("clean", "quality")),
+        "pii": pii.select("section", "column", "metric", F.round("number", 4).alias("number"), F.lit(None).cast("string").alias("text")),
+    }
+    named = [df.select(F.lit(name).alias("report"), "*") for name, df in parts.items()]
+    return reduce(DataFrame.unionByName, named)
 
 
 @query(
@@ -148,78 +290,13 @@ def _(t):
     return scan(t.spark, path, source.schema, multiline=True)
 
 
-def _numbered(report):
-    """Report lines with numbers rounded, so that their text does not matter."""
-    number = F.col("value").try_cast("double")
-    return report.select(
-        "section",
-        F.coalesce("column", F.lit("")).alias("column"),
-        F.coalesce("metric", F.lit("")).alias("metric"),
-        F.round(number, 4).alias("number"),
-        F.when(number.isNull(), F.col("value")).alias("text"),
-    )
-
-
 _NUMBERS = ("c_custkey", "balance")
+_DIRTY_COLUMNS = ("c_custkey", "name_raw", "contact", "flag_raw", "amount_raw", "balance", "segment", "is_active")
 
 
-def _top_sql() -> str:
-    cells = " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value FROM {{dirty_customer}}
-        WHERE {c} IS NOT NULL""" + (
-            f" AND lower(trim({c})) NOT IN ({_MISSING_WORDS})" if c in _TEXT else ""
-        )
-        for c in ("contact", "flag_raw", "segment", "is_active")
-    )
-    return f"""tops AS (SELECT *, row_number() OVER (PARTITION BY "column"
-        ORDER BY n DESC, value) AS place FROM
-        (SELECT "column", value, count(*) AS n FROM ({cells}) GROUP BY 1, 2))"""
-
-
-def _summary_sql() -> str:
-    parts = [
-        """SELECT 'shape' AS section, '' AS "column", 'n_rows' AS metric,
-        CAST(count(*) AS DOUBLE) AS number, NULL AS text FROM {dirty_customer}""",
-        "SELECT 'shape', '', 'n_columns', 8.0, NULL",
-        """SELECT 'missingness', "column", 'n_missing', CAST(n_missing AS DOUBLE), NULL
-        FROM missed""",
-        """SELECT 'missingness', "column", 'pct_missing', round(pct_missing, 4), NULL
-        FROM missed""",
-    ]
-    for c in _NUMBERS:
-        for name, figure in (
-            ("count", f"CAST(count({c}) AS DOUBLE)"),
-            ("mean", f"avg({c})"),
-            ("stddev", f"stddev_samp({c})"),
-            ("min", f"CAST(min({c}) AS DOUBLE)"),
-            ("max", f"CAST(max({c}) AS DOUBLE)"),
-        ):
-            parts.append(
-                f"""SELECT 'distribution', '{c}', '{name}', round({figure}, 4), NULL
-                FROM {{dirty_customer}}"""
-            )
-    for section, figure in (
-        ("top_value_count", "CAST(n AS DOUBLE)"),
-        ("top_value_share", "round(n / (SELECT count(*) FROM {dirty_customer}), 4)"),
-    ):
-        parts.append(
-            f"""SELECT '{section}', "column", value, {figure}, NULL FROM tops
-            WHERE place <= 3"""
-        )
-    return f"WITH missed AS ({MISSINGNESS_SQL}), {_top_sql()} " + " UNION ALL ".join(parts)
-
-
-@query("structural_report", _summary_sql())
+@query("structural_report", _structural_sql("{dirty_customer}", _DIRTY_COLUMNS, _TEXT, _NUMBERS, 3))
 def _(t):
-    report = _numbered(reports.structural_report(t.dirty_customer, top_values_k=3))
-    # Approximate cardinality has no SQL twin; top values only of small columns.
-    return report.where(
-        (F.col("section") != "cardinality")
-        & (
-            ~F.col("section").startswith("top_value")
-            | F.col("column").isin("contact", "flag_raw", "segment", "is_active")
-        )
-    )
+    return _exactly(_numbered(reports.structural_report(t.dirty_customer, top_values_k=3)), t.dirty_customer)
 
 
 @query(

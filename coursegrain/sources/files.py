@@ -14,7 +14,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-_QUOTING = {"header": "true", "quote": '"', "escape": '"'}
+# Writers would strip white space around values otherwise.
+_QUOTING = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def scratch_folder(spark: SparkSession) -> str:

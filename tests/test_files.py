@@ -88,3 +88,9 @@ def test_settings_name_real_columns(spec):
     assert {kinds[c] for c in spec.null_columns + spec.redacted} <= {"string"}
     assert {kinds[c] for c in spec.iso_columns} <= {"timestamp"}
     assert kinds["org_unit_id"] == "long" if "org_unit_id" in kinds else True
+
+
+def test_white_space_around_values_is_published(spark, tmp_path):
+    df = spark.createDataFrame([("  a ", 1), ("\t", 2)], "t string, i int")
+    path = files.publish(df, str(tmp_path), "d", "t")
+    assert sorted(map(tuple, files.scan(spark, path, df.schema).collect())) == [("\t", 2), ("  a ", 1)]
