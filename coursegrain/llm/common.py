@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -16,8 +15,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def use_checkpoints(spark: SparkSession) -> None:
-    """Checkpoints go to ``spark.checkpoint.dir``. Only a session in one process
-    without that setting gets a folder of its own."""
+    """Checkpoints go to ``spark.checkpoint.dir``. Only a session in one process may do
+    without; it then uses its warehouse folder."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
@@ -25,7 +24,7 @@ def use_checkpoints(spark: SparkSession) -> None:
     if folder is None:
         if not context.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="checkpoints-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     context.setCheckpointDir(folder)
 
 

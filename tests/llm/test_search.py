@@ -271,7 +271,9 @@ def test_negatives_of_an_empty_table(spark):
 
 def test_coordinates_prune_and_lose_nothing():
     rng = np.random.default_rng(1)
-    vectors = np.floor(256 * rng.normal(size=(4000, 6))).astype(np.int64)
+    # One length, as in a bucket.
+    vectors = rng.normal(size=(4000, 6))
+    vectors = np.floor(256 * vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.int64)
     bucket = negatives.Bucket(vectors)
     for anchor in vectors[:20]:
         scores = vectors @ anchor
