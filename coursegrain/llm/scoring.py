@@ -1,24 +1,28 @@
 """Scores of texts by a causal self-attention model over subword ids.
 
 A text is its words in lower case (A-Z), each encoded with a space before it, then an
-end. The model gives every subword a probability that is a mixture of two:
+end. A word's probability is a mixture of two:
 
 * *Attention.* One layer over a window of subwords predicts the class of the next one; a
-  class shares its probability among its subwords by their counts in the corpus.
-  Classes group subwords with like left neighbours.
-* *Counts.* Within a word, how often the subword or the word's end follows the word's
-  beginning, backing off to the subword before and then to its own frequency; at a start,
-  how often words start with it.
-
-How much each contributes is read off the attention layer too. Windows overlap: each
-covers ``SPAN`` subwords and scores the last ``STRIDE``, so that every subword is scored
-once, with at least ``SPAN - STRIDE`` before it where there are as many.
-
-Counts of words, subwords and pairs are over all training texts. The layer is trained in
-numpy on a sample of them (``SAMPLE`` texts on average, by hash of the id).
-
-The base score needs each word's count. Words that make up at least one in ``COMMON`` of
-the corpus, so at most ``COMMON`` words, are sent to every task; others are joined.
+  class shares its probability among its subwords, at the start of a word and inside it, by
+  their counts in the corpus. A word is its subwords and that another word starts after
+  them, given that one starts before: so the words' probabilities sum to 1. Classes group
+  subwords with like left neighbours.
+* *Counts.* (c+1)/(N+V+1) of the word itself, as in the base score.
+
+How much each contributes is read off the attention layer at the word's start. Windows
+overlap: each covers ``SPAN`` subwords and scores the last ``STRIDE``, so that every
+subword is scored once, with at least ``SPAN - STRIDE`` before it where there are as many.
+
+All training texts teach all parts. Words and subwords are counted in Spark. Neighbours of
+subwords and the layer's weights are vectors of a fixed length: each task makes its own from
+all of its texts (the layer by Adam in numpy, starting from the same weights), and they are
+added in a tree of ``FAN``. A subword's vector is averaged over the tasks by how often each
+met it. So the layer depends a little on how the table is split, not on its size. When the
+mixture is learnt, words that are not common count as often as they do on average.
+
+Words that make up at least one in ``COMMON`` of the corpus, so at most ``COMMON`` words,
+are sent to every task; occurrences of others meet their counts in a join.
 
 Edge cases: NULL and empty texts are an end alone. Without training texts all counts are 0
 and the layer keeps its random start; the base is then log10(1) for each token.
@@ -28,10 +32,9 @@ gives no rows. Only the two named columns are read.
 
 from __future__ import annotations
 
-from array import array
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -39,15 +42,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, crc_remainder, cut, stored
+from .common import by_batch, crc_remainder, stored
 from .packing import _Words as Words
 
 SPAN, STRIDE = 32, 16
 SIZE, CLASSES = 16, 64
-SAMPLE = 1000
 COMMON = 500_000
-#: Pairs and beginnings that are held: those seen at least once in so many.
-PAIRS = 4_000_000
+#: Words that a worker remembers the ids of, beside the common ones.
+REMEMBERED = 200_000
+#: Vectors added by one task of the tree.
+FAN = 16
+#: Subwords that a task gathers before it cuts them in windows.
+CHUNK = 65_536
 FOLDS, HELD = 7, 2
 #: Places of vocabulary: ids of the tokenizer, of which the last is the end.
 VOCABULARY = 50_257
@@ -85,35 +91,12 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _after(state: int, subword: int) -> int:
-    """The hash of a word's beginning, one subword longer."""
-    return ((state ^ (subword + 1)) * 0x9E3779B97F4A7C15 + 0x7F4A7C15) & 0x7FFFFFFFFFFFFFFF
-
-
-def _after_all(state: np.ndarray, subword: np.ndarray) -> np.ndarray:
-    """``_after`` of arrays."""
-    with np.errstate(over="ignore"):
-        x = (state ^ (subword.astype(np.uint64) + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
-        return (x + np.uint64(0x7F4A7C15)) & np.uint64(0x7FFFFFFFFFFFFFFF)
-
-
-def _summed(kind: int, first: np.ndarray, then: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Equal rows of a batch summed."""
-    order = np.lexsort((then, first))
-    first, then = first[order], then[order]
-    new = np.flatnonzero(np.r_[True, (first[1:] != first[:-1]) | (then[1:] != then[:-1])])
-    total = np.add.reduceat(weight[order], new)
-    return np.full(len(new), kind, np.int64), first[new], then[new], total.astype(np.int64)
-
-
-_ANYWHERE, _START, _PAIR, _BEGINNING = range(4)
+_ANYWHERE, _START = range(2)
 
 
 def subword_counts(words: DataFrame, tokenizer: dict[str, str]) -> DataFrame:
-    """``kind, first, then, c``, weighted by the words' counts: subwords anywhere and at
-    the start of words (``first`` is 0), pairs within words, and beginnings of words with
-    the beginnings one subword longer, by their hashes. A word's last subword is followed
-    by an end."""
+    """``kind, subword, c``, weighted by the words' counts: anywhere and at the start of
+    words. At most two rows a subword."""
 
     def make():
         encoder = Words(**tokenizer)
@@ -122,109 +105,113 @@ def subword_counts(words: DataFrame, tokenizer: dict[str, str]) -> DataFrame:
             encoded = [encoder.ids(" " + w) for w in batch["word"].to_pylist()]
             size = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
             ids = np.frombuffer(b"".join(encoded), np.uint32).astype(np.int64)
-            weight = batch["c"].to_numpy().astype(np.float64)
-            first = np.cumsum(size) - size
-            then = np.r_[ids[1:], END]
-            then[first + size - 1] = END
-            every = np.repeat(weight, size)
-            # Each beginning's hash, a subword longer at a time.
-            state, longer = np.zeros(len(ids), np.uint64), np.zeros(len(ids), np.uint64)
-            for k in range(int(size.max())):
-                at = first[size > k] + k
-                before = longer[at - 1] if k else _after_all(np.uint64(0), ids[at])
-                state[at] = before
-                longer[at] = _after_all(before, then[at])
-            parts = [
-                _summed(_ANYWHERE, np.zeros_like(ids), ids, every),
-                _summed(_START, np.zeros_like(first), ids[first], weight),
-                _summed(_PAIR, ids, then, every),
-                _summed(_BEGINNING, state.astype(np.int64), longer.astype(np.int64), every),
-            ]
+            weight = batch["c"].to_numpy()
+            parts = []
+            for kind, own, c in ((_ANYWHERE, ids, np.repeat(weight, size)), (_START, ids[np.cumsum(size) - size], weight)):
+                names, at = np.unique(own, return_inverse=True)
+                total = np.zeros(len(names), np.int64)
+                np.add.at(total, at, c)
+                parts.append((np.full(len(names), kind), names, total))
             columns = [pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)]
-            return pa.record_batch(columns, ["kind", "first", "then", "c"])
+            return pa.record_batch(columns, ["kind", "subword", "c"])
 
         return work
 
-    parts = by_batch(words.select("word", "c"), make, "kind long, first long, then long, c long")
-    return parts.groupBy("kind", "first", "then").agg(F.sum("c").alias("c"))
+    parts = by_batch(words.select("word", "c"), make, "kind long, subword long, c long")
+    return parts.groupBy("kind", "subword").agg(F.sum("c").alias("c"))
 
 
-@dataclass
-class Counts:
-    """What the count part and the classes know of the corpus."""
-
-    total: np.ndarray  # of each subword
-    start: np.ndarray  # probability at the start of a word
-    pairs: dict[int, float]  # probability after one subword
-    pairs_left: dict[int, float]  # what a subword's held pairs leave over
-    longer: dict[int, float]  # probability after a word's beginning
-    longer_left: dict[int, float]
-
-    def __post_init__(self) -> None:
-        self.unigram = (self.total + 0.1) / (self.total.sum() + 0.1 * VOCABULARY)
-
-    def of_word(self, ids: list[int]) -> tuple[list[float], float]:
-        """The probability of each subword given the word so far, and of the end."""
-        out, state = [float(self.start[ids[0]])], _after(0, ids[0])
-        for before, i in zip(ids, [*ids[1:], END], strict=True):
-            p = self.pairs.get(before * VOCABULARY + i, 0.0)
-            p += self.pairs_left.get(before, 1.0) * float(self.unigram[i])
-            longer = _after(state, i)
-            out.append(self.longer.get(longer, 0.0) + self.longer_left.get(state, 1.0) * p)
-            state = longer
-        return out[:-1], out[-1]
-
-
-def gather_counts(words: DataFrame, texts: int, tokenizer: dict[str, str]) -> Counts:
-    """Counts of subwords and of frequent pairs and beginnings: at most ``VOCABULARY`` and
-    ``PAIRS`` times the number of subwords in a word."""
-    found = cut(subword_counts(words, tokenizer))
-    single = found.where(F.col("kind").isin(_ANYWHERE, _START)).toArrow()
-    total, start = np.zeros(VOCABULARY), np.zeros(VOCABULARY)
-    for kind, into in ((_ANYWHERE, total), (_START, start)):
-        own = single["kind"].to_numpy() == kind
-        into[single["then"].to_numpy()[own]] = single["c"].to_numpy()[own]
-    total[END] = start[END] = texts
-    held = {}
-    for kind in (_PAIR, _BEGINNING):
-        own = found.where(F.col("kind") == kind)
-        n = own.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-        often = own.where(F.col("c") * PAIRS >= n)
-        # A context leaves as much to the shorter one as it has had different followers.
-        whole = own.groupBy("first").agg((F.sum("c") + F.count(F.lit(1))).alias("whole")).where(F.col("whole") * PAIRS >= n)
-        rows = often.join(whole, "first").select("first", "then", (F.col("c") / F.col("whole")).alias("share")).toArrow()
-        first, then, share = (rows[c].to_numpy() for c in ("first", "then", "share"))
-        keys = first * VOCABULARY + then if kind == _PAIR else then
-        names, at = np.unique(first, return_inverse=True)
-        left = 1 - np.bincount(at, share, len(names))
-        held[kind] = dict(zip(keys.tolist(), share.tolist())), dict(zip(names.tolist(), left.tolist()))
-    begin = (start + 0.01) / (start.sum() + 0.01 * VOCABULARY)
-    return Counts(total, begin, *held[_PAIR], *held[_BEGINNING])
+class Encoded(dict):
+    """Of each word: its ids and, if it is common, its count, else -1. Remembered up to a
+    bound."""
 
+    def __init__(self, tokenizer: dict[str, str], common: dict[bytes, int]) -> None:
+        super().__init__()
+        self._words, self._common, self._others = Words(**tokenizer), common, 0
 
-@dataclass
-class Layer:
-    """Weights of the attention layer; ``cls`` and ``within`` are each subword's class
-    and probability in it."""
+    def __missing__(self, word: bytes) -> tuple[bytes, int]:
+        found = (self._words.ids(" " + word.decode()), self._common.get(word, -1))
+        if len(word) <= 64:
+            if found[1] < 0:
+                self._others += 1
+                if self._others > REMEMBERED:
+                    kept = {w: x for w, x in self.items() if x[1] >= 0}
+                    self.clear()
+                    self.update(kept)
+                    self._others = 1
+            self[word] = found
+        return found
 
-    cls: np.ndarray
-    within: np.ndarray
-    weights: dict[str, np.ndarray]
+
+def laid_out(found: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a text, end included, and where its words and its end start."""
+    ids = np.frombuffer(b"".join([f[0] for f in found]), np.uint32)
+    size = np.fromiter((len(f[0]) // 4 for f in found), np.int64, len(found))
+    return np.r_[ids.astype(np.int64), END], np.r_[0, np.cumsum(size)]
+
+
+def added(rows: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], np.ndarray | None], size: int) -> np.ndarray:
+    """The sum of the vectors, each of ``size`` floats, that ``work`` makes of each task's
+    rows. Tasks add ``FAN`` at a time until ``FAN`` are left, the driver those."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = work(batches)
+        if x is not None:
+            own = pa.array([x.astype(np.float32).tobytes()], pa.binary())
+            yield pa.record_batch([pa.array([TaskContext.get().partitionId()], pa.int64()), own], ["part", "x"])
+
+    def add(table: pa.Table) -> pa.Table:
+        part = pa.array([table["part"][0].as_py() // FAN], pa.int64())
+        return pa.table({"part": part, "x": pa.array([_sum_of(table["x"], size).tobytes()], pa.binary())})
+
+    parts = stored(rows.mapInArrow(run, "part long, x binary"))
+    while parts.count() > FAN:
+        parts = stored(parts.groupBy(F.expr(f"part div {FAN}")).applyInArrow(add, "part long, x binary"))
+    return _sum_of(parts.select("x").toArrow()["x"], size)
+
+
+def _sum_of(column: pa.ChunkedArray, size: int) -> np.ndarray:
+    total = np.zeros(size, np.float32)
+    for x in column:
+        total += np.frombuffer(x.as_buffer(), np.float32)
+    return total
+
+
+def _add_rows(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Adds ``rows`` to those of ``into`` that ``at`` names; returns the names."""
+    order = np.argsort(at, kind="stable")
+    names = at[order]
+    new = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
+    into[names[new]] += np.add.reduceat(rows[order], new, axis=0)
+    return names[new]
+
+
+NEAR = 24
+
+
+def _signs() -> np.ndarray:
+    return np.random.default_rng(3).standard_normal((VOCABULARY, NEAR)).astype(np.float32)
 
 
-def classes_of(ids: np.ndarray, total: np.ndarray, classes: int, seed: int = 3) -> np.ndarray:
+def neighbours(chunks: Iterator[np.ndarray]) -> np.ndarray:
+    """Sums of random vectors of the three subwords to the left of each subword. Each chunk
+    starts with the last subword of the one before."""
+    signs, near = _signs(), np.zeros((VOCABULARY, NEAR), np.float32)
+    for ids in chunks:
+        for gap in (1, 2, 3):
+            if len(ids) > gap:
+                _add_rows(near, ids[gap:], signs[ids[:-gap]])
+    return near
+
+
+def classes_of(near: np.ndarray, total: np.ndarray, classes: int) -> np.ndarray:
     """Subwords grouped by their left neighbours: k-means on random projections."""
-    random = np.random.default_rng(seed)
-    signs = random.standard_normal((VOCABULARY, 24)).astype(np.float32)
-    near = np.zeros((VOCABULARY, 24))
-    for gap in (1, 2, 3):
-        np.add.at(near, ids[gap:], signs[ids[:-gap]])
-    known = np.flatnonzero(np.bincount(ids, minlength=VOCABULARY) >= 3)
-    cls = np.full(VOCABULARY, classes - 1, np.int64)
-    cls[:] = np.arange(VOCABULARY) % classes
+    random = np.random.default_rng(3)
+    cls = np.arange(VOCABULARY) % classes
+    known = np.flatnonzero(total >= 3)
     if len(known) < classes:
         return cls
-    points = near[known]
+    points = near[known].astype(np.float64)
     points /= np.linalg.norm(points, axis=1, keepdims=True) + 1e-9
     weight = np.sqrt(total[known] + 1)
     centres = points[random.choice(len(known), classes, replace=False, p=weight / weight.sum())]
@@ -239,20 +226,35 @@ def classes_of(ids: np.ndarray, total: np.ndarray, classes: int, seed: int = 3)
     return cls
 
 
-def new_layer(ids: np.ndarray, counts: Counts, seed: int = 5) -> Layer:
+@dataclass
+class Layer:
+    """Weights of the attention layer. ``cls`` is each subword's class, ``starts`` and
+    ``inside`` its probability in the class at the start of a word and inside one, and
+    ``opens`` a class's probability of a start."""
+
+    cls: np.ndarray
+    starts: np.ndarray
+    inside: np.ndarray
+    opens: np.ndarray
+    weights: dict[str, np.ndarray]
+
+
+def new_layer(near: np.ndarray, total: np.ndarray, start: np.ndarray, seed: int = 5) -> Layer:
     random = np.random.default_rng(seed)
-    cls = classes_of(ids, counts.total, CLASSES)
-    smooth = counts.total + 0.1
-    within = smooth / np.bincount(cls, smooth, CLASSES)[cls]
+    cls = classes_of(near, total, CLASSES)
+    smooth = total + 0.1
+    mass = np.bincount(cls, smooth, CLASSES) + 1e-9
+    within = smooth / mass[cls]
+    begins = (start + 0.01) / (total + 0.02)
+    starts = within * begins
     draw = lambda *shape: (random.standard_normal(shape) * 0.1).astype(np.float32)
-    mass = np.bincount(cls, smooth, CLASSES)
     weights = {
         "token": draw(VOCABULARY, SIZE), "place": draw(SPAN, SIZE),
         "q": draw(SIZE, SIZE), "k": draw(SIZE, SIZE), "v": draw(SIZE, SIZE), "o": draw(SIZE, SIZE),
         "out": draw(SIZE, CLASSES), "bias": np.log(mass / mass.sum()).astype(np.float32),
         "gate": draw(SIZE), "gate0": np.zeros(1, np.float32),
-    }
-    return Layer(cls, within.astype(np.float32), weights)
+    }
+    return Layer(cls, starts, within - starts, np.bincount(cls, starts, CLASSES).astype(np.float32), weights)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -261,73 +263,131 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def train(ids: np.ndarray, counted: np.ndarray, layer: Layer, *, epochs: int = 3, batch: int = 128, rate: float = 0.01) -> Layer:
-    """Adam on windows of ``SPAN``; ``counted`` is the count part's probability of each
-    subword. The loss is that of the mixture and of the class, in equal parts. The target of a place is the next subword."""
-    w = layer.weights
-    windows = (len(ids) - 1) // SPAN
-    if windows < 1:
+class Training:
+    """A copy of a layer that learns from windows of ``SPAN`` by Adam. The loss of a subword
+    is its class's; of a word inside a window, for the gate alone, the mixture's."""
+
+    def __init__(self, layer: Layer, batch: int = 128, rate: float = 0.01) -> None:
+        self.layer = replace(layer, weights={k: v.copy() for k, v in layer.weights.items()})
+        self.batch, self.rate, self.steps = batch, rate, 0
+        self.first = {k: np.zeros_like(v) for k, v in layer.weights.items()}
+        self.second = {k: np.zeros_like(v) for k, v in layer.weights.items()}
+        self.seen = np.zeros(VOCABULARY, np.float32)
+        self.learnt = 0
+        self._random = np.random.default_rng(11)
+        self._mask = np.triu(np.full((SPAN, SPAN), -1e9, np.float32), 1)
+
+    def learn(self, ids: np.ndarray, counted: np.ndarray) -> None:
+        """``ids[1:]`` are predicted, each from those before it. ``counted`` is the count
+        part's probability of a word where it starts, else 0."""
+        many = len(ids) - 1
+        if many < 1:
+            return
+        windows = -(-many // SPAN)
+        at = np.arange(windows * SPAN).reshape(windows, SPAN)
+        real = at < many
+        at = np.minimum(at, many - 1)
+        order = self._random.permutation(windows)
+        for low in range(0, windows, self.batch):
+            b = at[order[low : low + self.batch]]
+            self._step(ids[b], ids[b + 1], counted[b + 1], real[order[low : low + self.batch]])
+        self.learnt += many
+        self.seen += np.bincount(ids[:-1], minlength=VOCABULARY).astype(np.float32)
+
+    def _step(self, given: np.ndarray, aim: np.ndarray, counted: np.ndarray, real: np.ndarray) -> None:
+        w, layer, scale = self.layer.weights, self.layer, np.float32(SIZE**-0.5)
+        n = max(int(real.sum()), 1)
+        x = w["token"][given] + w["place"]
+        q, k, v = x @ w["q"], x @ w["k"], x @ w["v"]
+        a = _softmax(q @ k.transpose(0, 2, 1) * scale + self._mask)
+        mixed = a @ v
+        h = x + mixed @ w["o"]
+        p = _softmax(h @ w["out"] + w["bias"])
+        cls = layer.cls[aim][..., None]
+        of_class = np.take_along_axis(p, cls, -1)[..., 0]
+        gate = 1 / (1 + np.exp(-(h @ w["gate"] + w["gate0"])))
+        d_gate = self._gate_slopes(aim, counted, real, of_class, p @ layer.opens, gate)
+        np.put_along_axis(p, cls, (of_class - 1)[..., None], -1)
+        d_logit = p * real[..., None].astype(np.float32)
+        d_h = d_logit @ w["out"].T
+        d_mixed = d_h @ w["o"].T
+        d_a = d_mixed @ v.transpose(0, 2, 1)
+        d_s = a * (d_a - (d_a * a).sum(-1, keepdims=True)) * scale
+        d_q, d_k, d_v = d_s @ k, d_s.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ d_mixed
+        d_x = d_h + d_q @ w["q"].T + d_k @ w["k"].T + d_v @ w["v"].T
+        flat = lambda y: y.reshape(given.size, -1)
+        names, place = np.unique(given, return_inverse=True)
+        token = np.zeros((len(names), SIZE), np.float32)
+        _add_rows(token, place.ravel(), flat(d_x))
+        grads = {
+            "place": d_x.sum(0),
+            "q": flat(x).T @ flat(d_q), "k": flat(x).T @ flat(d_k), "v": flat(x).T @ flat(d_v),
+            "o": flat(mixed).T @ flat(d_h), "out": flat(h).T @ flat(d_logit), "bias": flat(d_logit).sum(0),
+            "gate": (flat(h) * d_gate.reshape(-1, 1)).sum(0), "gate0": d_gate.sum(keepdims=True).reshape(1),
+        }
+        self.steps += 1
+        # Rows of subwords that the batch lacks stay as they are.
+        self._move("token", names, token / n)
+        for name, g in grads.items():
+            self._move(name, slice(None), g / n)
+
+    def _gate_slopes(self, aim, counted, real, of_class, opens, gate) -> np.ndarray:
+        layer, slopes = self.layer, np.zeros(aim.size, np.float32)
+        aim, counted = aim.ravel(), counted.ravel()
+        start = counted > 0
+        own = np.log(of_class.ravel() * np.where(start, layer.starts[aim], layer.inside[aim]) + 1e-30)
+        so_far = np.r_[0.0, np.cumsum(own)]
+        begin = np.flatnonzero(start & real.ravel())
+        low, high = begin[:-1], begin[1:]
+        whole = low // SPAN == high // SPAN
+        low, high = low[whole], high[whole]
+        opens, gate = np.log(opens.ravel() + 1e-30), gate.ravel()
+        attended = so_far[high] - so_far[low] - opens[low] + np.where(aim[low] == END, 0, opens[high])
+        attended, g = np.exp(np.minimum(attended, 0)), gate[low]
+        both = g * attended + (1 - g) * counted[low] + 1e-30
+        slopes[low] = -(attended - counted[low]) / both * g * (1 - g)
+        return slopes
+
+    def _move(self, name: str, at: np.ndarray | slice, g: np.ndarray) -> None:
+        first = self.first[name][at] * 0.9 + 0.1 * g
+        second = self.second[name][at] * 0.99 + 0.01 * g * g
+        self.first[name][at], self.second[name][at] = first, second
+        ahead, size = first / (1 - 0.9**self.steps), np.sqrt(second / (1 - 0.99**self.steps)) + 1e-8
+        rate = self.rate / (1 + self.steps / 300) ** 0.5
+        self.layer.weights[name][at] -= (rate * ahead / size).astype(np.float32)
+
+    def vector(self) -> np.ndarray:
+        """The weights times how often they were used, and that."""
+        w = self.layer.weights
+        rest = [w[k].ravel() * self.learnt for k in w if k != "token"]
+        return np.concatenate([(w["token"] * self.seen[:, None]).ravel(), self.seen, *rest, [self.learnt]])
+
+
+def vector_size() -> int:
+    others = SPAN * SIZE + 4 * SIZE * SIZE + SIZE * CLASSES + CLASSES + SIZE + 1
+    return VOCABULARY * (SIZE + 1) + others + 1
+
+
+def averaged(layer: Layer, vector: np.ndarray) -> Layer:
+    """The layer with the weights of an added-up ``Training.vector``; what no task used
+    stays."""
+    if not vector[-1]:
         return layer
-    at = np.arange(windows * SPAN).reshape(windows, SPAN)
-    given, aim = ids[at], ids[at + 1]
-    prior = counted[at + 1].astype(np.float32)
-    mask = np.triu(np.full((SPAN, SPAN), -1e9, np.float32), 1)
-    first = {k: np.zeros_like(v) for k, v in w.items()}
-    second = {k: np.zeros_like(v) for k, v in w.items()}
-    random = np.random.default_rng(11)
-    scale, step = np.float32(SIZE**-0.5), 0
-    steps = epochs * -(-windows // batch)
-    for _ in range(epochs):
-        order = random.permutation(windows)
-        for low in range(0, windows, batch):
-            b = order[low : low + batch]
-            n = len(b) * SPAN
-            x = w["token"][given[b]] + w["place"]
-            q, k, v = x @ w["q"], x @ w["k"], x @ w["v"]
-            a = _softmax(q @ k.transpose(0, 2, 1) * scale + mask)
-            mixed = a @ v
-            h = x + mixed @ w["o"]
-            p = _softmax(h @ w["out"] + w["bias"])
-            aims = aim[b]
-            cls = layer.cls[aims]
-            of_class = np.take_along_axis(p, cls[..., None], -1)[..., 0]
-            gate = 1 / (1 + np.exp(-(h @ w["gate"] + w["gate0"])))
-            one = of_class * layer.within[aims]
-            both = gate * one + (1 - gate) * prior[b] + 1e-12
-            # Half of the loss is the mixture's, half the class's own: else the gate may shut
-            # before the classes are learnt.
-            part = 0.5 * (gate * one / both)[..., None] + np.float32(0.5)
-            d_logit = p * part
-            np.put_along_axis(d_logit, cls[..., None], np.take_along_axis(d_logit, cls[..., None], -1) - part, -1)
-            d_gate = -0.5 * (one - prior[b]) / both * gate * (1 - gate)
-            d_h = d_logit @ w["out"].T + d_gate[..., None] * w["gate"]
-            d_mixed = d_h @ w["o"].T
-            d_a = d_mixed @ v.transpose(0, 2, 1)
-            d_s = a * (d_a - (d_a * a).sum(-1, keepdims=True)) * scale
-            d_q, d_k, d_v = d_s @ k, d_s.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ d_mixed
-            d_x = d_h + d_q @ w["q"].T + d_k @ w["k"].T + d_v @ w["v"].T
-            flat = lambda y: y.reshape(n, -1)
-            token = np.zeros_like(w["token"])
-            np.add.at(token, given[b].ravel(), flat(d_x))
-            grads = {
-                "token": token, "place": d_x.sum(0),
-                "q": flat(x).T @ flat(d_q), "k": flat(x).T @ flat(d_k), "v": flat(x).T @ flat(d_v),
-                "o": flat(mixed).T @ flat(d_h), "out": flat(h).T @ flat(d_logit), "bias": flat(d_logit).sum(0),
-                "gate": (flat(h) * d_gate.reshape(n, 1)).sum(0), "gate0": d_gate.sum(keepdims=True).reshape(1),
-            }
-            step += 1
-            now = rate * (1 - 0.9 * step / steps)
-            for name, g in grads.items():
-                g = g / n
-                first[name] = 0.9 * first[name] + 0.1 * g
-                second[name] = 0.99 * second[name] + 0.01 * g * g
-                ahead = first[name] / (1 - 0.9**step)
-                w[name] = (w[name] - now * ahead / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
-    return layer
+    vector, weights = vector.astype(np.float64), dict(layer.weights)
+    low = VOCABULARY * SIZE
+    seen = vector[low : low + VOCABULARY, None]
+    token = vector[:low].reshape(VOCABULARY, SIZE)
+    weights["token"] = np.where(seen > 0, token / np.maximum(seen, 1), weights["token"]).astype(np.float32)
+    low += VOCABULARY
+    for name, old in layer.weights.items():
+        if name != "token":
+            weights[name] = (vector[low : low + old.size] / vector[-1]).reshape(old.shape).astype(np.float32)
+            low += old.size
+    return replace(layer, weights=weights)
 
 
 class Scorer:
-    """log10 probabilities of id sequences, batched over windows."""
+    """Probabilities of id sequences, batched over windows."""
 
     def __init__(self, layer: Layer) -> None:
         w = layer.weights
@@ -339,19 +399,22 @@ class Scorer:
         self.k, self.pk = w["token"] @ w["k"], w["place"] @ w["k"]
         value = w["v"] @ w["o"]
         self.v, self.pv = w["token"] @ value, w["place"] @ value
+        self.out = np.c_[w["out"], w["gate"]]
+        self.bias = np.r_[w["bias"], w["gate0"]]
         context = SPAN - STRIDE
         place = np.arange(context, SPAN)
         self.causal = np.where(np.arange(SPAN) <= place[:, None], 0, -1e9).astype(np.float32)
 
-    def score(self, ids: np.ndarray, counted: np.ndarray, ends: np.ndarray, block: int = 512) -> np.ndarray:
-        """Sums over texts. ``ids`` holds the texts one after another, each up to
-        ``ends``; ``counted`` is the count part's probability of each."""
-        w, context = self.layer.weights, SPAN - STRIDE
+    def score(self, ids: np.ndarray, ends: np.ndarray, block: int = 512) -> tuple[np.ndarray, ...]:
+        """Of each subword, from those before it in its text: the probability of its class,
+        that a word starts here, and the gate. ``ids`` holds the texts one after another,
+        each up to ``ends``."""
+        context = SPAN - STRIDE
         begins = np.r_[0, ends[:-1]]
         many = -(-(ends - begins) // STRIDE)
         text = np.repeat(np.arange(len(ends)), many)
         number = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
-        sums = np.zeros(len(ends))
+        of_class, opens, gates = (np.zeros(len(ids), np.float32) for _ in range(3))
         for low in range(0, len(text), block):
             t, j = text[low : low + block], number[low : low + block]
             # Inputs are the subwords before the aims; the text's first input is an end.
@@ -366,76 +429,75 @@ class Scorer:
             h = self.x[given[:, context:]] + self.px[context:] + _softmax(s) @ (self.v[given] + self.pv)
             aim_at = at[:, context:] + 1
             live = aim_at < ends[t][:, None]
-            h, aim_at, owner = h[live], aim_at[live], np.repeat(t, live.sum(1))
-            aim = ids[aim_at]
-            logit = h @ w["out"] + w["bias"]
-            logit -= logit.max(axis=1, keepdims=True)
-            np.exp(logit, out=logit)
-            of_class = logit[np.arange(len(aim)), self.layer.cls[aim]] / logit.sum(axis=1)
-            gate = 1 / (1 + np.exp(-(h @ w["gate"] + w["gate0"])))
-            p = gate * of_class * self.layer.within[aim] + (1 - gate) * counted[aim_at]
-            sums += np.bincount(owner, np.log10(p.astype(np.float64) + 1e-30), len(ends))
-        return sums
-
-
-class Encoded(dict):
-    """Of each word: its ids, the count part's probabilities, that of its end, and the
-    base count if it is common; remembered up to a bound."""
-
-    def __init__(self, tokenizer: dict[str, str], counts: Counts, common: dict[bytes, int]) -> None:
-        super().__init__()
-        self._words, self._counts, self._common = Words(**tokenizer), counts, common
-
-    def __missing__(self, word: bytes) -> tuple[bytes, bytes, float, int]:
-        ids = self._words.ids(" " + word.decode())
-        p, stop = self._counts.of_word(memoryview(ids).cast("I").tolist())
-        found = (ids, array("f", p).tobytes(), stop, self._common.get(word, -1))
-        if len(word) <= 64:
-            if len(self) > 300_000 + len(self._common):
-                kept = {w: self[w] for w in self._common if w in self}
-                self.clear()
-                self.update(kept)
-            self[word] = found
-        return found
-
-    def of_words(self, found: list[tuple[bytes, bytes, float, int]]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and the count part's probabilities of a text, end included: a word's first
-        subword comes once the word before has ended."""
-        ids = np.frombuffer(b"".join([f[0] for f in found]), np.uint32)
-        p = np.frombuffer(b"".join([f[1] for f in found]), np.float32)
-        size = np.fromiter((len(f[0]) // 4 for f in found), np.int64, len(found))
-        stop = np.fromiter((f[2] for f in found), np.float32, len(found))
-        p = np.r_[p, np.float32(self._counts.start[END])]
-        p[np.cumsum(size)] *= stop
-        return np.r_[ids.astype(np.int64), END], p
-
-
-def fit(train_texts: DataFrame, words: DataFrame, texts: int, tokenizer: dict[str, str], sample: int) -> tuple[Counts, Layer]:
-    counts = gather_counts(words, texts, tokenizer)
-    scale = 1 << 30
-    some = train_texts if texts <= sample else train_texts.where(
-        F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(scale)) < int(scale * sample / texts)
-    )
-    sent = train_texts.sparkSession.sparkContext.broadcast(counts)
-
-    def make():
-        encoded = Encoded(tokenizer, sent.value, {})
-
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            pairs = [encoded.of_words([encoded[w] for w in words_of(t)]) for t in batch["text"].to_pylist()]
-            columns = [pa.array([x.tobytes() for x in c], pa.binary()) for c in zip(*pairs, strict=True)]
-            return pa.record_batch(columns, ["ids", "p"])
-
-        return work
-
-    rows = by_batch(some.select("text"), make, "ids binary, p binary").toArrow()
-    ids = np.frombuffer(b"".join(rows["ids"].to_pylist()), np.int64)
-    counted = np.frombuffer(b"".join(rows["p"].to_pylist()), np.float32)
-    ids, counted = np.r_[END, ids], np.r_[np.float32(1), counted]
-    return counts, train(ids, counted, new_layer(ids, counts))
-
+            h, aim_at = h[live], aim_at[live]
+            # A row more, as one row alone would be summed in another order: equal texts get
+            # equal scores in any batch.
+            out = np.concatenate([h, h[:1]]) @ self.out + self.bias
+            p = _softmax(out[:-1, :-1])
+            of_class[aim_at] = p[np.arange(len(p)), self.layer.cls[ids[aim_at]]]
+            opens[aim_at] = (p * self.layer.opens).sum(axis=1)
+            gates[aim_at] = 1 / (1 + np.exp(-out[:-1, -1]))
+        return of_class, opens, gates
+
+    def words(self, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each word and end, which begin at ``starts``: the attention's natural
+        logarithm and the gate."""
+        of_class, opens, gates = self.score(ids, ends)
+        share = self.layer.inside[ids]
+        share[starts] = self.layer.starts[ids[starts]]
+        own = np.log(of_class.astype(np.float64) * share + 1e-30)
+        opens = np.log(opens[starts].astype(np.float64) + 1e-30)
+        after = np.r_[opens[1:], 0.0]
+        after[ids[starts] == END] = 0.0
+        return np.minimum(np.add.reduceat(own, starts) - opens + after, 0), gates[starts]
+
+
+def fit(train_texts: DataFrame, words: DataFrame, texts: int, tokenizer: dict[str, str], common: dict[bytes, int], usual: float, floor: int) -> Layer:
+    """The layer, taught by all training texts. ``usual`` is the average count of a word
+    that is not common."""
+    single = subword_counts(words, tokenizer).toArrow()
+    total, start = np.zeros(VOCABULARY), np.zeros(VOCABULARY)
+    for kind, into in ((_ANYWHERE, total), (_START, start)):
+        own = single["kind"].to_numpy() == kind
+        into[single["subword"].to_numpy()[own]] = single["c"].to_numpy()[own]
+    total[END] = start[END] = texts
+    context = train_texts.sparkSession.sparkContext
+    sent = context.broadcast(common)
 
-def score_texts(docs: DataFrame, tokenizer: dict[str, str], *, sample: int = SAMPLE) -> DataFrame:
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """A task's texts one after another, an end first; the count part where words start."""
+        encoded = Encoded(tokenizer, sent.value)
+        ids, counted, many = [np.array([END])], [np.zeros(1, np.float32)], 0
+        for batch in batches:
+            for text in batch["text"].to_pylist():
+                found = [encoded[w] for w in words_of(text)]
+                own, starts = laid_out(found)
+                p = np.zeros(len(own), np.float32)
+                c = np.array([*(f[1] for f in found), texts], np.float64)
+                p[starts] = (np.where(c < 0, usual, c) + 1) / floor
+                ids.append(own), counted.append(p)
+                many += len(own)
+                if many >= CHUNK:
+                    yield np.concatenate(ids), np.concatenate(counted)
+                    ids, counted, many = [ids[-1][-1:]], [counted[-1][-1:]], 0
+        if many:
+            yield np.concatenate(ids), np.concatenate(counted)
+
+    rows = train_texts.select("text")
+    near = added(rows, lambda batches: neighbours(x for x, _ in chunks(batches)).ravel(), VOCABULARY * NEAR)
+    layer = new_layer(near.reshape(VOCABULARY, NEAR), total, start)
+    begin = context.broadcast(layer)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> np.ndarray | None:
+        training = Training(begin.value)
+        for ids, counted in chunks(batches):
+            training.learn(ids, counted)
+        return training.vector() if training.learnt else None
+
+    return averaged(layer, added(rows, learn, vector_size()))
+
+
+def score_texts(docs: DataFrame, tokenizer: dict[str, str]) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``, one row
     per row of ``docs``."""
     spark = docs.sparkSession
@@ -446,68 +508,81 @@ def score_texts(docs: DataFrame, tokenizer: dict[str, str], *, sample: int = SAM
     texts = training.count()
     in_words, kinds = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     n, v = in_words + texts, kinds + (1 if texts else 0)
-    counts, layer = fit(training, counted, texts, tokenizer, sample)
-    common = {r.word.encode(): r.c for r in counted.where(F.col("c") * COMMON >= n).collect()}
-    # The last part is each worker's own: words it has met, kept from task to task.
-    sent = spark.sparkContext.broadcast((counts, layer, common, {}))
     floor = n + v + 1
+    common = {r.word.encode(): r.c for r in counted.where(F.col("c") * COMMON >= n).toLocalIterator()}
+    usual = (in_words - sum(common.values())) / max(kinds - len(common), 1)
+    layer = fit(training, counted, texts, tokenizer, common, usual, floor)
+    # The last part is each worker's own: words it has met, kept from task to task.
+    sent = spark.sparkContext.broadcast((layer, common, {}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, layer, common, met = sent.value
+        layer, common, met = sent.value
         if not met:
-            met["words"] = Encoded(tokenizer, counts, common)
-        encoded, scorer = met["words"], Scorer(layer)
+            met["words"], met["scorer"] = Encoded(tokenizer, common), Scorer(layer)
+        encoded, scorer = met["words"], met["scorer"]
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            known, base, length, rare, often, scores = [], [], [], [], [], []
-            ids, probabilities, ends, total = [], [], [], 0
+            known, base, length, scores = [], [], [], []
+            rare, attended, gates = [], [], []
+            texts_words, ids, starts, counts, ends, total = [], [], [], [], [], 0
 
             def flush() -> None:
                 nonlocal total
                 if ends:
-                    joined, counted = np.concatenate(ids), np.concatenate(probabilities)
-                    scores.extend(scorer.score(joined, counted, np.array(ends)).tolist())
-                ids.clear(), probabilities.clear(), ends.clear()
+                    many = np.cumsum([len(s) for s in starts])
+                    a, g = scorer.words(np.concatenate(ids), np.concatenate(starts), np.array(ends))
+                    c = np.concatenate(counts)
+                    p = np.log10(g * np.exp(a) + (1 - g) * (c + 1) / floor + 1e-300)
+                    for words, low, high in zip(texts_words, np.r_[0, many[:-1]], many, strict=True):
+                        often = c[low:high] >= 0
+                        scores.append(float(p[low:high][often].sum()))
+                        at = np.flatnonzero(~often)
+                        rare.append([words[i].decode() for i in at])
+                        attended.append(a[low:high][at].astype(np.float32))
+                        gates.append(g[low:high][at].astype(np.float32))
+                for x in (texts_words, ids, starts, counts, ends):
+                    x.clear()
                 total = 0
 
             for text in batch["text"].to_pylist():
                 words = words_of(text)
                 found = [encoded[w] for w in words]
-                own, p = encoded.of_words(found)
-                ids.append(own), probabilities.append(p)
+                own, begin = laid_out(found)
+                texts_words.append(words), ids.append(own), starts.append(begin + total)
                 total += len(own)
                 ends.append(total)
-                c = np.array([*(f[3] for f in found), texts], np.float64)
+                c = np.array([*(f[1] for f in found), texts], np.float64)
+                counts.append(c)
                 have = c[c >= 0]
                 known.append(len(have) - (texts == 0))
                 base.append(float(np.log10((have + 1) / floor).sum()))
                 length.append(len(words) + 1)
-                missing = Counter([words[i] for i in np.flatnonzero(c < 0)])
-                rare.append([w.decode() for w in missing])
-                often.append(list(missing.values()))
                 if total > 100_000:
                     flush()
             flush()
             rows = pa.array(np.arange(number, number + batch.num_rows))
             number += batch.num_rows
             yield pa.record_batch(
-                [rows, batch["doc_id"], batch["held_out"], pa.array(length, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(scores, pa.float64()), pa.array(rare, pa.list_(pa.string())), pa.array(often, pa.list_(pa.int64()))],
-                ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare", "often"],
+                [rows, batch["doc_id"], batch["held_out"], pa.array(length, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(scores, pa.float64()), pa.array(rare, pa.list_(pa.string())), pa.array(attended, pa.list_(pa.float32())), pa.array(gates, pa.list_(pa.float32()))],
+                ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare", "attended", "gate"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, score double, rare array<string>, often array<long>"
+    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, score double, rare array<string>, attended array<float>, gate array<float>"
     scored = stored(rows.select("doc_id", "held_out", "text").mapInArrow(run, schema))
-    missing = scored.select("row", F.explode(F.arrays_zip("rare", "often")).alias("x")).select(
-        "row", F.col("x.rare").alias("word"), F.col("x.often").alias("times")
+    missing = scored.select("row", F.explode(F.arrays_zip("rare", "attended", "gate")).alias("x")).select(
+        "row", F.col("x.rare").alias("word"), F.col("x.attended").alias("attended"), F.col("x.gate").alias("gate")
     )
     c = F.coalesce("c", F.lit(0))
+    p = (c + 1) / F.lit(float(floor))
+    gate = F.col("gate").cast("double")
     rest = (
         missing.join(counted, "word", "left")
         .groupBy("row")
         .agg(
-            F.sum(F.col("times") * F.log10((c + 1) / F.lit(float(floor)))).alias("more_base"),
-            F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"),
+            F.sum(F.log10(p)).alias("more_base"),
+            F.sum(F.log10(gate * F.exp(F.col("attended").cast("double")) + (1 - gate) * p + F.lit(1e-300))).alias("more_score"),
+            F.sum(F.when(c > 0, 1).otherwise(0)).alias("more_known"),
         )
     )
     return scored.join(rest, "row", "left").select(
@@ -517,5 +592,5 @@ def score_texts(docs: DataFrame, tokenizer: dict[str, str], *, sample: int = SAM
         (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )
