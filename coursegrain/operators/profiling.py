@@ -2,12 +2,13 @@
 
 A profile needs one aggregate over the table, however many columns it covers:
 every figure is an expression of the same aggregate, and the single result row
-is then laid out as one row per column. Only the value counts need a shuffle.
+is then laid out as one row per column. Only counts of values need a shuffle, and
+most of those are left out where a sketch shows that they do not matter.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -75,10 +76,13 @@ def profile_missingness(
 
 
 def _cells_by_type(
-    df: DataFrame, names: list[str], shown: Callable[[str], Column]
+    df: DataFrame,
+    names: list[str],
+    shown: Callable[[str], Column],
+    without: Collection[str] = (),
 ) -> list[DataFrame]:
     """Long frames ``(place, value)``, one per data type: a row per cell that
-    ``shown`` leaves non-NULL, with the column's place as text.
+    ``shown`` leaves non-NULL, with the column's place among ``names`` as text.
 
     Cells of one type stay in that type, so they are grouped as numbers or
     booleans rather than as text, and each frame scans its own columns only.
@@ -86,6 +90,8 @@ def _cells_by_type(
     types = column_types(df)
     members: dict[T.DataType, list[tuple[str, str]]] = {}
     for place, name in enumerate(names):
+        if name in without:
+            continue
         members.setdefault(types[name], []).append((str(place), name))
     frames = []
     for chosen in members.values():
@@ -134,42 +140,131 @@ def _cardinality_values(names: list[str]) -> dict[str, list[Column]]:
     }
 
 
+# Values a sketch keeps apart, and the share of all rows its counts may be off by: it keeps
+# at most 3.5 / size of the rows out, where its table has at least 4 / 3 places a value.
+TRACKED = 1024
+_OFF = 3.5 * 3 / 4
+# Sketches of tasks are merged by this many tasks before the last one merges those.
+_MERGERS = 64
+
+
+def _present(df: DataFrame) -> Callable[[str], Column]:
+    types = column_types(df)
+    return lambda name: F.when(~is_missing(col(name), types[name]), col(name))
+
+
+def frequent_hashes(
+    df: DataFrame, names: Sequence[str], k: int, *, tracked: int = TRACKED
+) -> tuple[int, dict[str, list[int]]]:
+    """Rows of the table, and for each column whose k most frequent non-missing values
+    are sure to be among a few, the hashes of those.
+
+    One read. Frequency sketches hold hashes, so their size does not depend on the
+    values; what comes to the driver is at most ``tracked`` numbers a column. A sketched
+    count is never too small and at most ``off`` too large, and a value the sketch does not
+    list has at most twice ``off`` or the last listed count. A column is proven if
+    its k-th count stays above that even when ``off`` is taken away. Columns with fewer
+    than k values, or of rare values only, are not.
+    """
+    tracked = max(tracked, k)
+    shown = _present(df)
+    sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(_MERGERS))).agg(
+        row_count().alias("n_rows"),
+        *[
+            F.call_function(
+                "approx_top_k_accumulate",
+                F.when(shown(c).isNotNull(), F.xxhash64(shown(c))),
+                F.lit(tracked),
+            ).alias(f"s{i}")
+            for i, c in enumerate(names)
+        ],
+    )
+    merged = [
+        F.call_function(
+            "approx_top_k_estimate",
+            F.call_function("approx_top_k_combine", F.col(f"s{i}"), F.lit(tracked)),
+            F.lit(tracked),
+        ).alias(f"s{i}")
+        for i in range(len(names))
+    ]
+    # Grouped, as there is no sketch to merge where there is no row.
+    found = sketches.groupBy(F.lit(1)).agg(F.sum("n_rows").alias("n_rows"), *merged).first()
+    if found is None:
+        return 0, {}
+    n_rows = found["n_rows"]
+    proven, off = {}, _OFF * n_rows / tracked
+    for i, name in enumerate(names):
+        listed = sorted((r["count"] for r in found[f"s{i}"]), reverse=True)
+        unlisted = max(2 * off, listed[-1] if len(listed) >= tracked else 0)
+        counts = {r["item"]: r["count"] for r in found[f"s{i}"] if r["item"] is not None}
+        least = sorted(counts.values(), reverse=True)[k - 1 : k]
+        if least and least[0] - off > unlisted:
+            proven[name] = [item for item, n in counts.items() if n >= least[0] - off]
+    return n_rows, proven
+
+
+def _counts_of(df: DataFrame, hashes: dict[str, list[int]], places: dict[str, str]) -> DataFrame:
+    """``place, value, count`` of the values with the given hashes: one read for all
+    columns, combined in the map tasks to a few rows."""
+    shown = _present(df)
+
+    def cell(name: str) -> Column:
+        item = F.xxhash64(shown(name))
+        # Zeros of both signs are one value and have one hash.
+        value = shown(name)
+        if isinstance(column_types(df)[name], (T.FloatType, T.DoubleType)):
+            value = F.when(value == 0, F.lit(0).cast(column_types(df)[name])).otherwise(value)
+        return F.struct(
+            F.lit(places[name]).alias("place"),
+            item.alias("item"),
+            F.when(item.isin(hashes[name]), value.cast("string")).alias("value"),
+        )
+
+    cells = df.select(F.inline(F.array(*map(cell, hashes)))).where("value is not null")
+    counts = cells.groupBy("place", "item", "value").agg(row_count().alias("count"))
+    return counts.select("place", "value", "count")
+
+
 def profile_top_values(
     df: DataFrame,
     *,
     k: int = 5,
     columns: Sequence[str] | None = None,
+    tracked: int = TRACKED,
 ) -> DataFrame:
     """``column, value, count, pct``: the k most frequent non-missing values of
     each column, ties by value; pct is the share of all rows.
 
-    A column of mostly distinct values shuffles nearly all of them, and its most
-    frequent value says little: name the ``columns`` to look at to leave it out.
+    A sketch of all columns, made when the function is called, tells which values can be
+    among the k (``frequent_hashes``); only those are then counted, exactly, in a second
+    read. Columns where the sketch proves nothing have all their values counted, those of
+    one type in one scan: cheap for few values, nearly a whole shuffle for keys. Name the
+    ``columns`` to look at to leave keys out.
     """
     if k <= 0:
         raise ValueError("k must be positive")
     names = _chosen(df, columns)
     if not names:
         return _no_rows(df, "column string, value string, count long, pct double")
-    types = column_types(df)
-
-    def present(name: str) -> Column:
-        return F.when(~is_missing(col(name), types[name]), col(name))
-
-    counts = reduce(
-        DataFrame.union,
-        [
-            cells.groupBy("place", "value")
-            .agg(row_count().alias("count"))
-            .select("place", F.col("value").cast("string").alias("value"), "count")
-            for cells in _cells_by_type(df, names, present)
-        ],
-    )
+    n_rows, proven = frequent_hashes(df, names, k, tracked=tracked)
+    parts = []
+    if proven:
+        places = {name: str(i) for i, name in enumerate(names)}
+        parts.append(_counts_of(df, proven, places))
+    parts += [
+        cells.groupBy("place", "value")
+        .agg(row_count().alias("count"))
+        .select("place", F.col("value").cast("string").alias("value"), "count")
+        for cells in _cells_by_type(df, names, _present(df), without=set(proven))
+    ]
+    counts = reduce(DataFrame.union, parts)
     top = top_per_group(counts, ["place"], [F.desc("count"), F.asc("value")], k)
-    n_rows = df.agg(row_count()).scalar()
     column = F.element_at(F.array(*map(F.lit, names)), F.col("place").cast("int") + 1)
     return top.select(
-        column.alias("column"), "value", "count", share(F.col("count"), n_rows).alias("pct")
+        column.alias("column"),
+        "value",
+        "count",
+        share(F.col("count"), F.lit(n_rows)).alias("pct"),
     )
 
 

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import math
+import random
+from collections import Counter
 
 import pytest
 
@@ -69,6 +71,45 @@ def test_top_values_prune_before_the_shuffle(tables):
     assert "WindowGroupLimit" in text
 
 
+def counted(pairs, k):
+    """Most frequent values by hand."""
+    counts = Counter(pairs)
+    return sorted(counts.items(), key=lambda item: (-item[1], item[0]))[:k]
+
+
+def test_top_values_of_skewed_columns_come_from_the_sketch(spark):
+    n = 60_000
+    df = spark.range(n, numPartitions=6).selectExpr(
+        "if(id % 10 < 7, concat('heavy ', id % 3), concat('rare ', id)) AS s",
+        "cast(if(id % 4 = 0, -0.0, if(id % 4 = 1, 0.0, id)) AS double) AS d",
+        "id AS key",
+        "if(id % 2 = 0, null, 'x') AS half",
+    )
+    total, proven = profiling.frequent_hashes(df, df.columns, 1)
+    assert total == n and set(proven) == {"s", "d", "half"}
+    assert all(len(hashes) <= 3 for hashes in proven.values())
+    found = [tuple(r) for r in profiling.profile_top_values(df, k=3).collect()]
+    texts = [f"heavy {i % 3}" if i % 10 < 7 else f"rare {i}" for i in range(n)]
+    assert [r[1:3] for r in found if r[0] == "s"] == counted(texts, 3)
+    assert [r[1:3] for r in found if r[0] == "d"][0] == ("0.0", n // 2)
+    assert [r[1:3] for r in found if r[0] == "key"] == [("0", 1), ("1", 1), ("10", 1)]
+    assert [r[1:] for r in found if r[0] == "half"] == [("x", n // 2, 0.5)]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_top_values_are_exact_whatever_the_sketch_holds(spark, seed):
+    """Few tracked values, so that counts are off and ties meet the bound."""
+    draw = random.Random(seed)
+    heavy = [draw.randint(20, 400) for _ in range(12)]
+    values = [f"v{i:02d}" for i, n in enumerate(heavy) for _ in range(n)]
+    values += [f"w{draw.randint(0, 300)}" for _ in range(1500)]
+    draw.shuffle(values)
+    df = spark.createDataFrame([(v,) for v in values], "v string").repartition(5)
+    for k in (1, 4, 12):
+        found = profiling.profile_top_values(df, k=k, tracked=32).collect()
+        assert [(r["value"], r["count"]) for r in found] == counted(values, k)
+
+
 def test_numeric(odd):
     found = {r["column"]: r for r in profiling.profile_numeric_distribution(odd).collect()}
     assert list(found) == ["count", "summary", "empty"]
