@@ -10,9 +10,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import profiling
+from ..operators.columns import column_report, standardize_column_names
+from ..operators.redaction import placeholder
 from ..plans import jobs, reports
-from ..sources.contracts import TableSpec
-from ..sources.files import data_path, publish, remove, report_path, scan, scratch_folder
+from ..sources.contracts import TABLES, TableSpec
+from ..sources.files import (
+    contract_report,
+    data_path,
+    input_status,
+    publish,
+    remove,
+    report_path,
+    scan,
+    scratch_folder,
+)
 from .privacy import _any, _email, _student
 from .profiling import _MISSING_WORDS, _TEXT, MISSINGNESS_SQL
 from .registry import query
@@ -290,6 +301,192 @@ def _(t):
     return scan(t.spark, path, source.schema, multiline=True)
 
 
+@query(
+    "inferred_scan",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
+    'int, int, string, double, string' AS types FROM orders""",
+)
+def _(t):
+    folder = f"{scratch_folder(t.spark)}/inferred-{uuid.uuid4().hex}"
+    source = t.orders.drop("o_orderdate")
+    found = scan(t.spark, publish(source, folder, "sample", "orders"))
+    types = ", ".join(kind for _, kind in found.dtypes)
+    wide = found.select(*[F.col(c).cast(kind) for c, kind in source.dtypes])
+    return wide.withColumn("types", F.lit(types))
+
+
+_PARTS = ("customer", "orders", "lineitem")
+
+
+@query(
+    "input_guard",
+    " UNION ALL ".join(f"SELECT '{n}' AS input, true AS found, count(*) AS n_rows FROM {n}" for n in _PARTS)
+    + " UNION ALL SELECT 'returns', false, CAST(NULL AS BIGINT)",
+)
+def _(t):
+    """Three tables that are there and one that has not come."""
+    inputs = {n: (t.path(n), getattr(t, n).schema) for n in _PARTS}
+    inputs["returns"] = (t.path("returns"), t.orders.schema)
+    return input_status(t.spark, inputs, fmt="parquet")
+
+
+_WHOLE = r"regexp_full_match(amount_raw, '-?[0-9]+')"
+
+
+@query(
+    "contract_drift",
+    f"""WITH n AS (SELECT count(c_custkey) AS k, count(nullif(amount_raw, '')) AS a,
+        count(nullif(amount_raw, '')) - count(*) FILTER (WHERE {_WHOLE}) AS bad,
+        count(balance) AS b, count(nullif(segment, '')) AS s FROM {{dirty_customer}})
+    SELECT 'c_custkey' AS "column", 'bigint' AS expected, 0 AS place, 0 AS found_at,
+        'ok' AS status, k AS n_filled, CAST(0 AS BIGINT) AS n_malformed FROM n
+    UNION ALL SELECT 'amount_raw', 'int', 1, 2, 'moved', a, bad FROM n
+    UNION ALL SELECT 'balance', 'double', 2, NULL, 'missing', NULL, NULL FROM n
+    UNION ALL SELECT 'segment', 'string', 3, 1, 'moved', s, 0 FROM n
+    UNION ALL SELECT 'balance_eur', NULL, NULL, 3, 'unexpected', b, 0 FROM n""",
+)
+def _(t):
+    """An export with two columns changed over and one renamed."""
+    folder = f"{scratch_folder(t.spark)}/drift-{uuid.uuid4().hex}"
+    source = t.dirty_customer.select(
+        "c_custkey", "segment", "amount_raw", F.col("balance").alias("balance_eur")
+    )
+    path = publish(source, folder, "sample", "customers")
+    contract = T.StructType.fromDDL("c_custkey bigint, amount_raw int, balance double, segment string")
+    return contract_report(t.spark, path, contract)
+
+
+@query(
+    "column_validation",
+    """SELECT 'l_orderkey' AS "column", 'bigint' AS expected, 'bigint' AS found, 'ok' AS status,
+        count(l_orderkey) AS n_filled FROM lineitem
+    UNION ALL SELECT 'l_returnflag', 'boolean', 'string', 'other_type', count(l_returnflag) FROM lineitem
+    UNION ALL SELECT 'l_currency', 'string', NULL, 'absent', NULL""",
+)
+def _(t):
+    wanted = {"l_orderkey": "bigint", "l_returnflag": "boolean", "l_currency": "string"}
+    return column_report(t.lineitem, wanted)
+
+
+# Cells of a made-up export, by type: SQL that both sides read alike. ``{i}`` is the
+# column's place.
+_CELLS = {
+    "bigint": "c_custkey * ({i} + 1)",
+    "int": "CAST((c_custkey * ({i} + 3)) % 17 AS INT)",
+    "double": "CAST(c_custkey AS DOUBLE) / 4",
+    "boolean": "(c_custkey + {i}) % 2 = 0",
+    "timestamp": "make_timestamp(CAST(2000 + (c_custkey + {i}) % 20 AS INT), CAST(1 + c_custkey % 12 AS INT), 5, 6, 7, 8)",
+    "string": """CASE (c_custkey + {i}) % 5 WHEN 0 THEN 'N/A' WHEN 1 THEN 'mail user' || c_custkey || '@example.org now'
+        WHEN 2 THEN '  Some ' || chr(9) || ' text ' || c_custkey || ' ' WHEN 3 THEN c_name ELSE 'word' END""",
+}
+_ALLOWED = "CASE c_custkey % 3 WHEN 0 THEN 'Auto' WHEN 1 THEN 'Module' ELSE 'Other' END"
+
+
+def _cells(spec: TableSpec) -> list[tuple[str, str, str]]:
+    """Clean name, type and SQL of every column of a table's export."""
+    # From the text, as queries are registered before there is a session.
+    fields = [field.split() for field in spec.raw_ddl.split(",")]
+    clean = standardize_column_names([name for name, _ in fields])
+    return [
+        (name, kind, _ALLOWED if spec.allowed and name == spec.allowed[0] else _CELLS[kind].format(i=i))
+        for i, (name, (_, kind)) in enumerate(zip(clean, fields))
+    ]
+
+
+def _published_lines_sql(spec: TableSpec) -> str:
+    clean, published = [], []
+    for name, kind, cell in _cells(spec):
+        if kind == "string":
+            cell = f"trim(regexp_replace({cell}, '\\s+', ' ', 'g'))"
+            if name in spec.null_columns:
+                cell = f"CASE WHEN lower({cell}) IN ({_MISSING_WORDS}) THEN NULL ELSE {cell} END"
+        clean.append(f"{cell} AS {name}")
+    source = f"(SELECT {', '.join(clean)} FROM customer)"
+    if spec.allowed:
+        name, values = spec.allowed
+        source = f"(SELECT * FROM {source} WHERE {name} IN ({', '.join(repr(v) for v in values)}))"
+    kinds = [(name, kind) for name, kind, _ in _cells(spec)]
+    if spec.filled_flag:
+        source = f"(SELECT *, coalesce({spec.filled_flag} <> '', false) AS has_{spec.filled_flag} FROM {source})"
+        kinds.append((f"has_{spec.filled_flag}", "boolean"))
+    for name, kind in kinds:
+        if name in spec.dropped:
+            continue
+        mark = f"'[PII_REDACTED_{name.upper()}]'"
+        pii = f"coalesce({_any(name)}, false)" if name in spec.redacted else "false"
+        total = {
+            "string": f"CASE WHEN {pii} THEN length({mark}) ELSE length({name}) END",
+            "boolean": f"CAST({name} AS INT)",
+            "timestamp": f"epoch({name})",
+        }.get(kind, name)
+        missing = _missing_sql(name, [name] if kind == "string" else [])
+        no = "CAST(NULL AS BIGINT)"
+        counted = no if name == f"has_{spec.filled_flag}" else f"count(*) FILTER (WHERE {missing})"
+        reported = f"count(*) FILTER (WHERE {pii})" if name in spec.redacted else no
+        published.append(
+            f"""SELECT '{spec.table}' AS "table", '{name}' AS "column", count(*) AS n_rows,
+            count({name}) AS n_filled, count(*) FILTER (WHERE {pii}) AS n_redacted,
+            CAST(sum({total}) AS DOUBLE) AS total, {counted} AS n_missing, {reported} AS n_reported FROM {source}"""
+        )
+    return " UNION ALL ".join(published)
+
+
+def _published_lines(t, base: str, spec: TableSpec) -> DataFrame:
+    """One line per published column: rows, values, redacted values and a sum of the data,
+    and what the quality and PII reports say of it."""
+    where = (spec.dataset, spec.table)
+    published = scan(t.spark, data_path(f"{base}/published", *where), spec.published_schema)
+    figures, lines = [F.count(F.lit(1)).alias("n_rows")], []
+    for i, field in enumerate(published.schema):
+        value, kind = F.col(field.name), field.dataType.simpleString()
+        number = {"string": F.length(value), "boolean": value.cast("int"), "timestamp": F.unix_timestamp(value)}
+        mark = F.lit(placeholder(field.name))
+        figures += [
+            F.count(value).alias(f"f{i}"),
+            F.count_if(value.cast("string") == mark).alias(f"r{i}"),
+            F.sum(number.get(kind, value).cast("double")).alias(f"t{i}"),
+        ]
+        lines.append(
+            F.struct(
+                F.lit(field.name).alias("column"), "n_rows", F.col(f"f{i}").alias("n_filled"),
+                F.col(f"r{i}").alias("n_redacted"), F.col(f"t{i}").alias("total"),
+            )
+        )
+    data = published.agg(*figures).select(F.inline(F.array(*lines)))
+    missing = (
+        t.spark.read.schema("section string, column string, metric string, value string")
+        .json(report_path(f"{base}/clean", *where, "quality"))
+        .where("section = 'missingness' AND metric = 'n_missing'")
+        .select("column", F.col("value").cast("long").alias("n_missing"))
+    )
+    seen = (
+        t.spark.read.schema("action string, column string, total long")
+        .json(report_path(f"{base}/published", *where, "pii"))
+        .where("action = 'redacted'")
+        .select("column", F.col("total").alias("n_reported"))
+    )
+    joined = data.join(missing, "column", "left").join(seen, "column", "left")
+    return joined.select(F.lit(spec.table).alias("table"), *joined.columns)
+
+
+@query("pipeline_all_tables", " UNION ALL ".join(_published_lines_sql(spec) for spec in TABLES.values()))
+def _(t):
+    """Both tiers of all eight tables, under their own contracts."""
+    base = f"{scratch_folder(t.spark)}/tiers-{uuid.uuid4().hex}"
+    try:
+        for spec in TABLES.values():
+            names = [f.name for f in spec.raw_schema]
+            raw = t.customer.select(*[F.expr(cell).alias(n) for n, (_, _, cell) in zip(names, _cells(spec))])
+            raw.write.options(
+                header="true", quote='"', escape='"', quoteAll="true",
+                ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
+            ).csv(f"{base}/raw/{spec.raw_file}")
+        jobs.run_pipeline(t.spark, f"{base}/raw", f"{base}/clean", f"{base}/published")
+    finally:
+        remove(t.spark, f"{base}/raw")
+    return reduce(DataFrame.unionByName, [_published_lines(t, base, spec) for spec in TABLES.values()])
+
+
 _NUMBERS = ("c_custkey", "balance")
 _DIRTY_COLUMNS = ("c_custkey", "name_raw", "contact", "flag_raw", "amount_raw", "balance", "segment", "is_active")
 

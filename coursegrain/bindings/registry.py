@@ -23,9 +23,12 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self._folder = spark, folder.rstrip("/")
 
+    def path(self, name: str) -> str:
+        return f"{self._folder}/{name}.parquet"
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+            return self.spark.read.parquet(self.path(name))
         if name in VIEWS:
             text = VIEWS[name]
             return self.spark.sql(text, **{n: getattr(self, n) for n in _inputs(text)})

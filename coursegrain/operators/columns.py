@@ -1,14 +1,17 @@
-"""Column names and column checks. Metadata only: no Spark job."""
+"""Column names and column checks, on metadata but for ``column_report``."""
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.names import col
+
 # A word ends before a capital that follows a lower-case letter or digit, before
 # a capital that opens a lower-case run, and at anything not alphanumeric.
 _WORD_BREAK = re.compile(
@@ -87,6 +90,30 @@ def require_columns(
     return names
 
 
+def column_report(df: DataFrame, wanted: Mapping[str, str]) -> DataFrame:
+    """``column, expected, found, status, n_filled`` for each wanted column and its type
+    in DDL: ``ok``, ``absent`` or ``other_type``; ``n_filled`` counts what is not NULL. The
+    frame is read once, whatever is wanted; unlike ``require_columns`` nothing is raised.
+    """
+    types = column_types(df)
+    counts = df.agg(
+        *[F.count(col(c) if c in types else F.lit(None)).alias(f"n{i}") for i, c in enumerate(wanted)]
+    )
+    lines = []
+    for i, (name, ddl) in enumerate(wanted.items()):
+        expected = T.StructType.fromDDL(f"x {ddl}")[0].dataType.simpleString()
+        found = types[name].simpleString() if name in types else None
+        status = "absent" if found is None else "ok" if found == expected else "other_type"
+        values = {"column": name, "expected": expected, "found": found, "status": status}
+        lines.append(
+            F.struct(
+                *[F.lit(v).cast("string").alias(k) for k, v in values.items()],
+                F.when(F.lit(found is not None), F.col(f"n{i}")).alias("n_filled"),
+            )
+        )
+    return counts.select(F.inline(F.array(*lines)))
+
+
 def select_kind(
     df: DataFrame, wanted: Sequence[str] | None, *kinds: type[T.DataType]
 ) -> list[str]:

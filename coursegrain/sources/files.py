@@ -9,11 +9,16 @@ takes it as ``fmt``.
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.names import col
+
 # Writers would strip white space around values otherwise.
 _QUOTING = {
     "header": "true",
@@ -87,6 +92,68 @@ def try_scan(spark: SparkSession, path: str, schema: T.StructType, **options):
         raise
 
 
+def input_status(
+    spark: SparkSession, inputs: Mapping[str, tuple[str, T.StructType]], **options
+) -> DataFrame:
+    """``input, found, n_rows`` for each named path: a part of an export that has not come
+    is a row of the result rather than the end of the job."""
+    parts = []
+    for name, (path, schema) in inputs.items():
+        df = try_scan(spark, path, schema, **options)
+        rows = F.count(F.lit(1)) if df is not None else F.lit(None).cast("long")
+        parts.append(
+            (df if df is not None else spark.range(1)).agg(
+                F.lit(name).alias("input"),
+                F.lit(df is not None).alias("found"),
+                rows.alias("n_rows"),
+            )
+        )
+    return reduce(DataFrame.union, parts)
+
+
+def contract_report(
+    spark: SparkSession, path: str, schema: T.StructType, *, multiline: bool = False
+) -> DataFrame:
+    """How text files keep to a contract: ``column, expected, place, found_at, status,
+    n_filled, n_malformed``, one row per column of either side.
+
+    ``status`` is ``ok``, ``moved`` (another place in the file), ``missing`` or
+    ``unexpected``. Values that are there but cannot be read in the contract's type are
+    malformed. The files are read twice, as text and as the contract has them.
+    """
+    text = spark.read.options(**_QUOTING, multiLine=str(multiline).lower()).csv(path)
+    header, wanted = text.columns, {f.name: f.dataType for f in schema}
+    arranged = T.StructType([T.StructField(c, wanted.get(c, T.StringType())) for c in header])
+    typed = scan(spark, path, arranged, multiline=multiline)
+    filled, parsed = (
+        df.agg(*[F.count(col(c)).alias(f"{tag}{i}") for i, c in enumerate(header)])
+        for df, tag in ((text, "f"), (typed, "p"))
+    )
+    lines = []
+    for name in [*wanted, *(c for c in header if c not in wanted)]:
+        place = schema.names.index(name) if name in wanted else None
+        at = header.index(name) if name in header else None
+        status = (
+            "missing" if at is None else "unexpected" if place is None else "ok" if at == place else "moved"
+        )
+        seen = F.col(f"f{at}") if at is not None else F.lit(None).cast("long")
+        read = F.col(f"p{at}") if at is not None else F.lit(None).cast("long")
+        expected = wanted[name].simpleString() if name in wanted else None
+        lines.append(
+            F.struct(
+                F.lit(name).alias("column"),
+                F.lit(expected).cast("string").alias("expected"),
+                F.lit(place).cast("int").alias("place"),
+                F.lit(at).cast("int").alias("found_at"),
+                F.lit(status).alias("status"),
+                seen.alias("n_filled"),
+                (seen - read).alias("n_malformed"),
+            )
+        )
+    figures = [parsed.select(f"p{i}").scalar().alias(f"p{i}") for i in range(len(header))]
+    return filled.select("*", *figures).select(F.inline(F.array(*lines)))
+
+
 def publish(
     df: DataFrame,
     base: str,

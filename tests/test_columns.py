@@ -62,3 +62,13 @@ def test_checks(spark):
         columns.require_columns(df, ["z"])
     with pytest.raises(TypeError, match="n"):
         columns.require_columns(df, ["n"], T.StringType)
+
+
+def test_column_report(spark):
+    df = spark.createDataFrame([(1, None), (2, "x")], "`a.b` int, s string")
+    wanted = {"a.b": "int", "s": "boolean", "none": "string"}
+    assert [tuple(r) for r in columns.column_report(df, wanted).collect()] == [
+        ("a.b", "int", "int", "ok", 2),
+        ("s", "boolean", "string", "other_type", 1),
+        ("none", "string", None, "absent", None),
+    ]

@@ -94,3 +94,29 @@ def test_white_space_around_values_is_published(spark, tmp_path):
     df = spark.createDataFrame([("  a ", 1), ("\t", 2)], "t string, i int")
     path = files.publish(df, str(tmp_path), "d", "t")
     assert sorted(map(tuple, files.scan(spark, path, df.schema).collect())) == [("\t", 2), ("  a ", 1)]
+
+
+def test_parts_that_have_not_come_are_rows(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text("n\n1\n2\n")
+    schema = contracts.T.StructType.fromDDL("n int")
+    inputs = {"a": (str(tmp_path / "a.csv"), schema), "b": (str(tmp_path / "b.csv"), schema)}
+    assert rows(files.input_status(spark, inputs)) == [("a", True, 2), ("b", False, None)]
+
+
+def test_contract_report(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('day,n,extra\n2020-01-02,1,x\nsoon,x,\n,"2",y\n')
+    schema = contracts.T.StructType.fromDDL("n int, day date, gone string")
+    found = [tuple(r) for r in files.contract_report(spark, str(tmp_path), schema).collect()]
+    assert found == [
+        ("n", "int", 0, 1, "moved", 3, 1),
+        ("day", "date", 1, 0, "moved", 2, 1),
+        ("gone", "string", 2, None, "missing", None, None),
+        ("extra", None, None, 2, "unexpected", 2, 0),
+    ]
+
+
+def test_contract_report_of_a_header_alone(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n,s\n")
+    schema = contracts.T.StructType.fromDDL("n int, s string")
+    found = [tuple(r)[4:] for r in files.contract_report(spark, str(tmp_path), schema).collect()]
+    assert found == [("ok", 0, 0), ("ok", 0, 0)]

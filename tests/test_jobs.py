@@ -113,3 +113,13 @@ def test_parquet_tier_gives_the_same_rows_and_leaves_no_copy(spark, base, tmp_pa
     other = scan(spark, path, fmt="parquet").select(*names)
     same = clean(spark, base, "quizobjects").select(*names)
     assert sorted(map(str, other.collect())) == sorted(map(str, same.collect()))
+
+
+def test_a_failed_job_fails_the_pipeline(spark, base, tmp_path):
+    specs = [TABLES["roledetails"], TABLES["quizobjects"]]
+    write_raw(tmp_path / "raw", specs[0])
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        jobs.run_pipeline(
+            spark, str(tmp_path / "raw"), str(tmp_path / "clean"), str(tmp_path / "out"), specs=specs
+        )
+    assert not (tmp_path / "out").exists()
