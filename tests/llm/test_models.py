@@ -389,8 +389,8 @@ def vocab():
 
 def all_segmentations(text, vocab):
     surface = {}
-    for keys_ids in vocab.by_length.values():
-        for i in keys_ids[1]:
+    for _, ids in vocab.beginnings.values():
+        for i in ids[ids >= 0]:
             surface[vocab.surface[i].decode()] = int(i)
     text = " " + text
     found = {}
