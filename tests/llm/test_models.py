@@ -459,6 +459,25 @@ def test_round_trips(docs, vocab):
     assert segments.segmentations(docs([]), model).count() == 0
 
 
+def test_the_query_returns_the_segmentations(spark, docs, vocab, tmp_path):
+    from coursegrain.llm.queries import QUERIES
+
+    given = {1: "two words and more", 2: "日本 🙂 ▁", 3: None}
+    docs(list(given.items())).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op7_gumbel_segmentations"](spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in rows} == {1, 2, 3}
+    for r in rows:
+        assert vocab.decode(r.ids) == (given[r.doc_id] or "") and r.n_pieces == len(r.ids)
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+
+
+def test_one_number_is_mixed_as_many_are():
+    keys, places = segments.mix(np.arange(20, dtype=np.uint64)), np.arange(20)
+    for salt in (0, 1, 999, 2001):
+        many = segments._uniform(keys, places, salt)
+        assert [segments._one_uniform(int(k), i, salt) for i, k in enumerate(keys)] == many.tolist()
+
+
 def test_samples_do_not_depend_on_the_batch(vocab):
     texts = [f"some text number {i} with words" for i in range(50)]
     keys = segments.mix(np.arange(50, dtype=np.uint64))
