@@ -26,15 +26,17 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch
-from .hashing import mix
+from .common import by_batches
+from .hashing import mix, mix_one
 
 K = 2
 #: Characters that are segmented at a time.
@@ -87,11 +89,38 @@ class Vocabulary:
             keys, whole = keys[order], whole[order]
             first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
             self.beginnings[size] = keys[first], whole[first]
+        # Where the keys with the same leading bits start, some four places a key.
+        self.slots: dict[int, tuple[np.uint64, np.ndarray]] = {}
+        for size, (keys, _) in self.beginnings.items():
+            bits = len(keys).bit_length() + 2
+            heads = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+            self.slots[size] = np.uint64(64 - bits), np.searchsorted(keys, heads)
+        self.spelling = pa.array(self.surface, pa.binary())
+        self.surface_size = np.array([len(x) for x in self.surface], np.int64)
+
+    def look_up(self, length: int, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are beginnings of that length, and for those the piece that one is,
+        or -1."""
+        keys, ids = self.beginnings[length]
+        shift, starts = self.slots[length]
+        last = len(keys) - 1
+        place = np.minimum(starts[key >> shift], last)
+        behind = np.flatnonzero((keys[place] < key) & (place < last))
+        while len(behind):
+            place[behind] += 1
+            at = place[behind]
+            behind = behind[(keys[at] < key[behind]) & (at < last)]
+        begins = keys[place] == key
+        return begins, ids[place[begins]]
+
+    def spelt(self, ids: np.ndarray) -> memoryview:
+        """The bytes of the pieces, one after another."""
+        held = self.spelling.take(pa.array(ids))
+        return memoryview(held.buffers()[2]).cast("B")[: int(self.surface_size[ids].sum())]
 
     def decode(self, ids: list[int]) -> str:
         """The text; the space that stands before every text goes."""
-        body = b"".join(map(self.surface.__getitem__, ids))
-        return body[1:].decode()
+        return bytes(self.spelt(np.array(ids, np.int64))[1:]).decode()
 
 
 def _longer(key: np.ndarray, letter: np.ndarray) -> np.ndarray:
@@ -125,26 +154,38 @@ class Lattices:
             if not len(at):
                 break
             key = _longer(key, code[at + length - 1])
-            keys, ids = vocab.beginnings[length]
-            place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
             # What no piece begins with is not looked at again.
-            begins = keys[place] == key
-            at, key, ids = at[begins], key[begins], ids[place[begins]]
+            begins, ids = vocab.look_up(length, key)
+            at, key = at[begins], key[begins]
             hit = ids >= 0
             found.append((at[hit], np.full(hit.sum(), length), ids[hit]))
             if length == 1:
                 single[at[hit]] = True
         spelt = np.flatnonzero(~single)
         found.append((spelt, np.ones(len(spelt), np.int64), -1 - code[spelt].astype(np.int64)))
-        source, length, piece = (np.concatenate(c) for c in zip(*found, strict=True))
-        many = 1 + (code > 0x7F).astype(int) + (code > 0x7FF) + (code > 0xFFFF)
-        many = np.where(code == _SPELT, 3, many)
-        weight = np.where(piece >= 0, vocab.weight[np.maximum(piece, 0)], vocab.byte_weight * many[source])
+        # Edges by their node, shorter ones first.
+        held = np.zeros(n, np.int64)
+        ranks = []
+        for source, _, _ in found:
+            ranks.append(held[source])
+            held[source] += 1
+        begins = np.cumsum(held) - held
+        total = int(held.sum())
+        length, piece = np.empty(total, np.int64), np.empty(total, np.int64)
+        for (own, size_of, ids), rank in zip(found, ranks, strict=True):
+            to = begins[own] + rank
+            length[to], piece[to] = size_of, ids
+        weight = vocab.weight[np.maximum(piece, 0)]
+        own = code[spelt]
+        many = 1 + (own > 0x7F).astype(int) + (own > 0x7FF) + (own > 0xFFFF)
+        weight[begins[spelt] + ranks[-1]] = vocab.byte_weight * np.where(own == _SPELT, 3, many)
         # From the ends back: what lies behind a node is known before it is needed.
-        left = char_end[source] - source
-        order = np.argsort(left * (n + 1) + source, kind="stable")
-        source, length, piece, weight, left = (x[order] for x in (source, length, piece, weight, left))
-        node = source + unit[source]
+        left = char_end - np.arange(n)
+        kind = np.uint16 if left.max(initial=0) < 1 << 16 else np.int64
+        left = np.repeat(left.astype(kind), held)
+        back = np.argsort(left, kind="stable")
+        every, every_length = np.repeat(np.arange(n) + unit, held), length
+        left, node, length, weight = left[back], every[back], length[back], weight[back]
         beta = np.zeros(n + len(units))
         value = np.empty(len(node))
         cut = np.flatnonzero(np.r_[True, left[1:] != left[:-1]]) if len(left) else np.zeros(0, np.int64)
@@ -158,9 +199,10 @@ class Lattices:
             beta[own[first]] = top + np.log(sums)
             value[low:high] = v
         # A node's likeliest edges come first, so that few are looked at.
-        log_p = value - beta[node]
-        order = np.argsort((node << 10) + np.minimum(-16 * log_p, 1023).astype(np.int64), kind="stable")
-        self.node, self.length, self.piece, self.log_p = node[order], length[order], piece[order], log_p[order]
+        log_p = np.empty(total)
+        log_p[back] = value - beta[node]
+        order = np.argsort((every << 10) + np.minimum(-16 * log_p, 1023).astype(np.int64), kind="stable")
+        self.node, self.length, self.piece, self.log_p = every[order], every_length[order], piece[order], log_p[order]
         first = np.flatnonzero(np.r_[True, self.node[1:] != self.node[:-1]]) if len(node) else np.zeros(0, np.int64)
         count = np.diff(np.r_[first, len(node)])
         self.within = np.exp(self.log_p)
@@ -174,6 +216,12 @@ class Lattices:
         self.count = np.zeros(n + len(units), np.int64)
         self.count[self.node[first]] = count
 
+    def draw_one(self, node: int, uniform: float) -> int:
+        edge = int(self.first[node])
+        while uniform > self.within[edge]:
+            edge += 1
+        return edge
+
     def draw(self, node: np.ndarray, uniform: np.ndarray) -> np.ndarray:
         """An edge out of each node, by its probability."""
         edge = self.first[node]
@@ -189,6 +237,12 @@ def _uniform(key: np.ndarray, place: np.ndarray, salt: int) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
+def _one_uniform(key: int, place: int, salt: int) -> float:
+    """``_uniform`` of one place."""
+    x = (key + place * int(_STEP) + (salt * 0x51ED2701 & 0xFFFFFFFF)) & 0xFFFFFFFFFFFFFFFF
+    return ((mix_one(x) >> 11) + 0.5) * 2.0**-53
+
+
 def fresh_paths(
     lattices: Lattices, unit: np.ndarray, place: np.ndarray, key: np.ndarray, salt: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -216,31 +270,67 @@ def fresh_paths(
     return edges, ends
 
 
-def _bounds(log_mass: np.ndarray, cut: float, uniform: np.ndarray) -> np.ndarray:
-    """Largest perturbed values of regions, cut off at ``cut``."""
+class Fresh:
+    """Fresh paths through some units of texts: their edges and the places of those, where
+    each unit's end, and for each edge the logarithms of an exponential variable and of the
+    share of its node's probability that is not its own."""
+
+    def __init__(self, lattices: Lattices, unit: np.ndarray, place: np.ndarray, key: np.ndarray, salt: int) -> None:
+        self.edges, self.ends = fresh_paths(lattices, unit, place, key, salt)
+        many = np.diff(np.r_[0, self.ends])
+        length = lattices.length[self.edges]
+        at = np.cumsum(length) - length
+        self.place = at + np.repeat(place - at[self.ends - many], many)
+        self.waits, self.rest = _leaving(lattices, self.edges, self.place, np.repeat(key, many), salt)
+
+    def of(self, low: int, high: int) -> tuple[np.ndarray, ...]:
+        """Those of the units from ``low`` to ``high``."""
+        x, y = (int(self.ends[low - 1]) if low else 0), int(self.ends[high - 1])
+        return self.edges[x:y], self.place[x:y], self.waits[x:y], self.rest[x:y], self.ends[low:high] - x
+
+
+def _leaving(
+    lattices: Lattices, edges: np.ndarray, place: np.ndarray, key: np.ndarray, salt: int
+) -> tuple[np.ndarray, np.ndarray]:
+    log_p = lattices.log_p[edges]
+    rest = -np.expm1(np.minimum(log_p, 0.0))
+    rest[lattices.count[lattices.node[edges]] == 1] = 0.0
     with np.errstate(divide="ignore"):
-        return -np.logaddexp(-cut, np.log(-np.log(uniform)) - log_mass)
+        return np.log(-np.log(_uniform(key, place, 1000 + salt))), np.log(rest)
 
 
 class _Path:
-    """A sample: its edges, their log probabilities so far, and the bounds of what
-    leaves it from ``since`` on; ``taken`` holds other edges gone from the first place."""
+    """A sample: its edges, their log probabilities so far, and the regions of what leaves
+    it from ``since`` on; ``taken`` holds other edges gone from the first place.
+
+    A region is met after a waiting time: an exponential variable over its mass. The sooner,
+    the larger its bound."""
 
-    def __init__(self, lattices: Lattices, edges: np.ndarray, place: np.ndarray, key: np.uint64, salt: int, value: float, since: int, taken: list[int]) -> None:
+    def __init__(self, lattices: Lattices, edges: np.ndarray, place: np.ndarray, waits: np.ndarray, rest: np.ndarray, value: float, since: int, taken: list[int]) -> None:
+        """``waits`` and ``rest`` are those of the edges from ``since`` on."""
         self.edges, self.place, self.value, self.taken, self.since = edges, place, value, taken, since
         log_p = lattices.log_p[edges]
         self.so_far = np.cumsum(log_p)
-        alone = lattices.count[lattices.node[edges]] == 1
-        rest = -np.expm1(np.minimum(log_p[since:], 0.0))
-        rest[alone[since:]] = 0.0
+        mass = (self.so_far - log_p)[since:] + rest
         if taken:
             gone = float(np.exp(lattices.log_p[[*taken, edges[since]]]).sum())
-            rest[0] = 0.0 if len(taken) + 1 >= lattices.count[lattices.node[edges[since]]] else max(1.0 - gone, 0.0)
-        with np.errstate(divide="ignore"):
-            mass = (self.so_far - log_p)[since:] + np.log(rest)
-        keys = np.full(len(edges) - since, key)
-        self.bounds = _bounds(mass, value, _uniform(keys, place[since:], 1000 + salt))
-        self.bounds[np.isneginf(mass)] = -np.inf
+            left = 0.0 if len(taken) + 1 >= lattices.count[lattices.node[edges[since]]] else max(1.0 - gone, 0.0)
+            mass[0] = self.so_far[since] - log_p[since] + (np.log(left) if left else -np.inf)
+        self.waits = waits - mass
+        self.waits[np.isneginf(mass)] = np.inf
+        self._find()
+
+    def _find(self) -> None:
+        """The region that is met first, ``at`` places after ``since``, and its bound: the
+        largest perturbed value in it, cut off at the path's own."""
+        self.at = int(np.argmin(self.waits))
+        soonest = self.waits[self.at]
+        self.bound = -np.inf if soonest == np.inf else float(-np.logaddexp(-self.value, soonest))
+
+    def use(self) -> None:
+        """The region found has been gone into."""
+        self.waits[self.at] = np.inf
+        self._find()
 
     @property
     def log_prob(self) -> float:
@@ -248,21 +338,20 @@ class _Path:
 
 
 def sample_text(
-    lattices: Lattices, key: np.uint64, fresh: list[tuple[np.ndarray, np.ndarray, np.ndarray]],
+    lattices: Lattices, key: np.uint64, fresh: list[tuple[np.ndarray, ...]],
     unit_place: np.ndarray, unit: np.ndarray, k: int,
 ) -> tuple[list[_Path], float]:
     """The best ``k`` samples of one text and the threshold. ``fresh`` has for each
-    sample the edges of a fresh path, their places in the text and the units' ends."""
-    edges, place, _ = fresh[0]
-    gumbel = float(-np.log(-np.log(_uniform(np.array([key]), np.array([0]), 999)[0])))
-    paths = [_Path(lattices, edges, place, key, 0, gumbel, 0, [])]
+    sample a fresh path as ``Fresh.of`` gives it."""
+    edges, place, waits, rest, _ = fresh[0]
+    gumbel = float(-np.log(-np.log(_one_uniform(int(key), 0, 999))))
+    paths = [_Path(lattices, edges, place, waits, rest, gumbel, 0, [])]
     while True:
-        best = max(paths, key=lambda p: p.bounds.max(initial=-np.inf))
-        at = int(np.argmax(best.bounds))
-        value = float(best.bounds[at])
+        best = max(paths, key=lambda p: p.bound)
+        at, value = best.at, best.bound
         if len(paths) == k or value == -np.inf:
             return paths, value
-        best.bounds[at] = -np.inf
+        best.use()
         s = len(paths)
         leave = best.since + at
         taken = [*(best.taken if at == 0 else []), int(best.edges[leave])]
@@ -271,7 +360,7 @@ def sample_text(
         first = int(lattices.first[node])
         others = [e for e in range(first, first + int(lattices.count[node])) if e not in taken]
         p = np.cumsum(np.exp(lattices.log_p[others]))
-        turn = float(_uniform(np.array([key]), np.array([where]), 2000 + s)[0]) * p[-1]
+        turn = _one_uniform(int(key), where, 2000 + s) * p[-1]
         own = [others[min(int(np.searchsorted(p, turn, side="right")), len(others) - 1)]]
         own_place = [where]
         u = int(np.searchsorted(unit_place, where, side="right")) - 1
@@ -279,37 +368,43 @@ def sample_text(
         while own_place[-1] + lattices.length[own[-1]] < end:
             where = int(own_place[-1] + lattices.length[own[-1]])
             node = int(lattices.node[own[-1]] + lattices.length[own[-1]])
-            own.append(int(lattices.draw(np.array([node]), _uniform(np.array([key]), np.array([where]), s))[0]))
+            own.append(lattices.draw_one(node, _one_uniform(int(key), where, s)))
             own_place.append(where)
-        edges, place, ends = fresh[s]
-        rest = int(ends[u])
+        edges, place, waits, rest, ends = fresh[s]
+        on = int(ends[u])
+        own, own_place = np.array(own, np.int64), np.array(own_place, np.int64)
+        own_waits, own_rest = _leaving(lattices, own, own_place, np.full(len(own), key), s)
         paths.append(
             _Path(
                 lattices,
-                np.concatenate([best.edges[:leave], own, edges[rest:]]).astype(np.int64),
-                np.concatenate([best.place[:leave], own_place, place[rest:]]).astype(np.int64),
-                key, s, value, leave, taken,
+                np.concatenate([best.edges[:leave], own, edges[on:]]),
+                np.concatenate([best.place[:leave], own_place, place[on:]]),
+                np.concatenate([own_waits, waits[on:]]),
+                np.concatenate([own_rest, rest[on:]]),
+                value, leave, taken,
             )
         )
 
 
-def ids_of(lattices: Lattices, edges: np.ndarray, vocab: Vocabulary) -> np.ndarray:
-    """Ids of a path; characters that are no piece are spelt in bytes."""
+def ids_of(lattices: Lattices, edges: np.ndarray, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of paths and how many each edge has; characters that are no piece are spelt in
+    bytes."""
     piece = lattices.piece[edges]
-    if piece.min(initial=0) >= 0:
-        return piece
-    spelt = np.flatnonzero(piece < 0)
-    letters = {int(p): vocab.bytes[list(chr(_SPACE if -1 - p == _SPELT else -1 - p).encode())] for p in np.unique(piece[spelt])}
     many = np.ones(len(piece), np.int64)
-    for p, own in letters.items():
-        many[spelt[piece[spelt] == p]] = len(own)
-    at = np.cumsum(many) - many
+    spelt = np.flatnonzero(piece < 0)
+    if not len(spelt):
+        return piece, many
+    letters, which = np.unique(piece[spelt], return_inverse=True)
+    bodies = [chr(_SPACE if -1 - p == _SPELT else -1 - p).encode() for p in letters.tolist()]
+    size = np.array([len(b) for b in bodies])
+    own = vocab.bytes[np.frombuffer(b"".join(b.ljust(4, b"\0") for b in bodies), np.uint8)].reshape(-1, 4)
+    many[spelt] = size[which]
+    at = (np.cumsum(many) - many)[spelt]
     out = np.repeat(piece, many)
-    for p, own in letters.items():
-        places = at[spelt[piece[spelt] == p]]
-        for k, i in enumerate(own):
-            out[places + k] = i
-    return out
+    for k in range(int(size.max())):
+        longer = size[which] > k
+        out[at[longer] + k] = own[which[longer], k]
+    return out, many
 
 
 def _parts(texts: list[str], limit: int):
@@ -323,35 +418,63 @@ def _parts(texts: list[str], limit: int):
         yield low, len(texts)
 
 
-def sample_batch(texts: list[str], keys: np.ndarray, vocab: Vocabulary, k: int, limit: int = PART):
-    """For each text in turn: ``(ids, log probability, perturbed value)`` of its samples,
-    and the threshold."""
+class Samples:
+    """Samples of some texts in turn: the row of each and its sample number from 0, log
+    probability, perturbed value and the row's threshold; ids of sample i are
+    ``ids[ends[i - 1]:ends[i]]``."""
+
+    def __init__(self, lattices: Lattices, vocab: Vocabulary, found: list[tuple[list[_Path], float]], low: int) -> None:
+        paths = [p for held, _ in found for p in held]
+        many = np.array([len(held) for held, _ in found], np.int64)
+        self.row = low + np.repeat(np.arange(len(found)), many)
+        self.sample = np.arange(len(paths)) - np.repeat(np.cumsum(many) - many, many)
+        self.log_prob = np.array([p.log_prob for p in paths])
+        self.value = np.array([p.value for p in paths])
+        self.threshold = np.repeat(np.array([t for _, t in found]), many)
+        self.ids, spelt = ids_of(lattices, np.concatenate([p.edges for p in paths]), vocab)
+        edges = np.cumsum([len(p.edges) for p in paths])
+        self.ends = np.cumsum(spelt)[edges - 1]
+
+    def ids_in_turn(self) -> Iterator[np.ndarray]:
+        begin = 0
+        for end in self.ends.tolist():
+            yield self.ids[begin:end]
+            begin = end
+
+
+def sample_parts(texts: list[str], keys: np.ndarray, vocab: Vocabulary, k: int, limit: int = PART) -> Iterator[Samples]:
+    """Samples of all texts, a part of them at a time."""
     for low, high in _parts(texts, limit):
         split = [_UNIT.findall(" " + t) for t in texts[low:high]]
-        index = {u: i for i, u in enumerate(dict.fromkeys(u for units in split for u in units))}
-        lattices = Lattices(list(index), vocab)
         many = np.array([len(u) for u in split], np.int64)
-        unit = np.fromiter((index[u] for units in split for u in units), np.int64, int(many.sum()))
+        index = pa.array(chain.from_iterable(split), pa.string(), size=int(many.sum())).dictionary_encode()
+        del split
+        lattices = Lattices(index.dictionary.to_numpy(zero_copy_only=False).tolist(), vocab)
+        unit = index.indices.to_numpy().astype(np.int64)
         bounds = np.r_[0, np.cumsum(many)]
         place = np.cumsum(lattices.size[unit]) - lattices.size[unit]
         place -= np.repeat(place[bounds[:-1]], many)
         key = np.repeat(keys[low:high], many)
-        fresh = []
-        for s in range(k):
-            edges, ends = fresh_paths(lattices, unit, place, key, s)
-            length = lattices.length[edges]
-            begin = np.r_[0, ends[:-1]]
-            at = np.cumsum(length) - length
-            at += np.repeat(place - at[begin], ends - begin)
-            fresh.append((edges, at, ends))
+        fresh = [Fresh(lattices, unit, place, key, s) for s in range(k)]
+        found = []
         for i in range(high - low):
-            a, b = bounds[i], bounds[i + 1]
-            own = []
-            for edges, at, ends in fresh:
-                x, y = (ends[a - 1] if a else 0), ends[b - 1]
-                own.append((edges[x:y], at[x:y], ends[a:b] - x))
-            paths, threshold = sample_text(lattices, keys[low + i], own, place[a:b], unit[a:b], k)
-            yield [(ids_of(lattices, p.edges, vocab), p.log_prob, p.value) for p in paths], threshold
+            a, b = int(bounds[i]), int(bounds[i + 1])
+            own = [f.of(a, b) for f in fresh]
+            found.append(sample_text(lattices, keys[low + i], own, place[a:b], unit[a:b], k))
+        yield Samples(lattices, vocab, found, low)
+
+
+def sample_batch(texts: list[str], keys: np.ndarray, vocab: Vocabulary, k: int, limit: int = PART):
+    """For each text in turn: ``(ids, log probability, perturbed value)`` of its samples,
+    and the threshold."""
+    for part in sample_parts(texts, keys, vocab, k, limit):
+        held: list[tuple[np.ndarray, float, float]] = []
+        last = len(part.row) - 1
+        for i, ids in enumerate(part.ids_in_turn()):
+            held.append((ids, float(part.log_prob[i]), float(part.value[i])))
+            if i == last or part.row[i + 1] != part.row[i]:
+                yield held, float(part.threshold[i])
+                held = []
 
 
 def segmentations(
@@ -366,25 +489,39 @@ def segmentations(
     def make():
         vocab = vocabulary(model, alpha)
 
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             texts = [t or "" for t in batch["text"].to_pylist()]
             keys = batch["key"].to_numpy().view(np.uint64)
-            at, out = [], tuple([] for _ in range(8))
-            for i, (samples, threshold) in enumerate(sample_batch(texts, keys, vocab, k)):
-                for s, (found, log_prob, value) in enumerate(samples):
-                    at.append(i)
-                    score = 1.0 if threshold == -np.inf else float(-np.expm1(-np.exp(min(log_prob - threshold, 700.0))))
-                    listed = found.tolist()
-                    row = (s + 1, len(listed), log_prob, value, score, zlib.crc32(found.astype("<u4").tobytes()), vocab.decode(listed) == texts[i], listed if ids else None)
-                    for column, cell in zip(out, row, strict=True):
-                        column.append(cell)
-            kinds = (pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.bool_(), pa.list_(pa.int32()))
-            columns = [pa.array(c, kind) for c, kind in zip(out, kinds, strict=True)][: 8 if ids else 7]
-            names = ["sample", "n_pieces", "log_prob", "perturbed", "inclusion", "ids_crc32", "restored", "ids"][: len(columns)]
-            return pa.record_batch([batch["doc_id"].take(pa.array(at, pa.int64())), *columns], ["doc_id", *names])
+            for part in sample_parts(texts, keys, vocab, k):
+                spelt = vocab.spelt(part.ids)
+                size = np.cumsum(vocab.surface_size[part.ids])[part.ends - 1].tolist()
+                restored, crcs, begin = [], [], 0
+                for own, row, end in zip(part.ids_in_turn(), part.row.tolist(), size, strict=True):
+                    # The space that stands before every text goes.
+                    restored.append(spelt[begin + 1 : end] == texts[row].encode())
+                    crcs.append(zlib.crc32(own.astype("<u4").tobytes()))
+                    begin = end
+                with np.errstate(over="ignore"):
+                    score = -np.expm1(-np.exp(np.minimum(part.log_prob - part.threshold, 700.0)))
+                ends = np.r_[0, part.ends]
+                columns = [
+                    batch["doc_id"].take(pa.array(part.row)),
+                    pa.array((part.sample + 1).astype(np.int32)),
+                    pa.array(np.diff(ends)),
+                    pa.array(part.log_prob),
+                    pa.array(part.value),
+                    pa.array(np.where(np.isneginf(part.threshold), 1.0, score)),
+                    pa.array(crcs, pa.int64()),
+                    pa.array(restored, pa.bool_()),
+                ]
+                names = ["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion", "ids_crc32", "restored"]
+                if ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(part.ids.astype(np.int32))))
+                    names.append("ids")
+                yield pa.record_batch(columns, names)
 
         return work
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, sample int, n_pieces long, log_prob double, perturbed double, inclusion double, ids_crc32 long, restored boolean"
-    return by_batch(rows, make, schema + (", ids array<int>" if ids else ""))
+    return by_batches(rows, make, schema + (", ids array<int>" if ids else ""))
