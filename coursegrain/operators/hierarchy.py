@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.measures import row_count
 from ..functions.names import col
 from ..sources.files import scratch_folder
-from .joins import left_join, split_join
+from .joins import left_join, split_join, tasks_for
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def _double(state: DataFrame) -> DataFrame:
 
 
 def prerequisite_reach(
-    edges: DataFrame, source: str, target: str, *, hub_rows: int | None = None
+    edges: DataFrame, source: str, target: str, *, hub_rows: int | None = None, task_rows: int | None = None
 ) -> DataFrame:
     """``source, target, steps``: every target that can be reached and the fewest steps
     to it, for a graph where nodes may have several prerequisites.
@@ -110,28 +110,43 @@ def prerequisite_reach(
     steps apart are known, a pair up to 2 s apart passes through a node exactly s steps
     from its start: the pairs of s steps are joined with all known ones. So rounds grow
     with the logarithm of the longest distance, and a pair is made once for each node in
-    its middle. Nodes that more than ``hub_rows`` such paths meet in are split.
+    its middle. Nodes that more than ``hub_rows`` such paths meet in are split. Paths are
+    counted by their middle before they are made: none ends the search, and their number
+    says how many tasks are needed for ``task_rows`` rows in each.
     """
     links = edges.select(col(source).alias("a"), col(target).alias("b")).dropna().distinct()
     known, reached = cut_lineage(links.withColumn("steps", F.lit(1).cast("long"))), 1
     while True:
         ends = known.where(F.col("steps") == reached).select("a", F.col("b").alias("mid"))
-        if ends.isEmpty():
-            break
         onward = known.select(F.col("a").alias("mid"), "b", F.col("steps").alias("more"))
-        longer = (
-            split_join(ends, onward, "mid", rows=hub_rows)
-            .groupBy("a", "b")
-            .agg((F.min("more") + reached).alias("steps"))
+        paths, met = _paths(ends, onward)
+        if not paths:
+            break
+        tasks = tasks_for(known, met + paths, task_rows)
+        longer = split_join(ends, onward, "mid", rows=hub_rows, tasks=tasks).select(
+            "a", "b", (F.col("more") + reached).alias("steps")
         )
         # Shorter distances were known before; a pair's fewest steps stay.
-        known = cut_lineage(
-            known.unionByName(longer.select("a", "b", "steps")).groupBy("a", "b").agg(F.min("steps").alias("steps"))
-        )
+        pairs = known.unionByName(longer)
+        pairs = pairs.repartition(tasks, "a", "b") if tasks else pairs
+        known = cut_lineage(pairs.groupBy("a", "b").agg(F.min("steps").alias("steps")))
         reached *= 2
     return known.select(F.col("a").alias(source), F.col("b").alias(target), "steps")
 
 
+def _paths(ends: DataFrame, onward: DataFrame) -> tuple[int, int]:
+    """How many rows the two have for each other, and how many they have, by their counts of
+    each middle node."""
+    counted = (
+        ends.select("mid", F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("m"))
+        .unionByName(onward.select("mid", F.lit(0).cast("long").alias("n"), F.lit(1).cast("long").alias("m")))
+        .groupBy("mid")
+        .agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    )
+    row = counted.agg(F.sum(F.col("n") * F.col("m")).alias("paths"), F.sum(F.col("n") + F.col("m")).alias("met")).first()
+    return row["paths"] or 0, row["met"] or 0
+
+
 def depth_distribution(df: DataFrame, depth: str) -> DataFrame:
     """``depth, n`` per level, NULL levels left out."""
     return (

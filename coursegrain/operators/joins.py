@@ -85,29 +85,41 @@ def hot_keys(df: DataFrame, key: str, rows: int | None = None) -> dict:
     return {r["key"]: -(-r["n"] // rows) for r in found.collect()}
 
 
+def tasks_for(df: DataFrame, rows: int, most: int | None = None) -> int | None:
+    """How many tasks a shuffle of so many rows takes where none is given more than ``most``
+    on average; None where one could have them all. Spark merges small partitions by their
+    compressed bytes, which says little of what repetitive rows take in memory."""
+    wanted = -(-rows // (most or HOT_ROWS))
+    return max(wanted, df.sparkSession.sparkContext.defaultParallelism) if wanted > 1 else None
+
+
 def split_join(
-    df: DataFrame, other: DataFrame, key: str, *, how: str = "inner", rows: int | None = None
+    df: DataFrame, other: DataFrame, key: str, *, how: str = "inner", rows: int | None = None, tasks: int | None = None
 ) -> DataFrame:
     """Inner or left join on one key whose hot values are spread. Keys that many rows of
     ``df`` have are counted when this is called; their rows are dealt to parts by a hash,
     and what ``other`` has for such a key is repeated for each part. Everything else moves
     as in a plain join. Skew handling at run time would not do where an aggregate of the
-    same key follows, and does not know of rows that are few but wide.
+    same key follows, and does not know of rows that are few but wide. ``tasks`` is the
+    number of tasks that join, left to Spark unless given.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"cannot split a join of kind {how!r}")
     hot = hot_keys(df, key, rows)
+
+    def dealt(side: DataFrame, *keys: str) -> DataFrame:
+        return side.repartition(tasks, *map(col, keys)) if tasks else side
+
     if not hot:
-        return df.join(other, key, how)
+        return dealt(df, key).join(dealt(other, key), key, how)
     pairs = [F.lit(x) for item in hot.items() for x in item]
     parts = F.coalesce(F.try_element_at(F.create_map(*pairs), col(key)), F.lit(1))
     part = F.pmod(F.xxhash64(*map(col, df.columns)), parts).cast("int")
     each = F.explode(F.sequence(F.lit(0), parts.cast("int") - 1))
-    return (
-        df.withColumn("__part", F.when(parts > 1, part).otherwise(0))
-        .join(other.withColumn("__part", each), [key, "__part"], how)
-        .drop("__part")
-    )
+    left = df.withColumn("__part", F.when(parts > 1, part).otherwise(0))
+    right = other.withColumn("__part", each)
+    keys = [key, "__part"]
+    return dealt(left, *keys).join(dealt(right, *keys), keys, how).drop("__part")
 
 
 def left_join_default(

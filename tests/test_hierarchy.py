@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from coursegrain.operators import hierarchy
 
@@ -108,6 +109,20 @@ def test_reach_through_a_hub(spark):
     assert counts == {1: 500, 2: 60_000}
 
 
+def test_reach_makes_tasks_by_the_paths(spark, monkeypatch):
+    asked = []
+    plain = hierarchy.split_join
+    monkeypatch.setattr(hierarchy, "split_join", lambda *a, **k: asked.append(k["tasks"]) or plain(*a, **k))
+    edges = [(i, 1000 + i % 10) for i in range(300)] + [(1000 + i, 2000 + j) for i in range(10) for j in range(20)]
+    df = spark.createDataFrame(edges, "a int, b int")
+    found = hierarchy.prerequisite_reach(df, "a", "b", task_rows=100)
+    # 500 ends, 500 ways on and 6,000 paths; none is left for a second round.
+    assert asked == [70]
+    assert found.rdd.getNumPartitions() == 70
+    assert set(map(tuple, found.collect())) == reach_by_brute_force(edges)
+    assert max(r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()) < 200
+
+
 def test_checkpoint_folder_comes_from_the_session():
     from types import SimpleNamespace
 
