@@ -123,3 +123,17 @@ def test_a_failed_job_fails_the_pipeline(spark, base, tmp_path):
             spark, str(tmp_path / "raw"), str(tmp_path / "clean"), str(tmp_path / "out"), specs=specs
         )
     assert not (tmp_path / "out").exists()
+
+
+def test_exports_of_one_split_are_read_by_many_tasks(spark, tmp_path):
+    from coursegrain.bindings import jobs as bindings
+    from coursegrain.bindings.registry import Tables
+
+    rows = spark.range(1000).selectExpr("id AS c_custkey", "concat('name ', id) AS c_name")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    bindings.export(Tables(spark, str(tmp_path)), f"{tmp_path}/raw")
+    for spec in TABLES.values():
+        files = list((tmp_path / "raw" / spec.raw_file).glob("part-*.csv"))
+        assert len(files) == spark.sparkContext.defaultParallelism
+        keys = spark.read.csv(f"{tmp_path}/raw/{spec.raw_file}", header=True, multiLine=True)
+        assert keys.count() == 1000
