@@ -32,24 +32,25 @@ gives no rows. Only the two named columns are read.
 
 from __future__ import annotations
 
-from collections import Counter
+import itertools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, crc_remainder, stored
+from .common import by_batch, crc_remainder, discard, stored
 from .packing import _Words as Words
 
 SPAN, STRIDE = 32, 16
 SIZE, CLASSES = 16, 64
 COMMON = 500_000
-#: Words that a worker remembers the ids of, beside the common ones.
-REMEMBERED = 200_000
+#: Bytes of text whose words are coded at once.
+PART = 3_000_000
 #: Vectors added by one task of the tree.
 FAN = 16
 #: Subwords that a task gathers before it cuts them in windows.
@@ -65,27 +66,35 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def parts_of(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The rows in turn, some ``size`` bytes of the column at a time."""
+    length = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+    number = np.cumsum(length, dtype=np.int64) // size
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+    for low, high in itertools.pairwise(cuts):
+        yield batch.slice(low, high - low)
+
+
+def coded_words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """``words_of`` all texts, one after another, and how many each has. Arrow's white space
+    is that of ASCII too."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, begin = lists.flatten(), lists.offsets.to_numpy()
+    # White space at the ends of a text leaves empty words there.
+    real = pc.not_equal(words, "")
+    many = np.add.reduceat(real.to_numpy(zero_copy_only=False), begin[:-1] - begin[0], dtype=np.int64)
+    return words.filter(real).dictionary_encode(), many
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word, c`` over a ``text`` column; counted in each task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-
-        def flush() -> pa.RecordBatch:
-            out = pa.record_batch(
-                [pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64())],
-                ["word", "c"],
-            )
-            counts.clear()
-            return out
-
         for batch in batches:
-            for text in batch["text"].to_pylist():
-                counts.update(words_of(text))
-                if len(counts) > 500_000:
-                    yield flush()
-        if counts:
-            yield flush()
+            for part in parts_of(batch, "text", PART):
+                words, _ = coded_words(part["text"])
+                c = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
+                yield pa.record_batch([words.dictionary, pa.array(c, pa.int64())], ["word", "c"])
 
     parts = texts.select("text").mapInArrow(run, "word string, c long")
     return parts.groupBy("word").agg(F.sum("c").alias("c"))
@@ -99,15 +108,16 @@ def subword_counts(words: DataFrame, tokenizer: dict[str, str]) -> DataFrame:
     words. At most two rows a subword."""
 
     def make():
-        encoder = Words(**tokenizer)
+        encoder = Encoder(tokenizer)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            encoded = [encoder.ids(" " + w) for w in batch["word"].to_pylist()]
-            size = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
-            ids = np.frombuffer(b"".join(encoded), np.uint32).astype(np.int64)
+            ids, begin, size = encoder.ids(batch["word"])
+            ids = ids.astype(np.int64)
             weight = batch["c"].to_numpy()
             parts = []
-            for kind, own, c in ((_ANYWHERE, ids, np.repeat(weight, size)), (_START, ids[np.cumsum(size) - size], weight)):
+            anywhere = np.zeros(len(ids), np.int64)
+            anywhere[ragged(begin, size)] = np.repeat(weight, size)
+            for kind, own, c in ((_ANYWHERE, ids, anywhere), (_START, ids[begin], weight)):
                 names, at = np.unique(own, return_inverse=True)
                 total = np.zeros(len(names), np.int64)
                 np.add.at(total, at, c)
@@ -121,26 +131,54 @@ def subword_counts(words: DataFrame, tokenizer: dict[str, str]) -> DataFrame:
     return parts.groupBy("kind", "subword").agg(F.sum("c").alias("c"))
 
 
-class Encoded(dict):
-    """Of each word: its ids and, if it is common, its count, else -1. Remembered up to a
-    bound."""
-
-    def __init__(self, tokenizer: dict[str, str], common: dict[bytes, int]) -> None:
-        super().__init__()
-        self._words, self._common, self._others = Words(**tokenizer), common, 0
-
-    def __missing__(self, word: bytes) -> tuple[bytes, int]:
-        found = (self._words.ids(" " + word.decode()), self._common.get(word, -1))
-        if len(word) <= 64:
-            if found[1] < 0:
-                self._others += 1
-                if self._others > REMEMBERED:
-                    kept = {w: x for w, x in self.items() if x[1] >= 0}
-                    self.clear()
-                    self.update(kept)
-                    self._others = 1
-            self[word] = found
-        return found
+class Encoder:
+    """The ids of many words at once, each with a space before it."""
+
+    #: Visible Latin letters and signs. A space between two such words starts a new unit of
+    #: the byte-level pattern, so that they can be encoded as one text.
+    PLAIN = "^[!-~\\x{A1}-\\x{24F}]+$"
+
+    def __init__(self, tokenizer: dict[str, str]) -> None:
+        self._words = Words(**tokenizer)
+        self._fast = self._words._fast
+        if self._fast is not None:
+            # Only a word's first id starts with its space.
+            names = map(self._fast.decode_single_token_bytes, range(self._fast.n_vocab))
+            self._spaced = np.array([x[:1] == b" " for x in names])
+
+    def ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all words in some order, where those of each word begin and how many they
+        are."""
+        plain = np.zeros(len(words), bool)
+        if self._fast is not None and len(words):
+            known = pc.and_not(pc.match_substring_regex(words, self.PLAIN), pc.match_substring(words, "<|"))
+            plain = known.to_numpy(zero_copy_only=False)
+        together = np.zeros(0, np.uint32)
+        begin, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        if plain.any():
+            listed = pa.ListArray.from_arrays([0, int(plain.sum())], words.filter(pa.array(plain)))
+            text = " " + pc.binary_join(listed, " ")[0].as_py()
+            together = np.asarray(self._fast.encode_to_numpy(text, disallowed_special=()))
+            starts = np.flatnonzero(self._spaced[together])
+            if len(starts) == plain.sum():
+                begin[plain], size[plain] = starts, np.diff(np.r_[starts, len(together)])
+            else:
+                together, plain = together[:0], np.zeros(len(words), bool)
+        others = [np.frombuffer(self._words.ids(" " + w), np.uint32) for w in words.filter(pa.array(~plain)).to_pylist()]
+        if others:
+            own = np.fromiter(map(len, others), np.int64, len(others))
+            begin[~plain], size[~plain] = len(together) + np.cumsum(own) - own, own
+        return np.concatenate([together, *others]).astype(np.uint16), begin, size
+
+
+def ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``begin[0]``, ``begin[0] + 1`` and so on, ``size[0]`` places, then those of the next."""
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if total < 1 << 30 and int(begin.max(initial=0)) < 1 << 30 else np.int64
+    places = np.repeat((begin - (ends - size)).astype(kind), size)
+    places += np.arange(total, dtype=kind)
+    return places
 
 
 def laid_out(found: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -179,11 +217,19 @@ def _sum_of(column: pa.ChunkedArray, size: int) -> np.ndarray:
 
 def _add_rows(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Adds ``rows`` to those of ``into`` that ``at`` names; returns the names."""
+    names, sums = _sums_by(at, rows)
+    into[names] += sums
+    return names
+
+
+def _sums_by(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different names in ``at``, which are below 65,536, and the sums of their rows."""
+    at = at.astype(np.uint16)
+    # Numbers of 16 bits are sorted by their digits.
     order = np.argsort(at, kind="stable")
     names = at[order]
     new = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
-    into[names[new]] += np.add.reduceat(rows[order], new, axis=0)
-    return names[new]
+    return names[new].astype(np.int64), np.add.reduceat(rows.take(order, axis=0), new, axis=0)
 
 
 NEAR = 24
@@ -198,9 +244,12 @@ def neighbours(chunks: Iterator[np.ndarray]) -> np.ndarray:
     starts with the last subword of the one before."""
     signs, near = _signs(), np.zeros((VOCABULARY, NEAR), np.float32)
     for ids in chunks:
-        for gap in (1, 2, 3):
-            if len(ids) > gap:
-                _add_rows(near, ids[gap:], signs[ids[:-gap]])
+        if len(ids) > 1:
+            left = signs.take(ids, axis=0)
+            own = left[:-1].copy()
+            own[1:] += left[:-2]
+            own[2:] += left[:-3]
+            _add_rows(near, ids[1:], own)
     return near
 
 
@@ -263,6 +312,21 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Exponents of up to this size stay within the range of floats, sums of them too.
+SAFE = 80
+
+
+def _exps(x: np.ndarray) -> np.ndarray:
+    """``exp(x)`` in place, of which only the shares within a row matter."""
+    if x.size and (x.max() > SAFE or x.min() < -SAFE):
+        x -= x.max(axis=-1, keepdims=True)
+    return np.exp(x, out=x)
+
+
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    return (x.reshape(-1, x.shape[-1]) @ np.ones(x.shape[-1], np.float32)).reshape(*x.shape[:-1], 1)
+
+
 class Training:
     """A copy of a layer that learns from windows of ``SPAN`` by Adam. The loss of a subword
     is its class's; of a word inside a window, for the gate alone, the mixture's."""
@@ -275,7 +339,11 @@ class Training:
         self.seen = np.zeros(VOCABULARY, np.float32)
         self.learnt = 0
         self._random = np.random.default_rng(11)
+        self._seen = np.tril(np.ones((SPAN, SPAN), np.float32))
         self._mask = np.triu(np.full((SPAN, SPAN), -1e9, np.float32), 1)
+        self._cls = layer.cls.astype(np.int64)
+        self._shares = np.r_[layer.inside, layer.starts].astype(np.float32)
+        self._sums = np.c_[np.ones(CLASSES), layer.opens].astype(np.float32)
 
     def learn(self, ids: np.ndarray, counted: np.ndarray) -> None:
         """``ids[1:]`` are predicted, each from those before it. ``counted`` is the count
@@ -295,35 +363,50 @@ class Training:
         self.seen += np.bincount(ids[:-1], minlength=VOCABULARY).astype(np.float32)
 
     def _step(self, given: np.ndarray, aim: np.ndarray, counted: np.ndarray, real: np.ndarray) -> None:
-        w, layer, scale = self.layer.weights, self.layer, np.float32(SIZE**-0.5)
-        n = max(int(real.sum()), 1)
-        x = w["token"][given] + w["place"]
-        q, k, v = x @ w["q"], x @ w["k"], x @ w["v"]
-        a = _softmax(q @ k.transpose(0, 2, 1) * scale + self._mask)
+        w, scale = self.layer.weights, np.float32(SIZE**-0.5)
+        n, many = max(int(real.sum()), 1), len(given)
+        windows = lambda y: y.reshape(many, SPAN, -1)
+        x = w["token"].take(given, axis=0)
+        x += w["place"]
+        x = x.reshape(-1, SIZE)
+        inner = np.concatenate([w["q"] * scale, w["k"], w["v"]], axis=1)
+        qkv = windows(x @ inner)
+        q, k, v = qkv[..., :SIZE], qkv[..., SIZE : 2 * SIZE], qkv[..., 2 * SIZE :]
+        a = self._attended(q @ k.transpose(0, 2, 1))
         mixed = a @ v
-        h = x + mixed @ w["o"]
-        p = _softmax(h @ w["out"] + w["bias"])
-        cls = layer.cls[aim][..., None]
-        of_class = np.take_along_axis(p, cls, -1)[..., 0]
-        gate = 1 / (1 + np.exp(-(h @ w["gate"] + w["gate0"])))
-        d_gate = self._gate_slopes(aim, counted, real, of_class, p @ layer.opens, gate)
-        np.put_along_axis(p, cls, (of_class - 1)[..., None], -1)
-        d_logit = p * real[..., None].astype(np.float32)
-        d_h = d_logit @ w["out"].T
-        d_mixed = d_h @ w["o"].T
-        d_a = d_mixed @ v.transpose(0, 2, 1)
-        d_s = a * (d_a - (d_a * a).sum(-1, keepdims=True)) * scale
-        d_q, d_k, d_v = d_s @ k, d_s.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ d_mixed
-        d_x = d_h + d_q @ w["q"].T + d_k @ w["k"].T + d_v @ w["v"].T
-        flat = lambda y: y.reshape(given.size, -1)
-        names, place = np.unique(given, return_inverse=True)
-        token = np.zeros((len(names), SIZE), np.float32)
-        _add_rows(token, place.ravel(), flat(d_x))
+        # With a column of ones for the bias.
+        h = np.ones((len(x), SIZE + 1), np.float32)
+        h[:, :SIZE] = mixed.reshape(-1, SIZE) @ w["o"]
+        h[:, :SIZE] += x
+        p = h @ np.concatenate([w["out"], w["bias"][None]])
+        sums = _exps(p) @ self._sums
+        p *= 1 / sums[:, :1]
+        at = np.arange(0, p.size, CLASSES) + self._cls.take(aim.ravel())
+        of_class = p.ravel()[at]
+        gate = 1 / (1 + np.exp(-(h @ np.r_[w["gate"], w["gate0"]])))
+        d_gate = self._gate_slopes(aim, counted, real, of_class, sums[:, 1] / sums[:, 0], gate)
+        p.ravel()[at] = of_class - 1
+        if n < real.size:
+            p[~real.ravel()] = 0
+        d_h = p @ w["out"].T
+        d_mixed = windows(d_h @ w["o"].T)
+        d_s = d_mixed @ v.transpose(0, 2, 1)
+        d_s -= np.einsum("bij,bij->bi", d_mixed, mixed)[..., None]
+        d_s *= a
+        d_qkv = np.empty_like(qkv)
+        d_qkv[..., :SIZE] = d_s @ k
+        d_qkv[..., SIZE : 2 * SIZE] = d_s.transpose(0, 2, 1) @ q
+        d_qkv[..., 2 * SIZE :] = a.transpose(0, 2, 1) @ d_mixed
+        d_qkv = d_qkv.reshape(-1, 3 * SIZE)
+        d_x = d_qkv @ inner.T
+        d_x += d_h
+        names, token = _sums_by(given.ravel(), d_x)
+        d_inner, d_out, d_gates = x.T @ d_qkv, h.T @ p, d_gate @ h
         grads = {
-            "place": d_x.sum(0),
-            "q": flat(x).T @ flat(d_q), "k": flat(x).T @ flat(d_k), "v": flat(x).T @ flat(d_v),
-            "o": flat(mixed).T @ flat(d_h), "out": flat(h).T @ flat(d_logit), "bias": flat(d_logit).sum(0),
-            "gate": (flat(h) * d_gate.reshape(-1, 1)).sum(0), "gate0": d_gate.sum(keepdims=True).reshape(1),
+            "place": windows(d_x).sum(0),
+            "q": d_inner[:, :SIZE] * scale, "k": d_inner[:, SIZE : 2 * SIZE], "v": d_inner[:, 2 * SIZE :],
+            "o": mixed.reshape(-1, SIZE).T @ d_h, "out": d_out[:SIZE], "bias": d_out[SIZE],
+            "gate": d_gates[:SIZE], "gate0": d_gates[SIZE:],
         }
         self.steps += 1
         # Rows of subwords that the batch lacks stay as they are.
@@ -331,17 +414,26 @@ class Training:
         for name, g in grads.items():
             self._move(name, slice(None), g / n)
 
+    def _attended(self, s: np.ndarray) -> np.ndarray:
+        if s.max() > SAFE or s.min() < -SAFE:
+            return _softmax(s + self._mask)
+        np.exp(s, out=s)
+        s *= self._seen
+        s *= 1 / _row_sums(s)
+        return s
+
     def _gate_slopes(self, aim, counted, real, of_class, opens, gate) -> np.ndarray:
-        layer, slopes = self.layer, np.zeros(aim.size, np.float32)
+        slopes = np.zeros(aim.size, np.float32)
         aim, counted = aim.ravel(), counted.ravel()
         start = counted > 0
-        own = np.log(of_class.ravel() * np.where(start, layer.starts[aim], layer.inside[aim]) + 1e-30)
-        so_far = np.r_[0.0, np.cumsum(own)]
+        # In single precision, but summed in double.
+        own = np.log(of_class * self._shares.take(aim + VOCABULARY * start) + np.float32(1e-30))
+        so_far = np.r_[0.0, np.cumsum(own, dtype=np.float64)]
         begin = np.flatnonzero(start & real.ravel())
         low, high = begin[:-1], begin[1:]
         whole = low // SPAN == high // SPAN
         low, high = low[whole], high[whole]
-        opens, gate = np.log(opens.ravel() + 1e-30), gate.ravel()
+        opens = np.log(opens + np.float32(1e-30))
         attended = so_far[high] - so_far[low] - opens[low] + np.where(aim[low] == END, 0, opens[high])
         attended, g = np.exp(np.minimum(attended, 0)), gate[low]
         both = g * attended + (1 - g) * counted[low] + 1e-30
@@ -349,12 +441,18 @@ class Training:
         return slopes
 
     def _move(self, name: str, at: np.ndarray | slice, g: np.ndarray) -> None:
-        first = self.first[name][at] * 0.9 + 0.1 * g
-        second = self.second[name][at] * 0.99 + 0.01 * g * g
-        self.first[name][at], self.second[name][at] = first, second
-        ahead, size = first / (1 - 0.9**self.steps), np.sqrt(second / (1 - 0.99**self.steps)) + 1e-8
-        rate = self.rate / (1 + self.steps / 300) ** 0.5
-        self.layer.weights[name][at] -= (rate * ahead / size).astype(np.float32)
+        # A copy where ``at`` lists rows.
+        first, second = self.first[name][at], self.second[name][at]
+        first *= 0.9
+        first += 0.1 * g
+        second *= 0.99
+        second += 0.01 * g * g
+        if isinstance(at, np.ndarray):
+            self.first[name][at], self.second[name][at] = first, second
+        size = np.sqrt(second / (1 - 0.99**self.steps))
+        size += 1e-8
+        rate = self.rate / (1 + self.steps / 300) ** 0.5 / (1 - 0.9**self.steps)
+        self.layer.weights[name][at] -= (rate * first / size).astype(np.float32)
 
     def vector(self) -> np.ndarray:
         """The weights times how often they were used, and that."""
@@ -399,13 +497,30 @@ class Scorer:
         self.k, self.pk = w["token"] @ w["k"], w["place"] @ w["k"]
         value = w["v"] @ w["o"]
         self.v, self.pv = w["token"] @ value, w["place"] @ value
-        self.out = np.c_[w["out"], w["gate"]]
-        self.bias = np.r_[w["bias"], w["gate0"]]
-        context = SPAN - STRIDE
-        place = np.arange(context, SPAN)
+        self.out, self.bias = w["out"], w["bias"]
+        self.gate, self.gate0 = w["gate"], w["gate0"]
+        self.sums = np.c_[np.ones(CLASSES), layer.opens].astype(np.float32)
+        self.cls = layer.cls.astype(np.int64)
+        place = np.arange(SPAN - STRIDE, SPAN)
         self.causal = np.where(np.arange(SPAN) <= place[:, None], 0, -1e9).astype(np.float32)
+        self.seen = (self.causal == 0).astype(np.float32)
 
-    def score(self, ids: np.ndarray, ends: np.ndarray, block: int = 512) -> tuple[np.ndarray, ...]:
+    def _mixed(self, s: np.ndarray, real: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """Values by the shares of the scores; ``real`` tells, window by window, which inputs
+        there are."""
+        short = np.flatnonzero(~real[:, 0])
+        if s.max() > SAFE or s.min() < -SAFE:
+            s += self.causal
+            s[short] += np.where(real[short], 0, -1e9).astype(np.float32)[:, None, :]
+            return _softmax(s) @ v
+        np.exp(s, out=s)
+        s *= self.seen
+        s[short] *= real[short].astype(np.float32)[:, None, :]
+        out = s @ v
+        out *= 1 / _row_sums(s)
+        return out
+
+    def score(self, ids: np.ndarray, ends: np.ndarray, block: int = 256) -> tuple[np.ndarray, ...]:
         """Of each subword, from those before it in its text: the probability of its class,
         that a word starts here, and the gate. ``ids`` holds the texts one after another,
         each up to ``ends``."""
@@ -418,32 +533,42 @@ class Scorer:
         for low in range(0, len(text), block):
             t, j = text[low : low + block], number[low : low + block]
             # Inputs are the subwords before the aims; the text's first input is an end.
-            at = (begins[t] + j * STRIDE - context - 1)[:, None] + np.arange(SPAN)
-            start = begins[t][:, None] - 1
-            given = np.where(at >= begins[t][:, None], ids[np.clip(at, 0, len(ids) - 1)], END)
-            real = at >= start
-            q = self.q[given[:, context:]] + self.pq[context:]
-            s = q @ (self.k[given] + self.pk).transpose(0, 2, 1)
-            s += self.causal
-            s[~real.all(axis=1)] += np.where(real[~real.all(axis=1)], 0, -1e9).astype(np.float32)[:, None, :]
-            h = self.x[given[:, context:]] + self.px[context:] + _softmax(s) @ (self.v[given] + self.pv)
-            aim_at = at[:, context:] + 1
-            live = aim_at < ends[t][:, None]
-            h, aim_at = h[live], aim_at[live]
-            # A row more, as one row alone would be summed in another order: equal texts get
-            # equal scores in any batch.
-            out = np.concatenate([h, h[:1]]) @ self.out + self.bias
-            p = _softmax(out[:-1, :-1])
-            of_class[aim_at] = p[np.arange(len(p)), self.layer.cls[ids[aim_at]]]
-            opens[aim_at] = (p * self.layer.opens).sum(axis=1)
-            gates[aim_at] = 1 / (1 + np.exp(-out[:-1, -1]))
+            first = begins[t] + j * STRIDE - context - 1
+            at = first[:, None] + np.arange(SPAN)
+            real = at >= begins[t][:, None] - 1
+            # Only a text's first windows start before it.
+            early = np.flatnonzero(first < begins[t])
+            given = ids.take(at, mode="clip")
+            given[early] = np.where(at[early] >= begins[t[early]][:, None], given[early], END)
+            q = self.q.take(given[:, context:], axis=0)
+            q += self.pq[context:]
+            k = self.k.take(given, axis=0)
+            k += self.pk
+            v = self.v.take(given, axis=0)
+            v += self.pv
+            h = self._mixed(q @ k.transpose(0, 2, 1), real, v)
+            h += self.x.take(given[:, context:], axis=0)
+            h += self.px[context:]
+            # Places behind a text's end are computed too: a product of one row would be
+            # summed in another order. Equal texts get equal scores in any batch.
+            h = h.reshape(-1, SIZE)
+            out = h @ self.out
+            out += self.bias
+            sums = _exps(out) @ self.sums
+            aim_at = (at[:, context:] + 1).ravel()
+            live = aim_at < np.repeat(ends[t], STRIDE)
+            own = self.cls.take(ids.take(aim_at, mode="clip")) + np.arange(0, out.size, CLASSES)
+            aim_at = aim_at[live]
+            of_class[aim_at] = (out.ravel().take(own) / sums[:, 0])[live]
+            opens[aim_at] = (sums[:, 1] / sums[:, 0])[live]
+            gates[aim_at] = (1 / (1 + np.exp(-(h @ self.gate + self.gate0))))[live]
         return of_class, opens, gates
 
     def words(self, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of each word and end, which begin at ``starts``: the attention's natural
         logarithm and the gate."""
         of_class, opens, gates = self.score(ids, ends)
-        share = self.layer.inside[ids]
+        share = self.layer.inside.take(ids)
         share[starts] = self.layer.starts[ids[starts]]
         own = np.log(of_class.astype(np.float64) * share + 1e-30)
         opens = np.log(opens[starts].astype(np.float64) + 1e-30)
@@ -452,49 +577,158 @@ class Scorer:
         return np.minimum(np.add.reduceat(own, starts) - opens + after, 0), gates[starts]
 
 
-def fit(train_texts: DataFrame, words: DataFrame, texts: int, tokenizer: dict[str, str], common: dict[bytes, int], usual: float, floor: int) -> Layer:
-    """The layer, taught by all training texts. ``usual`` is the average count of a word
-    that is not common."""
+def _small(size: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes as bytes, 255 for each 255 in a size before the rest of it; how many bytes each
+    of the rows of ``many`` sizes takes."""
+    more = size // 255
+    ends = np.cumsum(more + 1)
+    out = np.full(int(ends[-1]) if len(ends) else 0, 255, np.uint8)
+    out[ends - 1] = size - 255 * more
+    return out, np.diff(np.r_[0, np.r_[0, ends][np.cumsum(many)]])
+
+
+def _sizes_of(small: np.ndarray) -> np.ndarray:
+    ends = np.flatnonzero(small != 255) + 1
+    return np.add.reduceat(small, np.r_[0, ends[:-1]], dtype=np.int64) if len(ends) else np.zeros(0, np.int64)
+
+
+def _bytes_of(values: np.ndarray, many: np.ndarray) -> pa.Array:
+    """The values as binary rows, of which each takes as many as ``many`` says."""
+    ends = np.r_[0, np.cumsum(many)] * values.itemsize
+    if ends[-1] < 1 << 31:
+        buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))]
+        return pa.BinaryArray.from_buffers(pa.binary(), len(many), buffers)
+    return pa.array([x.tobytes() for x in np.split(values, np.cumsum(many)[:-1])], pa.binary())
+
+
+def _values_of(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """What ``_bytes_of`` was given."""
+    width = np.dtype(kind).itemsize
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int64 if pa.types.is_large_binary(column.type) else np.int32)
+    ends = ends[column.offset : column.offset + len(column) + 1].astype(np.int64) // width
+    return np.frombuffer(data or b"", kind)[ends[0] : ends[-1]], np.diff(ends)
+
+
+def encoded(docs: DataFrame, tokenizer: dict[str, str], common: pa.Array, counts: np.ndarray, texts: int, floor: int) -> DataFrame:
+    """``docs`` without their texts. Binary rows hold the ``ids`` (16 bits), end included, and of
+    each word its ``size`` in ids (``_small``) and its place ``at`` in the common words, -1 if
+    it is another (32 bits). Those others are listed as ``rare``. ``known`` and ``base`` are of the
+    common words and the end."""
+    sent = docs.sparkSession.sparkContext.broadcast((common, counts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, counts = sent.value
+        encoder = Encoder(tokenizer)
+        # The last one, -1, is of other words.
+        terms = np.r_[np.log10((counts + 1) / floor), 0.0]
+        of_end = np.log10((texts + 1) / floor)
+
+        def work(part: pa.RecordBatch, number: int) -> pa.RecordBatch:
+            words, many = coded_words(part["text"])
+            names, kinds = words.indices.to_numpy(), words.dictionary
+            ids, begin, size = encoder.ids(kinds)
+            place = pc.fill_null(pc.index_in(kinds, common), -1).to_numpy()
+            # An end after the words of each text.
+            last = np.cumsum(many + 1) - 1
+            inside = np.ones(len(names) + len(many), bool)
+            inside[last] = False
+            which = np.full(len(inside), len(kinds))
+            which[inside] = names
+            size = np.r_[size, 1]
+            of_each = size.take(which)
+            own = np.r_[ids, np.uint16(END)].take(ragged(np.r_[begin, len(ids)].take(which), of_each))
+            by_text = lambda x: np.add.reduceat(x, last - many)
+            at = place.take(names)
+            often = np.zeros(len(inside), np.int64)
+            often[inside] = at >= 0
+            base = np.full(len(inside), of_end)
+            base[inside] = terms[at]
+            often = by_text(often)
+            behind = pa.array(np.r_[0, np.cumsum(many - often)], pa.int32())
+            out = {
+                "row": pa.array(np.arange(number, number + part.num_rows)),
+                "doc_id": part["doc_id"],
+                "held_out": part["held_out"],
+                "n_tokens": pa.array(many + 1),
+                "known": pa.array(often + (texts > 0)),
+                "base": pa.array(by_text(base)),
+                "ids": _bytes_of(own, by_text(of_each)),
+                "size": _bytes_of(*_small(size.take(names), many)),
+                "at": _bytes_of(at, many),
+                "rare": pa.ListArray.from_arrays(behind, kinds.take(pa.array(names[at < 0]))),
+            }
+            return pa.RecordBatch.from_pydict(out)
+
+        number = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for part in parts_of(batch, "text", PART):
+                yield work(part, number)
+                number += part.num_rows
+            pa.default_memory_pool().release_unused()
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, ids binary, size binary, at binary, rare array<string>"
+    return stored(docs.select("doc_id", "held_out", "text").mapInArrow(run, schema), "zstd")
+
+
+def fit(training: DataFrame, words: DataFrame, texts: int, tokenizer: dict[str, str], counts: np.ndarray, usual: float, floor: int) -> Layer:
+    """The layer, taught by all ``training`` texts, as ``encoded`` gives them. ``usual`` is the
+    average count of a word that is not common."""
     single = subword_counts(words, tokenizer).toArrow()
     total, start = np.zeros(VOCABULARY), np.zeros(VOCABULARY)
     for kind, into in ((_ANYWHERE, total), (_START, start)):
         own = single["kind"].to_numpy() == kind
         into[single["subword"].to_numpy()[own]] = single["c"].to_numpy()[own]
     total[END] = start[END] = texts
-    context = train_texts.sparkSession.sparkContext
-    sent = context.broadcast(common)
-
-    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """A task's texts one after another, an end first; the count part where words start."""
-        encoded = Encoded(tokenizer, sent.value)
-        ids, counted, many = [np.array([END])], [np.zeros(1, np.float32)], 0
-        for batch in batches:
-            for text in batch["text"].to_pylist():
-                found = [encoded[w] for w in words_of(text)]
-                own, starts = laid_out(found)
-                p = np.zeros(len(own), np.float32)
-                c = np.array([*(f[1] for f in found), texts], np.float64)
-                p[starts] = (np.where(c < 0, usual, c) + 1) / floor
-                ids.append(own), counted.append(p)
-                many += len(own)
+    context = training.sparkSession.sparkContext
+    sent = context.broadcast(counts)
+
+    def chunks(batches: Iterator[pa.RecordBatch], known: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """A task's texts one after another, an end first; the count part where words start,
+        if it is known."""
+        ids, counted, many = [np.array([END], np.uint16)], [np.zeros(1, np.float32)], 0
+        for part in itertools.chain.from_iterable(parts_of(b, "ids", 1_000_000) for b in batches):
+            own, lengths = _values_of(part["ids"], np.uint16)
+            ends = np.cumsum(lengths)
+            p = np.zeros(len(own) if known is not None else 0, np.float32)
+            if known is not None:
+                at, words = _values_of(part["at"], np.int32)
+                size = _sizes_of(_values_of(part["size"], np.uint8)[0])
+                # Ends stand between the words of a text and those of the next.
+                p[np.cumsum(size) - size + np.repeat(np.arange(len(words)), words)] = known[at]
+                p[ends - 1] = (texts + 1) / floor
+            low = 0
+            while low < len(own):
+                # Up to the first text that makes the chunk full.
+                last = min(int(np.searchsorted(ends, low + CHUNK - many)), len(ends) - 1)
+                high = int(ends[last])
+                ids.append(own[low:high]), counted.append(p[low:high])
+                many, low = many + high - low, high
                 if many >= CHUNK:
                     yield np.concatenate(ids), np.concatenate(counted)
                     ids, counted, many = [ids[-1][-1:]], [counted[-1][-1:]], 0
         if many:
             yield np.concatenate(ids), np.concatenate(counted)
 
-    rows = train_texts.select("text")
-    near = added(rows, lambda batches: neighbours(x for x, _ in chunks(batches)).ravel(), VOCABULARY * NEAR)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> np.ndarray | None:
+        own = chunks(batches)
+        first = next(own, None)
+        return None if first is None else neighbours(x for x, _ in itertools.chain([first], own)).ravel()
+
+    near = added(training.select("ids"), gather, VOCABULARY * NEAR)
     layer = new_layer(near.reshape(VOCABULARY, NEAR), total, start)
     begin = context.broadcast(layer)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> np.ndarray | None:
         training = Training(begin.value)
-        for ids, counted in chunks(batches):
+        known = ((np.r_[sent.value, usual] + 1) / floor).astype(np.float32)
+        for ids, counted in chunks(batches, known):
             training.learn(ids, counted)
         return training.vector() if training.learnt else None
 
-    return averaged(layer, added(rows, learn, vector_size()))
+    return averaged(layer, added(training.select("ids", "size", "at"), learn, vector_size()))
 
 
 def score_texts(docs: DataFrame, tokenizer: dict[str, str]) -> DataFrame:
@@ -509,67 +743,50 @@ def score_texts(docs: DataFrame, tokenizer: dict[str, str]) -> DataFrame:
     in_words, kinds = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     n, v = in_words + texts, kinds + (1 if texts else 0)
     floor = n + v + 1
-    common = {r.word.encode(): r.c for r in counted.where(F.col("c") * COMMON >= n).toLocalIterator()}
-    usual = (in_words - sum(common.values())) / max(kinds - len(common), 1)
-    layer = fit(training, counted, texts, tokenizer, common, usual, floor)
-    # The last part is each worker's own: words it has met, kept from task to task.
-    sent = spark.sparkContext.broadcast((layer, common, {}))
+    often = counted.where(F.col("c") * COMMON >= n).toArrow().sort_by([("c", "descending"), ("word", "ascending")]).combine_chunks()
+    counts = often["c"].to_numpy().astype(np.float64)
+    common = pa.array(often["word"].to_pylist(), pa.string())
+    usual = (in_words - int(counts.sum())) / max(kinds - len(common), 1)
+    read = encoded(rows, tokenizer, common, counts, texts, floor)
+    layer = fit(read.where("NOT held_out"), counted, texts, tokenizer, counts, usual, floor)
+    sent = spark.sparkContext.broadcast((layer, counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        layer, common, met = sent.value
-        if not met:
-            met["words"], met["scorer"] = Encoded(tokenizer, common), Scorer(layer)
-        encoded, scorer = met["words"], met["scorer"]
-        number = TaskContext.get().partitionId() << 33
+        layer, counts = sent.value
+        scorer = Scorer(layer)
+        # The last one is of other words and stands for nothing.
+        shares = np.r_[(counts + 1) / floor, 0.0]
         for batch in batches:
-            known, base, length, scores = [], [], [], []
-            rare, attended, gates = [], [], []
-            texts_words, ids, starts, counts, ends, total = [], [], [], [], [], 0
-
-            def flush() -> None:
-                nonlocal total
-                if ends:
-                    many = np.cumsum([len(s) for s in starts])
-                    a, g = scorer.words(np.concatenate(ids), np.concatenate(starts), np.array(ends))
-                    c = np.concatenate(counts)
-                    p = np.log10(g * np.exp(a) + (1 - g) * (c + 1) / floor + 1e-300)
-                    for words, low, high in zip(texts_words, np.r_[0, many[:-1]], many, strict=True):
-                        often = c[low:high] >= 0
-                        scores.append(float(p[low:high][often].sum()))
-                        at = np.flatnonzero(~often)
-                        rare.append([words[i].decode() for i in at])
-                        attended.append(a[low:high][at].astype(np.float32))
-                        gates.append(g[low:high][at].astype(np.float32))
-                for x in (texts_words, ids, starts, counts, ends):
-                    x.clear()
-                total = 0
-
-            for text in batch["text"].to_pylist():
-                words = words_of(text)
-                found = [encoded[w] for w in words]
-                own, begin = laid_out(found)
-                texts_words.append(words), ids.append(own), starts.append(begin + total)
-                total += len(own)
-                ends.append(total)
-                c = np.array([*(f[1] for f in found), texts], np.float64)
-                counts.append(c)
-                have = c[c >= 0]
-                known.append(len(have) - (texts == 0))
-                base.append(float(np.log10((have + 1) / floor).sum()))
-                length.append(len(words) + 1)
-                if total > 100_000:
-                    flush()
-            flush()
-            rows = pa.array(np.arange(number, number + batch.num_rows))
-            number += batch.num_rows
-            yield pa.record_batch(
-                [rows, batch["doc_id"], batch["held_out"], pa.array(length, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(scores, pa.float64()), pa.array(rare, pa.list_(pa.string())), pa.array(attended, pa.list_(pa.float32())), pa.array(gates, pa.list_(pa.float32()))],
-                ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare", "attended", "gate"],
-            )
+            for part in parts_of(batch, "ids", 1_000_000):
+                ids, lengths = _values_of(part["ids"], np.uint16)
+                size = _sizes_of(_values_of(part["size"], np.uint8)[0])
+                at, many = _values_of(part["at"], np.int32)
+                ends = np.cumsum(lengths)
+                last = np.cumsum(many + 1) - 1
+                inside = np.ones(len(at) + len(many), bool)
+                inside[last] = False
+                starts = np.empty(len(inside), np.int64)
+                starts[inside] = np.cumsum(size) - size + np.repeat(np.arange(len(many)), many)
+                starts[last] = ends - 1
+                a, g = scorer.words(ids, starts, ends)
+                share = np.full(len(inside), (texts + 1) / floor)
+                share[inside] = shares[at]
+                p = np.log10(g * np.exp(a) + (1 - g) * share + 1e-300)
+                rare = np.zeros(len(inside), bool)
+                rare[inside] = at < 0
+                p[rare] = 0
+                behind = pa.array(np.r_[0, np.cumsum(np.add.reduceat(rare.astype(np.int64), last - many))], pa.int32())
+                listed = lambda x: pa.ListArray.from_arrays(behind, pa.array(x[rare].astype(np.float32)))  # noqa: B023, E731
+                kept = [part[c] for c in ("row", "doc_id", "held_out", "n_tokens", "known", "base", "rare")]
+                yield pa.record_batch(
+                    [*kept, pa.array(np.add.reduceat(p, last - many)), listed(a), listed(g)],
+                    ["row", "doc_id", "held_out", "n_tokens", "known", "base", "rare", "score", "attended", "gate"],
+                )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, score double, rare array<string>, attended array<float>, gate array<float>"
-    scored = stored(rows.select("doc_id", "held_out", "text").mapInArrow(run, schema))
+    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, rare array<string>, score double, attended array<float>, gate array<float>"
+    scored = stored(read.mapInArrow(run, schema), "zstd")
+    discard(read)
     missing = scored.select("row", F.explode(F.arrays_zip("rare", "attended", "gate")).alias("x")).select(
         "row", F.col("x.rare").alias("word"), F.col("x.attended").alias("attended"), F.col("x.gate").alias("gate")
     )
