@@ -91,7 +91,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in parts_of(batch, "text", PART):
+            for part in parts_of(batch, "text", 4 * PART):
                 words, _ = coded_words(part["text"])
                 c = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
                 yield pa.record_batch([words.dictionary, pa.array(c, pa.int64())], ["word", "c"])
@@ -215,13 +215,6 @@ def _sum_of(column: pa.ChunkedArray, size: int) -> np.ndarray:
     return total
 
 
-def _add_rows(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Adds ``rows`` to those of ``into`` that ``at`` names; returns the names."""
-    names, sums = _sums_by(at, rows)
-    into[names] += sums
-    return names
-
-
 def _sums_by(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The different names in ``at``, which are below 65,536, and the sums of their rows."""
     at = at.astype(np.uint16)
@@ -243,13 +236,19 @@ def neighbours(chunks: Iterator[np.ndarray]) -> np.ndarray:
     """Sums of random vectors of the three subwords to the left of each subword. Each chunk
     starts with the last subword of the one before."""
     signs, near = _signs(), np.zeros((VOCABULARY, NEAR), np.float32)
-    for ids in chunks:
-        if len(ids) > 1:
-            left = signs.take(ids, axis=0)
-            own = left[:-1].copy()
-            own[1:] += left[:-2]
-            own[2:] += left[:-3]
-            _add_rows(near, ids[1:], own)
+    for some in itertools.batched(chunks, 8):
+        # Pairs of a subword and one left of it, as one number; the same pairs added once.
+        own = [ids.astype(np.uint32) for ids in some]
+        pairs = np.concatenate([x[gap:] * np.uint32(VOCABULARY) + x[:-gap] for x in own for gap in (1, 2, 3)])
+        if not len(pairs):
+            continue
+        pairs.sort()
+        new = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
+        names, left = np.divmod(pairs[new], np.uint32(VOCABULARY))
+        rows = signs.take(left, axis=0)
+        rows *= np.diff(np.r_[new, len(pairs)]).astype(np.float32)[:, None]
+        new = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
+        near[names[new]] += np.add.reduceat(rows, new, axis=0)
     return near
 
 
@@ -494,11 +493,10 @@ class Scorer:
         self.x, self.px = w["token"], w["place"]
         scale = np.float32(SIZE**-0.5)
         self.q, self.pq = w["token"] @ w["q"] * scale, w["place"] @ w["q"] * scale
-        self.k, self.pk = w["token"] @ w["k"], w["place"] @ w["k"]
-        value = w["v"] @ w["o"]
-        self.v, self.pv = w["token"] @ value, w["place"] @ value
-        self.out, self.bias = w["out"], w["bias"]
-        self.gate, self.gate0 = w["gate"], w["gate0"]
+        inner = np.concatenate([w["k"], w["v"] @ w["o"]], axis=1)
+        self.kv, self.pkv = w["token"] @ inner, w["place"] @ inner
+        self.out = np.concatenate([w["out"], w["bias"][None]])
+        self.gate = np.r_[w["gate"], w["gate0"]]
         self.sums = np.c_[np.ones(CLASSES), layer.opens].astype(np.float32)
         self.cls = layer.cls.astype(np.int64)
         place = np.arange(SPAN - STRIDE, SPAN)
@@ -542,18 +540,16 @@ class Scorer:
             given[early] = np.where(at[early] >= begins[t[early]][:, None], given[early], END)
             q = self.q.take(given[:, context:], axis=0)
             q += self.pq[context:]
-            k = self.k.take(given, axis=0)
-            k += self.pk
-            v = self.v.take(given, axis=0)
-            v += self.pv
-            h = self._mixed(q @ k.transpose(0, 2, 1), real, v)
-            h += self.x.take(given[:, context:], axis=0)
-            h += self.px[context:]
+            kv = self.kv.take(given, axis=0)
+            kv += self.pkv
+            x = self.x.take(given[:, context:], axis=0)
+            x += self.px[context:]
+            x += self._mixed(q @ kv[..., :SIZE].transpose(0, 2, 1), real, kv[..., SIZE:])
             # Places behind a text's end are computed too: a product of one row would be
             # summed in another order. Equal texts get equal scores in any batch.
-            h = h.reshape(-1, SIZE)
+            h = np.ones((x.size // SIZE, SIZE + 1), np.float32)
+            h[:, :SIZE] = x.reshape(-1, SIZE)
             out = h @ self.out
-            out += self.bias
             sums = _exps(out) @ self.sums
             aim_at = (at[:, context:] + 1).ravel()
             live = aim_at < np.repeat(ends[t], STRIDE)
@@ -561,7 +557,7 @@ class Scorer:
             aim_at = aim_at[live]
             of_class[aim_at] = (out.ravel().take(own) / sums[:, 0])[live]
             opens[aim_at] = (sums[:, 1] / sums[:, 0])[live]
-            gates[aim_at] = (1 / (1 + np.exp(-(h @ self.gate + self.gate0))))[live]
+            gates[aim_at] = (1 / (1 + np.exp(-(h @ self.gate))))[live]
         return of_class, opens, gates
 
     def words(self, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -613,7 +609,7 @@ def _values_of(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
 def encoded(docs: DataFrame, tokenizer: dict[str, str], common: pa.Array, counts: np.ndarray, texts: int, floor: int) -> DataFrame:
     """``docs`` without their texts. Binary rows hold the ``ids`` (16 bits), end included, and of
     each word its ``size`` in ids (``_small``) and its place ``at`` in the common words, -1 if
-    it is another (32 bits). Those others are listed as ``rare``. ``known`` and ``base`` are of the
+    it is another (32 bits). Those others are in ``rare``, with spaces between. ``known`` and ``base`` are of the
     common words and the end."""
     sent = docs.sparkSession.sparkContext.broadcast((common, counts))
 
@@ -656,7 +652,7 @@ def encoded(docs: DataFrame, tokenizer: dict[str, str], common: pa.Array, counts
                 "ids": _bytes_of(own, by_text(of_each)),
                 "size": _bytes_of(*_small(size.take(names), many)),
                 "at": _bytes_of(at, many),
-                "rare": pa.ListArray.from_arrays(behind, kinds.take(pa.array(names[at < 0]))),
+                "rare": pc.binary_join(pa.ListArray.from_arrays(behind, kinds.take(pa.array(names[at < 0]))), " "),
             }
             return pa.RecordBatch.from_pydict(out)
 
@@ -668,7 +664,7 @@ def encoded(docs: DataFrame, tokenizer: dict[str, str], common: pa.Array, counts
             pa.default_memory_pool().release_unused()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, ids binary, size binary, at binary, rare array<string>"
+    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, ids binary, size binary, at binary, rare string"
     return stored(docs.select("doc_id", "held_out", "text").mapInArrow(run, schema), "zstd")
 
 
@@ -784,12 +780,11 @@ def score_texts(docs: DataFrame, tokenizer: dict[str, str]) -> DataFrame:
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, rare array<string>, score double, attended array<float>, gate array<float>"
+    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, rare string, score double, attended array<float>, gate array<float>"
     scored = stored(read.mapInArrow(run, schema), "zstd")
     discard(read)
-    missing = scored.select("row", F.explode(F.arrays_zip("rare", "attended", "gate")).alias("x")).select(
-        "row", F.col("x.rare").alias("word"), F.col("x.attended").alias("attended"), F.col("x.gate").alias("gate")
-    )
+    each = scored.where("rare <> ''").select("row", "attended", "gate", F.posexplode(F.split("rare", " ")).alias("k", "word"))
+    missing = each.select("row", "word", F.col("attended")[F.col("k")].alias("attended"), F.col("gate")[F.col("k")].alias("gate"))
     c = F.coalesce("c", F.lit(0))
     p = (c + 1) / F.lit(float(floor))
     gate = F.col("gate").cast("double")

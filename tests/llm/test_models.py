@@ -8,6 +8,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -313,6 +314,79 @@ def test_training_helps():
     assert mixed[1] > mixed[0] + 50
 
 
+ODD_WORDS = ["the", "thé", "<|", "a<|endoftext|>", "\xa0", "a\xa0b", "東京都", "'s", "x's", "\x1c", "\x85q", "12,5", "é" * 400, "#!", "ɐ", "a\xad"]
+
+
+def test_words_encoded_together(vocabulary):
+    """As one by one, whatever stands beside them, with both libraries or with one."""
+    words = [*ODD_WORDS, *(a + b for a in ODD_WORDS for b in ODD_WORDS)]
+    for tokenizer in (vocabulary, vocabulary | {"ranks": None}):
+        encoder = scoring.Encoder(tokenizer)
+        ids, begin, size = encoder.ids(pa.array(words))
+        one = scoring.Words(**tokenizer)
+        for w, b, many in zip(words, begin, size, strict=True):
+            assert ids[b : b + many].tolist() == one.listed(" " + w), w
+        assert [len(x) for x in encoder.ids(pa.array([], pa.string()))] == [0, 0, 0]
+
+
+def test_words_of_many_texts():
+    texts = [None, "", " \n", "A b\x0bB\x0c c\t", "\xa0É a\x1cb", *ODD_WORDS]
+    words, many = scoring.coded_words(pa.array(texts).slice(1))
+    want = [scoring.words_of(t) for t in texts[1:]]
+    assert many.tolist() == [len(w) for w in want]
+    assert [w.encode() for w in words.to_pylist()] == [w for own in want for w in own]
+
+
+def test_sizes_as_bytes():
+    size, many = np.array([1, 254, 255, 256, 510, 70000, 3]), np.array([0, 3, 0, 4, 0])
+    small, ends = scoring._small(size, many)
+    assert scoring._sizes_of(small).tolist() == size.tolist()
+    parts = np.split(small, np.cumsum(ends)[:-1])
+    assert [len(scoring._sizes_of(x)) for x in parts] == many.tolist()
+
+
+def test_neighbours_are_those_to_the_left():
+    rng, signs = np.random.default_rng(1), scoring._signs()
+    chunks = [rng.integers(0, 9, k) for k in (1, 2, 3, 40, 1, 60, 5, 9, 30, 4)]
+    want = np.zeros((scoring.VOCABULARY, scoring.NEAR))
+    for ids in chunks:
+        for k in range(len(ids)):
+            for gap in (1, 2, 3):
+                if k >= gap:
+                    want[ids[k]] += signs[ids[k - gap]]
+    assert np.allclose(scoring.neighbours(iter(chunks)), want, atol=1e-4)
+
+
+def test_scores_far_apart_stay_finite():
+    """Exponents beyond the range of floats; the same scores as from smaller ones."""
+    layer, ids = random_layer()
+    ends = np.array([200, 400])
+    want = np.array(scoring.Scorer(layer).score(ids[:400], ends))
+    layer.weights["bias"] = layer.weights["bias"] + np.float32(500)
+    assert np.allclose(scoring.Scorer(layer).score(ids[:400], ends), want, atol=1e-3)
+    layer.weights["q"] = layer.weights["q"] * np.float32(1e4)
+    assert np.isfinite(scoring.Scorer(layer).score(ids[:400], ends)).all()
+    training = scoring.Training(layer)
+    training.learn(ids, np.full(len(ids), 1e-3, np.float32))
+    assert all(np.isfinite(x).all() for x in training.layer.weights.values())
+
+
+def test_texts_are_read_three_times(spark, vocabulary, quick):
+    """To count words, to count texts and to encode them; the layer learns and scores from
+    ids."""
+    read = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame([(i, f"some words of text {i}") for i in range(70)], "doc_id long, text string").coalesce(1)
+    got = scoring.score_texts(rows.mapInArrow(run, rows.schema), vocabulary)
+    assert read.value <= 3 * 70
+    assert got.count() == 70
+
+
 # ------------------------------------------------------------------ quality
 
 
