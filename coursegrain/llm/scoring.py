@@ -91,7 +91,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in parts_of(batch, "text", 4 * PART):
+            for part in parts_of(batch, "text", 2 * PART):
                 words, _ = coded_words(part["text"])
                 c = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
                 yield pa.record_batch([words.dictionary, pa.array(c, pa.int64())], ["word", "c"])
@@ -236,7 +236,7 @@ def neighbours(chunks: Iterator[np.ndarray]) -> np.ndarray:
     """Sums of random vectors of the three subwords to the left of each subword. Each chunk
     starts with the last subword of the one before."""
     signs, near = _signs(), np.zeros((VOCABULARY, NEAR), np.float32)
-    for some in itertools.batched(chunks, 8):
+    for some in itertools.batched(chunks, 4):
         # Pairs of a subword and one left of it, as one number; the same pairs added once.
         own = [ids.astype(np.uint32) for ids in some]
         pairs = np.concatenate([x[gap:] * np.uint32(VOCABULARY) + x[:-gap] for x in own for gap in (1, 2, 3)])
@@ -379,15 +379,16 @@ class Training:
         h[:, :SIZE] += x
         p = h @ np.concatenate([w["out"], w["bias"][None]])
         sums = _exps(p) @ self._sums
-        p *= 1 / sums[:, :1]
+        total = sums[:, 0]
         at = np.arange(0, p.size, CLASSES) + self._cls.take(aim.ravel())
-        of_class = p.ravel()[at]
+        of_class = p.ravel()[at] / total
         gate = 1 / (1 + np.exp(-(h @ np.r_[w["gate"], w["gate0"]])))
-        d_gate = self._gate_slopes(aim, counted, real, of_class, sums[:, 1] / sums[:, 0], gate)
-        p.ravel()[at] = of_class - 1
-        if n < real.size:
-            p[~real.ravel()] = 0
+        d_gate = self._gate_slopes(aim, counted, real, of_class, sums[:, 1] / total, gate)
+        # Slopes of the logits, but for the factor of each row.
+        p.ravel()[at] -= total
+        factor = (real.ravel() / total).astype(np.float32)[:, None]
         d_h = p @ w["out"].T
+        d_h *= factor
         d_mixed = windows(d_h @ w["o"].T)
         d_s = d_mixed @ v.transpose(0, 2, 1)
         d_s -= np.einsum("bij,bij->bi", d_mixed, mixed)[..., None]
@@ -400,7 +401,7 @@ class Training:
         d_x = d_qkv @ inner.T
         d_x += d_h
         names, token = _sums_by(given.ravel(), d_x)
-        d_inner, d_out, d_gates = x.T @ d_qkv, h.T @ p, d_gate @ h
+        d_inner, d_out, d_gates = x.T @ d_qkv, (h * factor).T @ p, d_gate @ h
         grads = {
             "place": windows(d_x).sum(0),
             "q": d_inner[:, :SIZE] * scale, "k": d_inner[:, SIZE : 2 * SIZE], "v": d_inner[:, 2 * SIZE :],
