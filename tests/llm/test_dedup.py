@@ -312,3 +312,21 @@ def test_sha_of_the_query(spark, documents):
     row = QUERIES["op3_suffix_dedup"](spark, "/root/testdata/sf0.001").where("n_removed = 0").first()
     text = documents.where(f"doc_id = {row.doc_id}").first().text
     assert row.kept_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_the_query_returns_what_is_left(spark, tmp_path):
+    from coursegrain.llm.queries import QUERIES
+
+    long, short = ("".join(chr(97 + (i * i // k) % 26) for i in range(n)) for k, n in ((7, 450), (11, 380)))
+    rows = [(0, f"one {long} end"), (1, f"two {long} tail"), (2, f"three {short}"), (3, f"four {short}"), (4, None), (5, "é")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op3_suffix_dedup"](spark, str(tmp_path)).collect()}
+    assert not got[0].text.count(long[:400]) and not got[1].text.count(long[:400])
+    assert got[0].text.startswith("one") and got[1].text.endswith("tail")
+    # Repeats of under 400 bytes stay, by contract.
+    assert [got[i].text for i in (2, 3)] == [rows[2][1], rows[3][1]]
+    assert got[5].text == "é" and not got[4].text
+    for r in got.values():
+        text = r.text or ""
+        assert r.kept_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert len(text.encode()) == r.n_bytes - r.n_removed
